@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from residuum.llm import decontamination
+from residuum.llm import decontamination, quality_rules, secret_scan, substring_dedup
 from residuum.llm.common import documents
 
 QUERIES = {}
@@ -16,6 +14,24 @@ def query(fn):
     return fn
 
 
+@query
+def op2_blob_ledger(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return secret_scan.digest(secret_scan.findings(docs, secret_scan.scan(docs)))
+
+
+@query
+def op4_risk_rules(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.digest(quality_rules.apply(documents(spark, sf_dir).select("doc_id", "text", "lang"), labels))
+
+
+@query
+def op9_block_anchors(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return substring_dedup.digest(substring_dedup.removed(docs))
+
+
 @query
 def op8_winnowing(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -45,3 +61,14 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS B
        coalesce(i.sha, sha256('')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
+
+ORACLES["op9_block_anchors"] = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+early AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN early USING (s) WHERE doc_id > m)),
+word AS (SELECT doc_id, w[p] AS x, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM w)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept k USING (doc_id)
+"""
