@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from residuum.llm import decontamination, quality_rules, secret_scan, substring_dedup
+from residuum.llm import decontamination, html_text, line_dedup, near_dedup, packing, pii, quality_rules, secret_scan, substring_dedup, weak_labels
 from residuum.llm.common import documents
 
 QUERIES = {}
@@ -14,12 +14,26 @@ def query(fn):
     return fn
 
 
+@query
+def op1_order_minhash(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return near_dedup.classes(docs).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op2_blob_ledger(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return secret_scan.digest(secret_scan.findings(docs, secret_scan.scan(docs)))
 
 
+@query
+def op3_dominance_packing(spark, sf_dir):
+    import public_tokenizers
+
+    places = packing.pack(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return places.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op4_risk_rules(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -32,6 +46,25 @@ def op9_block_anchors(spark, sf_dir):
     return substring_dedup.digest(substring_dedup.removed(docs))
 
 
+@query
+def op5_boosted_pii(spark, sf_dir):
+    return pii.digest(pii.find(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+@query
+def op6_layout_text(spark, sf_dir):
+    found, name = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html"))
+    return html_text.digest(found, name)
+
+
+@query
+def op7_weak_labels(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = weak_labels.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found, name = weak_labels.scored(docs, model)
+    return found.select("doc_id", f"{name}.*")
+
+
 @query
 def op8_winnowing(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -39,6 +72,11 @@ def op8_winnowing(spark, sf_dir):
     return decontamination.digest(found, name)
 
 
+@query
+def op10_prefix_join(spark, sf_dir):
+    return line_dedup.digest(line_dedup.judged(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 ORACLES["op8_winnowing"] = r"""
 WITH dw AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
@@ -72,3 +110,22 @@ kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM w
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM w LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLES["op10_prefix_join"] = r"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM raw),
+line AS (SELECT doc_id, pos, w FROM l WHERE len(w) > 0),
+sets AS (SELECT w, row_number() OVER () AS s, arg_min(doc_id, {'d': doc_id, 'p': pos}) AS doc_id, arg_min(pos, {'d': doc_id, 'p': pos}) AS pos FROM line GROUP BY w),
+tok AS (SELECT s, doc_id, pos, len(w) AS n, unnest(w) AS t FROM sets),
+freq AS (SELECT t, count(*) AS c FROM tok GROUP BY t),
+pre AS (SELECT s, doc_id, pos, n, t FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY c, t) AS i FROM tok JOIN freq USING (t)) WHERE i <= n - ceil(0.9 * n - 1e-9) + 1),
+cand AS (SELECT DISTINCT a.s AS a, b.s AS b FROM pre a JOIN pre b ON a.t = b.t AND (b.doc_id, b.pos) < (a.doc_id, a.pos) AND least(a.n, b.n) >= 0.9 * greatest(a.n, b.n) - 1e-9),
+near AS (
+  SELECT DISTINCT a FROM (SELECT a, len(list_intersect(x.w, y.w)) AS o, len(x.w) + len(y.w) AS n FROM cand JOIN sets x ON x.s = a JOIN sets y ON y.s = b)
+  WHERE o >= 0.9 * (n - o) - 1e-9),
+stay AS (SELECT doc_id, pos FROM sets WHERE s NOT IN (SELECT a FROM near)),
+gone AS (SELECT doc_id, pos FROM line ANTI JOIN stay USING (doc_id, pos))
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed, coalesce(g.p, '') AS removed_lines
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM line GROUP BY 1) n USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS p FROM gone GROUP BY 1) g USING (doc_id)
+"""
