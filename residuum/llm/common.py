@@ -14,15 +14,19 @@ BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where that is unset, as in local tests, a temporary one."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="residuum-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` materialised in the shared checkpoint folder, so that a lost executor costs no recomputation.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in
-    local tests, is a temporary one used.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="residuum-"))
+    """``df`` materialised in the shared folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
