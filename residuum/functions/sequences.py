@@ -15,15 +15,15 @@ THREE_TO_ONE = {
 BASES = "TCAG"
 CODE = "FFLLSSSSYY__CC_WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 PROPERTIES = {
-    "polar": "RNDQEHKSTY",
-    "hydrophobic": "ACFGHIKLMTVWY",
-    "aromatic": "FHWY",
     "aliphatic": "ILV",
+    "hydrophobic": "ILVMFYWHKTCUAG",
+    "aromatic": "FYWH",
     "positive": "HKR",
+    "polar": "YWHKTCUDESNQ",
     "negative": "DE",
-    "small": "ACDGNPSTV",
-    "tiny": "ACGS",
-    "charged": "DEHKR",
+    "charged": "HKRDE",
+    "small": "PGCUASNDTV",
+    "tiny": "GCUAS",
 }
 HYDROPATHY = {
     "I": 4.5, "V": 4.2, "L": 3.8, "F": 2.8, "C": 2.5, "M": 1.9, "A": 1.8, "G": -0.4, "T": -0.7, "S": -0.8,
