@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,16 +157,16 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
 
 
 def _scan(spark: SparkSession, docs: DataFrame, index: Index, text_col: str, name: str) -> DataFrame:
-    shared, at = spark.sparkContext.broadcast(index), docs.columns.index(text_col)
+    shared, at = spark.sparkContext.broadcast(cloudpickle.dumps(index)), docs.columns.index(text_col)
     kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("item", pa.string())])))])
 
     def run(batches):
-        rolling = Rolling()
+        rolling, own = Rolling(), cloudpickle.loads(shared.value)
         for batch in batches:
             out = []
             for text in batch.column(at).cast(pa.binary()).to_pylist():
                 words = words_of(text)
-                spans = hits(words, shared.value, rolling)
+                spans = hits(words, own, rolling)
                 out.append({"n_words": len(words), "spans": [{"first": a, "last": b, "item": i} for a, b, i in spans]})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, name])
 
