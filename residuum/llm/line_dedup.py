@@ -4,7 +4,7 @@ A line is the set of its lower-cased words. It goes if an earlier line (by docum
 place) has Jaccard similarity of ``threshold`` or more to it; lines are judged on the input.
 
 Equal sets are one line from the start, that of the earliest. Tokens are ordered by rarity,
-as a table of ``1 << BUCKETS`` counts has it: any common order is exact, a good one is fast.
+as a table of ``1 << BUCKETS`` counts has it, in the order of 56 further bits of their hashes: any common order is exact, a good one is fast.
 Similar sets share a token of their prefixes; a join on prefix tokens, with the length, the
 positional and a bitmap filter, gives the candidates, whose Jaccard is then computed on
 their words. Tokens that many lines have in their prefix would give pairs by the square:
@@ -14,24 +14,36 @@ that no line has removed by then meet them all.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from residuum.llm.common import cut, quoted
 
 THRESHOLD = 0.9
-#: log2 of the counts of the rarity table, which travels as so many bytes.
+#: log2 of the counts of the rarity table.
 BUCKETS = 16
 #: Tokens more frequent than this take the way of few meetings first; leaders of each of them.
 FREQUENT, LEADERS = 512, 8
+#: Tokens of a line, from the rarest, that its bitmaps show.
+SHOWN = 48
 #: log2 of the bits of the filter of document ids.
 ID_BITS = 20
 
 
-def words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), r"[\x20\t-\r]+", -1), "")
+def words(text: Column) -> Column:
+    """Lower-cased runs of what is not a space, tab, line feed or carriage return."""
+    text = F.lower(text)
+    for c in "\t\r\n":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " ", -1), "")
+
+
+def has_word(line: Column) -> Column:
+    return line.rlike(r"[^ \t\r]")
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -40,28 +52,43 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.col(quoted(id_col)).cast("long").alias("doc"), F.posexplode(F.split(F.col(quoted(text_col)), "\n", -1)).alias("pos", "line"))
 
 
-def rarity(docs: DataFrame, text_col: str) -> bytes:
-    """A byte for each bucket of tokens: four times the logarithm of how many tokens are in it."""
-    token = F.explode(F.split(F.lower(F.col(quoted(text_col))), r"[\x20\t-\r]+", -1)).alias("t")
+def rarity(docs: DataFrame, text_col: str) -> Column:
+    """An array with a number for each bucket of tokens: in its first byte, four times the
+    logarithm of how many tokens are in the bucket."""
+    token = F.explode(words(F.col(quoted(text_col)))).alias("t")
     counts = docs.select(token).groupBy(_bucket(F.xxhash64("t")).alias("b")).count().collect()
-    table = bytearray(1 << BUCKETS)
+    table = [0] * (1 << BUCKETS)
     for b, n in counts:
-        table[b] = min(127, int(4 * log2(n + 1)))
-    return bytes(table)
+        table[b] = rank(n) << 56
+    return F.split(F.lit(",".join(map(str, table))), ",", -1).cast("array<long>")  # folded to one literal
+
+
+def rank(n: int) -> int:
+    return min(127, int(4 * log2(n + 1)))
 
 
 def _bucket(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - BUCKETS).cast("int")
 
 
-def _rank(h: Column, table: bytes) -> Column:
-    return F.ascii(F.substring(F.lit(table), _bucket(h) + 1, F.lit(1)).cast("string"))
+def keys(tokens: Column, table: Column) -> Column:
+    """Distinct tokens as numbers in order of rarity: rank in the first byte, then the hash."""
+    hashes = F.transform(tokens, lambda t: F.xxhash64(t))
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.get(table, _bucket(h)) + F.shiftrightunsigned(h, 8))))
 
 
-def keys(tokens: Column, table: bytes) -> Column:
-    """Distinct tokens as numbers in order of rarity: rank in the first byte, then the hash."""
-    key = lambda t: F.shiftleft(_rank(F.xxhash64(t), table).cast("long"), 56).bitwiseOR(F.xxhash64(t).bitwiseAND(F.lit((1 << 56) - 1)))
-    return F.sort_array(F.array_distinct(F.transform(tokens, key)))
+def bitmap(k: Column, half: int) -> Column:
+    """One of two halves of 128 bits that the ``SHOWN`` rarest tokens mark, each its own.
+
+    Spelled out term by term, so that it is compiled.
+    """
+
+    def term(i: int) -> Column:
+        token = F.get(k, F.lit(i))
+        mark = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(token.bitwiseAND(F.lit(64)) == 64 * half, mark).otherwise(F.lit(0).cast("long"))
+
+    return reduce(lambda a, b: a.bitwiseOR(b), map(term, range(SHOWN)))
 
 
 def at_least(threshold: float, n: Column) -> Column:
@@ -69,25 +96,29 @@ def at_least(threshold: float, n: Column) -> Column:
     return F.ceil(F.lit(threshold) * n - 1e-9).cast("int")
 
 
-def first_lines(docs: DataFrame, table: bytes, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """(doc, pos, n, prefix, bits): of all lines with equal word sets the earliest."""
-    rows = lines_of(docs, id_col, text_col).select("doc", "pos", keys(words(F.col("line")), table).alias("k"))
-    bits = F.aggregate("k", F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+def first_lines(docs: DataFrame, table: Column, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """(doc, pos, n, prefix, low, high): of all lines with equal word sets the earliest."""
+    rows = lines_of(docs, id_col, text_col).where(has_word(F.col("line"))).select("doc", "pos", keys(words(F.col("line")), table).alias("k"))
     n = F.size("k")
-    prefix = F.slice("k", F.lit(1), F.when(n * (1 - threshold) >= threshold - 1e-9, n - at_least(threshold, n) + 1).otherwise(F.lit(0)))
-    rows = rows.where(F.size("k") > 0).select(F.xxhash64("k").alias("s1"), F.hash("k").alias("s2"), F.struct("doc", "pos", n.alias("n"), prefix.alias("prefix"), bits.alias("bits")).alias("x"))
+    length = F.when(n * (1 - threshold) >= threshold - 1e-9, n - at_least(threshold, n) + 1).otherwise(F.lit(0))  # fewer words: equal sets only
+    own = F.struct("doc", "pos", n.alias("n"), F.slice("k", F.lit(1), length).alias("prefix"), bitmap(F.col("k"), 0).alias("low"), bitmap(F.col("k"), 1).alias("high"))
+    rows = rows.select(F.xxhash64("k").alias("s1"), F.hash("k").alias("s2"), own.alias("x"))
     return rows.groupBy("s1", "s2").agg(F.min("x").alias("x")).select("x.*")
 
 
 def _filters(threshold: float) -> Column:
-    """May ``a`` (the later line) and ``b`` be similar? Length, position of the shared token, bitmap."""
+    """May ``a`` (the later line) and ``b`` be similar? Length, position of the shared token, bitmaps.
+
+    Of the rarest tokens of two sets that differ in d, no more than 2 d differ; of whole sets, d.
+    """
     both = F.col("a.n") + F.col("b.n")
     need = at_least(threshold / (1 + threshold), both)
     shorter, longer = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
     left = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
-    apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
+    apart = F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low"))) + F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high")))
+    differ = (both - 2 * need) * F.when(longer <= SHOWN, 1).otherwise(2)
     earlier = (F.col("b.doc") < F.col("a.doc")) | ((F.col("b.doc") == F.col("a.doc")) & (F.col("b.pos") < F.col("a.pos")))
-    return earlier & (shorter >= F.lit(threshold) * longer - 1e-9) & (left >= need) & (apart <= both - 2 * need)
+    return earlier & (shorter >= F.lit(threshold) * longer - 1e-9) & (left >= need) & (apart <= differ)
 
 
 def _meet(later: DataFrame, earlier: DataFrame, threshold: float) -> DataFrame:
@@ -123,9 +154,9 @@ def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thre
     wanted = cut(ends.groupBy("doc").agg(F.collect_list("pos").alias("wanted")))
     own = docs.select(F.col(quoted(id_col)).cast("long").alias("doc"), F.col(quoted(text_col)).alias("text"))
     texts = own.where(may_be(F.col("doc"), id_filter(wanted, "doc"))).join(wanted, "doc")
-    lines = F.split("text", "\n", -1)
-    each = texts.select("doc", F.explode(F.transform(F.array_distinct("wanted"), lambda p: F.struct(p.alias("pos"), F.array_distinct(words(F.get(lines, p))).alias("w")))).alias("x"))
-    each = cut(each.select("doc", "x.pos", "x.w").dropDuplicates(["doc", "pos"]))
+    texts = texts.withColumn("copy", F.row_number().over(Window.partitionBy("doc").orderBy("text"))).where("copy = 1")
+    each = texts.select("doc", "wanted", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(F.array_contains("wanted", F.col("pos")))
+    each = cut(each.select("doc", "pos", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("w")))
     other = each.select(F.col("doc").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("w").alias("w_b"))
     joined = pairs.join(each, ["doc", "pos"]).join(other, ["doc_b", "pos_b"])
     common = F.size(F.array_intersect("w", "w_b"))
@@ -136,10 +167,10 @@ def kept_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """(doc, pos) of every line with a word that no earlier line removes."""
     table = rarity(docs, text_col)
     first = cut(first_lines(docs, table, id_col, text_col, threshold))
-    prefix = first.select("doc", "pos", "n", "bits", F.posexplode("prefix").alias("i", "token"))
-    often = F.shiftright("token", 56) >= int(4 * log2(FREQUENT + 1))
+    prefix = first.select("doc", "pos", "n", "low", "high", F.posexplode("prefix").alias("i", "token"))
+    often = F.shiftright("token", 56) >= rank(FREQUENT)
     some, many = prefix.where(~often), prefix.where(often)
-    lead = F.min(F.struct("doc", "pos", "n", "bits", "i")).alias("x")
+    lead = F.min(F.struct("doc", "pos", "n", "low", "high", "i")).alias("x")
     leaders = many.groupBy("token", F.pmod(F.xxhash64("doc", "pos"), F.lit(LEADERS)).alias("salt")).agg(lead).select("token", "x.*")
     pairs = cut(_meet(some, some, threshold).unionByName(_meet(many, leaders, threshold)))
     gone = cut(_similar(pairs, docs, id_col, text_col, threshold))
@@ -157,7 +188,6 @@ def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
     share one count as one document, each place with all its texts.
     """
     kept = kept_lines(docs, id_col=id_col, text_col=text_col, threshold=threshold).groupBy("doc").agg(F.collect_set("pos").alias("kept"))
-    has_word = lambda x: x.rlike(r"[^\x20\t-\r]")
     lines = F.split(F.coalesce(F.col(quoted(text_col)), F.lit("")), "\n", -1)
     places = F.filter(F.transform(lines, lambda x, i: F.when(has_word(x), i)), lambda i: i.isNotNull())
     own = docs.where(F.col(quoted(id_col)).isNotNull()).select(F.col(quoted(id_col)).cast("long").alias("doc"), places.alias("own"))

@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from residuum.llm.common import cut, quoted
 
 #: Rows of a (length, chunk) group, about.
-CHUNK_ROWS = 1000
+CHUNK_ROWS = 200
 
 
 class Encoder:

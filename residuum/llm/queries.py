@@ -113,7 +113,7 @@ FROM w LEFT JOIN kept k USING (doc_id)
 
 ORACLES["op10_prefix_join"] = r"""
 WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
-l AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM raw),
+l AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[\x20\x09\x0A\x0D]+'), lambda x: x <> ''))) AS w FROM raw),
 line AS (SELECT doc_id, pos, w FROM l WHERE len(w) > 0),
 sets AS (SELECT w, row_number() OVER () AS s, arg_min(doc_id, {'d': doc_id, 'p': pos}) AS doc_id, arg_min(pos, {'d': doc_id, 'p': pos}) AS pos FROM line GROUP BY w),
 tok AS (SELECT s, doc_id, pos, len(w) AS n, unnest(w) AS t FROM sets),
