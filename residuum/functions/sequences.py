@@ -191,5 +191,5 @@ def chunk_of(accession: Column | str, chunks: int = 100) -> Column:
 
 def interface_key(positions: Column | str) -> Column:
     """Number made of least and greatest place and their number; differing sets may share it."""
-    p = col(positions)
+    p = F.transform(col(positions), lambda x: x.cast("long"))
     return (F.array_min(p) * F.lit(1_000_000_000) + F.array_max(p) * F.lit(10_000) + F.size(p)).cast("long")
