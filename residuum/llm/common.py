@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: Odd multipliers of the rolling hash and their inverses modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -43,6 +44,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def map_batches(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` over columns by place, so that their names may hold dots or spaces."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered for as many words as ``most``."""
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from residuum.llm.common import Rolling, cut, free_name, quoted
+from residuum.llm.common import Rolling, cut, free_name, map_batches, quoted
 
 #: Bytes that separate words become spaces, capitals become small letters.
 _TABLE = bytes(
@@ -158,6 +158,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
 
 def _scan(spark: SparkSession, docs: DataFrame, index: Index, text_col: str, name: str) -> DataFrame:
     shared, at = spark.sparkContext.broadcast(cloudpickle.dumps(index)), docs.columns.index(text_col)
+    names = [*docs.columns, name]
     kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("item", pa.string())])))])
 
     def run(batches):
@@ -168,9 +169,9 @@ def _scan(spark: SparkSession, docs: DataFrame, index: Index, text_col: str, nam
                 words = words_of(text)
                 spans = hits(words, own, rolling)
                 out.append({"n_words": len(words), "spans": [{"first": a, "last": b, "item": i} for a, b, i in spans]})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, _FOUND)]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, _FOUND)]))
 
 
 def digest(found: DataFrame, name: str, id_col: str = "doc_id") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from residuum.llm.common import free_name, quoted
+from residuum.llm.common import free_name, map_batches, quoted
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 UNSEEN = frozenset("head script style template noscript title meta link base datalist iframe object audio video canvas svg math".split())
@@ -293,7 +293,7 @@ def extract(pages: DataFrame, *, html_col: str = "html", out: str = "text") -> t
             texts = [render(x) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], [*keep, name])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], T.StructField(name, T.StringType())])), name
+    return map_batches(rows, run, T.StructType([*rows.schema.fields[1:], T.StructField(name, T.StringType())])), name
 
 
 def digest(found: DataFrame, name: str, id_col: str = "page_id") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from residuum.llm.common import cut, quoted
+from residuum.llm.common import cut, free_name, quoted
 
 THRESHOLD = 0.9
 #: log2 of the counts of the rarity table.
@@ -202,15 +202,17 @@ def cleaned(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     Other columns stay as they are, also counts of characters. Rows without an id, and
     documents that had no word before, stay.
     """
-    gone = cut(judged(docs, id_col=id_col, text_col=text_col, threshold=threshold).where(F.size("removed") > 0).select(F.col("doc").alias("_doc"), "n_lines", "removed"))
+    own = free_name(docs.columns, "gone")
+    gone = cut(judged(docs, id_col=id_col, text_col=text_col, threshold=threshold).where(F.size("removed") > 0).select(F.struct("doc", "n_lines", "removed").alias(own)))
+    removed = F.col(f"{own}.removed")
     key = F.col(quoted(id_col)).cast("long")
-    touched = F.coalesce(may_be(key, id_filter(gone, "_doc")), F.lit(False))
+    touched = F.coalesce(may_be(key, id_filter(gone, f"{own}.doc")), F.lit(False))
     lines = F.split(F.col(quoted(text_col)), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n")
-    rows = docs.where(touched).join(gone, key == F.col("_doc"), "left")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(removed, i)), "\n")
+    rows = docs.where(touched).join(gone, key == F.col(f"{own}.doc"), "left")
     if drop_empty:
-        rows = rows.where(F.col("removed").isNull() | (F.size("removed") < F.col("n_lines")))
-    rows = rows.withColumn(text_col, F.when(F.col("removed").isNotNull(), left).otherwise(F.col(quoted(text_col))))
+        rows = rows.where(removed.isNull() | (F.size(removed) < F.col(f"{own}.n_lines")))
+    rows = rows.withColumn(text_col, F.when(removed.isNotNull(), left).otherwise(F.col(quoted(text_col))))
     return docs.where(~touched).unionByName(rows.select(*map(quoted, docs.columns)))
 
 

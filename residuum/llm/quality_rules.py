@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from residuum.llm.common import Rolling, cut, quoted
+from residuum.llm.common import Rolling, cut, map_batches, quoted
 
 #: Measures of a text, in the order of the result.
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
@@ -100,7 +100,7 @@ def measured(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], [*keep, *MEASURES])
 
     fields = [*rows.schema.fields[1:], *(T.StructField(m, T.LongType()) for m in MEASURES)]
-    return rows.mapInArrow(run, T.StructType(fields))
+    return map_batches(rows, run, T.StructType(fields))
 
 
 def base_failed() -> Column:

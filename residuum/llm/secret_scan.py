@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from residuum.llm.common import quoted
+from residuum.llm.common import free_name, quoted
 
 
 @dataclass(frozen=True)
@@ -94,21 +94,26 @@ def scan(docs: DataFrame, *, text_col: str = "text", ledger: DataFrame | None =
 def findings(docs: DataFrame, ledger: DataFrame, *, text_col: str = "text", rules: tuple[Rule, ...] = RULES, blob: str = "blob", found: str = "found") -> DataFrame:
     """Each path (row of ``docs``) with its blob and, in order of place, all spans of the current rules.
 
-    Blobs without a find have an empty list. Columns of ``docs`` stay.
+    Blobs without a find have an empty list. Columns of ``docs`` stay; should one be named
+    ``blob`` or ``found``, the new ones, which are the last, get underscores in front.
     """
+    blob = free_name(docs.columns, blob)
+    found = free_name([*docs.columns, blob], found)
+    key = free_name([*docs.columns, blob, found], "key")
     current = F.lit(False)
     for r in rules:
         current = current | ((F.col("rule") == r.kind) & (F.col("version") == r.version))
     order = {r.kind: i for i, r in enumerate(rules)}
     rank = F.coalesce(*(F.when(F.col("rule") == k, F.lit(i)) for k, i in order.items()))
     each = ledger.where(current & (F.size("spans") > 0)).select("blob", rank.alias("rank"), "rule", F.inline("spans"))
-    own = each.groupBy(F.col("blob").alias("_blob")).agg(F.array_sort(F.collect_set(F.struct("first", "rank", "last", "rule"))).alias(found))
+    own = each.groupBy(F.col("blob").alias(key)).agg(F.array_sort(F.collect_set(F.struct("first", "rank", "last", "rule"))).alias(found))
     paths = with_blob(docs, text_col, blob)
-    return paths.join(own, paths[blob] == own["_blob"], "left").drop("_blob").withColumn(found, F.coalesce(F.col(found), F.array().cast("array<struct<first:int,rank:int,last:int,rule:string>>")))
+    return paths.join(own, F.col(blob) == F.col(key), "left").drop(key).withColumn(found, F.coalesce(F.col(found), F.array().cast("array<struct<first:int,rank:int,last:int,rule:string>>")))
 
 
-def digest(found: DataFrame, id_col: str = "doc_id", name: str = "found") -> DataFrame:
+def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts of the base kinds, the digest of their spans, and all spans as text."""
+    name = found.columns[-1]
     base = F.filter(name, lambda x: x["rule"].isin(*BASE_KINDS))
     as_text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["rule"], x["first"].cast("string"), x["last"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter(name, lambda x: x["rule"] == kind)).cast("long").alias(f"n_{kind}")
