@@ -252,14 +252,18 @@ def test_accuracies_are_recovered():
 
 
 def test_classifier_on_held_out_labels(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    """On a thousand documents: the two hundred of the smallest tables are too few to fit the scorer."""
+    folder = Path(sf_dir).with_name("sf0.01")
+    if not folder.is_dir():
+        pytest.skip("no tables of a thousand documents")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     held = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
     found, name = weak_labels.scored(docs, weak_labels.train(docs, labels.where(~held)))
-    rows = found.select("doc_id", F.col(f"{name}.kept").alias("kept")).join(labels.where(held), "doc_id").select("kept", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")).collect()
+    kept = found.select("doc_id", F.col(f"{name}.kept").alias("kept"))
+    rows = kept.join(labels.where(held), "doc_id").select("kept", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")).collect()
     good = [r["kept"] for r in rows if r["good"]]
-    assert sum(good) >= 0.95 * len(good)
-    assert sum(r["kept"] == r["good"] for r in rows) >= 0.85 * len(rows)
+    assert sum(good) >= 0.98 * len(good)
+    assert sum(r["kept"] == r["good"] for r in rows) >= 0.9 * len(rows)
 
 
 def test_classifier_odd_rows(spark):
