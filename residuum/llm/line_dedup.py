@@ -14,7 +14,6 @@ that no line has removed by then meet them all.
 
 from __future__ import annotations
 
-from functools import reduce
 from math import log2
 
 from pyspark.sql import Column, DataFrame
@@ -80,15 +79,11 @@ def keys(tokens: Column, table: Column) -> Column:
 def bitmap(k: Column, half: int) -> Column:
     """One of two halves of 128 bits that the ``SHOWN`` rarest tokens mark, each its own.
 
-    Spelled out term by term, so that it is compiled.
+    A fold over the tokens: spelled out, the terms make a method too long for the JVM to compile.
     """
-
-    def term(i: int) -> Column:
-        token = F.get(k, F.lit(i))
-        mark = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(token.bitwiseAND(F.lit(64)) == 64 * half, mark).otherwise(F.lit(0).cast("long"))
-
-    return reduce(lambda a, b: a.bitwiseOR(b), map(term, range(SHOWN)))
+    mark = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    own = F.filter(F.slice(k, 1, SHOWN), lambda t: t.bitwiseAND(F.lit(64)) == 64 * half)
+    return F.aggregate(own, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseOR(mark(t)))
 
 
 def at_least(threshold: float, n: Column) -> Column:
