@@ -1,18 +1,21 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule compares one measure of a document with a cutoff of a fixed grid. On labelled
-documents, for every stratum, rule and cutoff, the exact (Clopper-Pearson) upper bound on
-the share of good documents that the cutoff would reject is tested against the risk
-allotted to the rule. A Bonferroni correction over all tests makes the guarantee hold for
-all chosen cutoffs together: with confidence ``1 - delta`` no stratum loses more than
-``risk`` of its good documents to the rules. The strictest cutoff that passes is chosen; a
-rule with none, for want of labels, rejects nothing in that stratum.
+Each rule compares one measure of a document with a cutoff of a fixed grid. The rules start
+switched off and are tightened one cutoff at a time, each from the loosest on, along one path
+of steps. The labelled bad documents give the order: the step that catches most of them comes
+next. Good documents have no part in it, so for them the path is a fixed sequence of tests: in
+each stratum, after each step, the exact (Clopper-Pearson) upper bound on the share of good
+documents that all rules together would reject is tested against ``risk``, up to the first
+step that fails. A fixed sequence needs no correction for its length, and a step that rejects
+no good document costs nothing. The level is divided by the number of strata only: with
+confidence ``1 - delta`` no stratum loses more than ``risk`` of its good documents to the
+rules. A stratum with fewer than ``labels_needed()`` good documents has no rules.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp, lgamma, log, log1p
+from math import ceil, exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -120,6 +123,30 @@ def passes(rejected: int, n: int, risk: float, level: float) -> bool:
     return n > 0 and rejected <= risk * n and log_tail(rejected, n, risk) <= log(level)
 
 
+def labels_needed(risk: float = 0.01, delta: float = 0.05, strata: tuple[str, ...] = STRATA) -> int:
+    """Good documents that a stratum needs for a first step, if that step rejects none of them."""
+    return ceil(log(delta / (len(strata) + 1)) / log1p(-risk))
+
+
+def path(caught: list[list[int]]) -> list[tuple[int, int]]:
+    """Steps (rule, place of the cutoff) given the bad documents that each cutoff of each rule
+    catches, from the loosest cutoff on: most newly caught first, then loosest. Cutoffs that
+    catch no more than the one before are passed over while the rule has one that does."""
+    at, steps = [-1] * len(caught), []
+    while True:
+        ways = []
+        for i, counts in enumerate(caught):
+            had = counts[at[i]] if at[i] >= 0 else 0
+            j = next((j for j in range(at[i] + 1, len(counts)) if counts[j] > had), at[i] + 1)
+            if j < len(counts):
+                ways.append((had - counts[j], j, i))
+        if not ways:
+            return steps
+        _, j, i = min(ways)
+        at[i] = j
+        steps.append((i, j))
+
+
 def _value(rule: Rule) -> Column:
     return F.when(F.col(rule.bottom) > 0, F.col(rule.top) / F.col(rule.bottom))
 
@@ -132,21 +159,30 @@ def stratum(col: str, strata: tuple[str, ...]) -> Column:
 def thresholds(holdout: DataFrame, good: Column, *, stratum_col: str = "stratum", strata: tuple[str, ...] = STRATA, rules: tuple[Rule, ...] = RULES, risk: float = 0.01, delta: float = 0.05) -> dict[tuple[str, str], float]:
     """{(stratum, rule): cutoff} from measured, labelled documents.
 
-    All labelled documents count. What reaches the driver is a count for each stratum, rule
-    and cutoff, however many documents there are.
+    All labelled documents count. What reaches the driver is a count for each rule and cutoff,
+    and one for each stratum and step of the path, however many documents there are.
     """
-    level = delta / ((len(strata) + 1) * sum(len(r.cutoffs) for r in rules))
-    over = []
-    for i, rule in enumerate(rules):
-        hit = [(_value(rule) < c) if rule.low else (_value(rule) > c) for c in rule.cutoffs]
-        over += [F.sum(F.when(h, 1).otherwise(0)).alias(f"r{i}_{j}") for j, h in enumerate(hit)]
-    rows = holdout.where(good & ~base_failed()).groupBy(stratum_col).agg(F.count("*").alias("n"), *over).collect()
+    rows = cut(holdout.where(~base_failed()).withColumn("_good", good))
+    orders = [sorted(rule.cutoffs, reverse=not rule.low) for rule in rules]  # from the loosest on
+    hit = lambda i, j: (_value(rules[i]) < orders[i][j]) if rules[i].low else (_value(rules[i]) > orders[i][j])
+    places = [(i, j) for i, order in enumerate(orders) for j in range(len(order))]
+    bad = rows.where("NOT _good").agg(*(F.count(F.when(hit(i, j), 1)).alias(f"r{i}_{j}") for i, j in places)).first()
+    steps = path([[bad[f"r{i}_{j}"] for j in range(len(order))] for i, order in enumerate(orders)])
+    first = F  # the step that first rejects the document
+    for k, (i, j) in enumerate(steps):
+        first = first.when(hit(i, j), F.lit(k))
+    first = first.otherwise(len(steps)) if steps else F.lit(0)
+    lost: dict[str, list[int]] = {}
+    for row in rows.where("_good").groupBy(F.col(stratum_col).alias("s"), first.alias("step")).agg(F.count("*").alias("n")).collect():
+        lost.setdefault(row["s"], [0] * (len(steps) + 1))[row["step"]] = row["n"]
     out = {}
-    for row in rows:
-        for i, rule in enumerate(rules):
-            passed = [c for j, c in enumerate(rule.cutoffs) if passes(row[f"r{i}_{j}"] or 0, row["n"], risk / len(rules), level)]
-            if passed:
-                out[row[stratum_col], rule.name] = max(passed) if rule.low else min(passed)
+    for s, counts in lost.items():
+        rejected = 0
+        for k, (i, j) in enumerate(steps):
+            rejected += counts[k]
+            if not passes(rejected, sum(counts), risk, delta / (len(strata) + 1)):
+                break
+            out[s, rules[i].name] = orders[i][j]
     return out
 
 
@@ -167,7 +203,7 @@ def apply(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     Null and empty texts have no words, so the base fails; rules whose measure has nothing
     to divide by do not reject; a null or unknown stratum is ``other``; documents labelled
     more than once are good if any label says so; repeated rows each get the verdict. With
-    no labels only the base rejects.
+    no labels only the base rejects. Labelled documents that the base rejects do not count.
     """
     rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"), stratum(stratum_col, strata).alias("stratum"))
     known = cut(measured(rows))

@@ -202,6 +202,24 @@ def test_rules_odd_rows(spark):
     assert quality_rules.apply(docs.limit(0), labels).count() == 0
 
 
+def test_rules_choose_a_cutoff_and_junk_goes(spark):
+    rng = random.Random(12)
+    need = quality_rules.labels_needed()
+    assert need == 459 and quality_rules.passes(0, need, 0.01, 0.01) and not quality_rules.passes(0, need - 1, 0.01, 0.01)
+    good = [(i, " ".join(prose(rng, 40)), "en" if i < need else "de") for i in range(2 * need - 1)]
+    junk = [(10_000 + i, " ".join(prose(rng, 25) + [f"$#{j}" for j in range(15)]), ("en", "de")[i % 2]) for i in range(80)]
+    labels = frame(spark, [(i, 1) for i, *_ in good] + [(i, 0) for i, *_ in junk[:40]], "doc_id long, quality int")
+    found = {r["doc_id"]: r for r in quality_rules.apply(frame(spark, good + junk, "doc_id long, text string, lang string"), labels).collect()}
+    assert all(found[i]["kept"] for i, *_ in good)
+    for i, _, lang in junk:  # also those without a label; the German documents are one label short
+        assert (lang == "en") == ("symbols" in found[i]["failed"]) == (not found[i]["kept"])
+
+
+def test_path_of_rules():
+    assert quality_rules.path([[0, 5, 5, 9], [0, 0, 7, 7]]) == [(1, 2), (0, 1), (0, 3), (1, 3)]
+    assert quality_rules.path([[0, 0], [0, 0]]) == [(0, 0), (1, 0), (0, 1), (1, 1)]
+
+
 # personal data
 
 
