@@ -86,6 +86,25 @@ def test_near_duplicates_as_by_all_pairs(spark):
     assert found == label
 
 
+def test_near_duplicates_planted_at_each_similarity(spark):
+    """Two texts a pair, the second with random words replaced; no word is in two pairs."""
+    rng, rows, plan = np.random.default_rng(5), [], {}
+    for n in (10, 20, 50, 100, 200):
+        for similarity in (0.8, 0.85, 0.9, 0.95):
+            for _ in range(40):
+                k, i = int((1 - similarity) * n + 1e-9), len(rows)
+                base = [f"w{i}x{j}" for j in range(n)]
+                copy = list(base)
+                for j in rng.choice(n, k, replace=False):
+                    copy[j] = f"y{i}x{j}"
+                rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+                plan.setdefault((n, similarity), []).append(i)
+    found = {r["id"]: r["class_id"] for r in near_dedup.classes(frame(spark, rows)).collect()}
+    recall = {case: np.mean([found[i + 1] == i for i in own]) for case, own in plan.items()}
+    for (n, similarity), share in recall.items():
+        assert share >= (1.0 if n <= near_dedup.SHORT else 0.9 if similarity == 0.8 else 0.95), recall
+
+
 def test_near_duplicates_odd_rows(spark):
     assert near_dedup.classes(frame(spark, [])).count() == 0
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "A b c d e f g"), (None, "a b c d e f g"), (3, None)]
