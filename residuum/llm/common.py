@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Hashable, Iterable
 
 import numpy as np
 import xxhash
@@ -16,10 +16,12 @@ UNBASE = pow(BASE, -1, 1 << 64)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where that is unset, as in local tests, a temporary one."""
+    """The session's ``spark.checkpoint.dir``; only on a local master, as in tests, a temporary one."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="residuum-")
         context.setCheckpointDir(folder)
     return folder
@@ -31,6 +33,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def kept_in_worker(key: Hashable, make: Callable):
+    """What ``make`` gives, made once for each Python worker and kept from task to task.
+
+    The functions of this package travel by value and have no globals of their own there, so
+    it is kept with a module that every worker has.
+    """
+    import pyspark
+
+    store = pyspark.__dict__.setdefault("_kept_by_residuum", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def free_name(taken: Iterable[str], wish: str) -> str:
     """``wish`` with as many underscores in front as it takes not to clash."""
     taken = {c.lower() for c in taken}

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from residuum.llm.common import cut, quoted
+from residuum.llm.common import cut, kept_in_worker, quoted
 
 #: Rows of a (length, chunk) group, about.
 CHUNK_ROWS = 200
@@ -41,7 +41,7 @@ class Encoder:
     ODD = ("\x85", "İ", "<|")
     PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         import regex
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -54,6 +54,7 @@ class Encoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.find, self.most = regex.compile(self.PIECE).findall, most
         self.ids: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(0x100) if b not in set(printed)]
         letter = {b: chr(b) for b in printed} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
@@ -65,27 +66,40 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [t.lower().split() if self.is_plain(t) else None for t in texts]
-        need = set().union(*(w for w in words if w))
-        new = need.difference(self.ids)
-        if new and len(self.ids) + len(new) > self.most:
-            self.ids.clear()
-            new = need
-        if new:
-            self._learn(list(new))
+        self._know(set().union(*(w for w in words if w)))
         get = self.ids.__getitem__
         return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
 
-    def _learn(self, words: list[str]) -> None:
-        split = [[w] if w.isalpha() else self.find(w) for w in words]
-        text = " ".join([p for pieces in split for p in pieces]).translate(self.letters)
-        ids = np.array(self.pieces.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        upto = np.cumsum([len(pieces) for pieces in split])
-        if len(ends) != upto[-1]:
-            raise ValueError("the vocabulary has tokens without a word end")
-        at = np.append(0, ends)[np.append(0, upto)].tolist()
-        raw = ids.tobytes()
-        self.ids.update({w: raw[4 * a : 4 * b] for w, a, b in zip(words, at, at[1:], strict=False)})
+    def _know(self, need: set[str]) -> None:
+        """Put the ids of these words into ``ids``. Words are remembered in two generations, so
+        that a full one leaves those that are in use."""
+        new = need.difference(self.ids)
+        if new and len(self.ids) + len(new) > self.most:
+            self.old, self.ids, new = self.ids, {}, need
+        old = [w for w in new if w in self.old]
+        if old:
+            self.ids.update(zip(old, map(self.old.__getitem__, old), strict=True))
+            new = new.difference(old)
+        if new:
+            self._learn(new)
+
+    def _learn(self, words: set[str]) -> None:
+        """A word of letters is one piece; any other one's ids are those of its pieces."""
+        mixed = [w for w in words if not w.isalpha()]
+        split = [(w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[:-1].isalpha() else self.find(w) for w in mixed]
+        known = self.ids
+        single = {w for w in words.difference(mixed) if w not in known}
+        single.update(p for parts in split for p in parts if p not in known)
+        if single:
+            single = list(single)
+            text = " ".join([w if w.isascii() else w.translate(self.letters) for w in single])
+            ids = np.array(self.pieces.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(single):
+                raise ValueError("the vocabulary has tokens without a word end")
+            at, raw = (4 * ends).tolist(), ids.tobytes()
+            known.update(zip(single, map(raw.__getitem__, map(slice, [0, *at[:-1]], at)), strict=True))
+        known.update((w, b"".join(map(known.__getitem__, parts))) for w, parts in zip(mixed, split, strict=True))
 
 
 def pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, separator: int = 0, with_ids: bool = False) -> DataFrame:
@@ -97,7 +111,7 @@ def pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     texts = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"))
 
     def run(batches):
-        encoder, end = Encoder(path), np.array([separator], "<u4").tobytes()
+        encoder, end = kept_in_worker(("encoder", path), lambda: Encoder(path)), np.array([separator], "<u4").tobytes()
         for batch in batches:
             for low in range(0, len(batch), 64):
                 part, rows = batch.slice(low, 64), []
@@ -258,7 +272,10 @@ def packed(cut_pieces: DataFrame, capacity: int = 2048) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, separator: int = 0) -> DataFrame:
-    """Where each piece of each document goes; see ``pieces`` for the columns."""
+    """Where each piece of each document goes: (id, piece, start, length, ids_crc32, sequence_id, offset).
+
+    Other columns of ``docs`` are left out, whatever their names; see ``pieces`` for null texts.
+    """
     return packed(cut(pieces(docs, path, id_col=id_col, text_col=text_col, capacity=capacity, separator=separator)), capacity)
 
 
