@@ -1,15 +1,23 @@
 """Text of HTML pages as a reader sees it.
 
-A tree builder opens and closes what the source leaves out; elements that are not rendered
-are left out with all they hold; what remains flows into lines: blocks start and end lines,
-paragraphs and headings keep a blank line, list items get a marker and an indent, and cells
-of a table stand in columns.
+A tree builder opens and closes what the source leaves out. Elements that are not rendered
+are passed over with all they hold: by their kind, the ``hidden`` attribute, an inline style,
+a plain rule of the page's own style sheets (one tag, class or id), a ``dialog`` or ``details``
+that is not open. What remains flows into lines: blocks start and end lines, paragraphs and
+headings keep a blank line, list items get a marker and an indent, and cells of a table stand
+in columns, also below cells that span rows.
+
+Nesting has no limit; lines are indented for the first ``LEVELS`` levels only. A table is
+padded with at most ``PADDING`` characters for each of its own (and a page line): where one
+giant cell would take more, wider cells push the rest of their row to the right.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,17 +27,22 @@ from pyspark.sql import types as T
 from residuum.llm.common import free_name, map_batches, quoted
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-UNSEEN = frozenset("head script style template noscript title meta link base datalist iframe object audio video canvas svg math".split())
+UNSEEN = frozenset("head script style template noscript title meta link base datalist iframe object audio video canvas".split())
+#: Not rendered within drawings and formulas.
+FOREIGN, FOREIGN_UNSEEN = frozenset(("svg", "math")), frozenset("desc metadata defs symbol annotation annotation-xml".split())
 IN_HEAD = frozenset("title meta link script style base noscript template".split())
 #: Blocks, and the blank lines that they keep around them.
 BLOCKS = dict.fromkeys("address article aside body center dd details dialog div dt fieldset figcaption figure footer form header hgroup html legend li main menu nav optgroup option search section summary table caption tbody thead tfoot tr".split(), 0) | dict.fromkeys("blockquote dl h1 h2 h3 h4 h5 h6 hr ol p pre ul".split(), 1)
 #: A start tag of the key closes the nearest open element of the values, if nothing of BOUNDS stands between.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")} | dict.fromkeys(("tbody", "thead", "tfoot"), ("tbody", "thead", "tfoot"))
-BOUNDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "optgroup": {"select"}} | dict.fromkeys(("tr", "td", "th", "tbody", "thead", "tfoot"), {"table"})
+BOUNDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "option": ("select",), "optgroup": ("select",)} | dict.fromkeys(("tr", "td", "th", "tbody", "thead", "tfoot"), ("table",))
 HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
+SHOWN = re.compile(r"(?:display|visibility)\s*:", re.IGNORECASE)
 SPACE = re.compile(r"[ \t\n\r\f]+")
-#: Deeper elements are children of the one at this depth; wider cells are not padded for; a cell spans at most so many columns.
-DEPTH, WIDE, SPAN = 256, 60, 100
+RULE = re.compile(r"(?:([a-z][a-z0-9]*)|([.#])([A-Za-z_][\w-]*))\Z")
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+#: Levels of indent that show; characters of padding for each character of a table; columns and rows of a cell at most, as browsers have it.
+LEVELS, PADDING, COLUMNS, ROWS = 32, 16, 1000, 65534
 
 
 class Flow:
@@ -71,10 +84,10 @@ class Flow:
         if self.lines:
             self.lines += [""] * self.gap
         self.gap = 0
-        indent = "".join(self.indents)
+        indent = "".join(self.indents[:LEVELS])
         for line in lines:
             if self.marker and line:
-                lead, self.marker = indent[: len(indent) - len(self.marker)] + self.marker, ""
+                lead, self.marker = "".join(self.indents[:-1][:LEVELS]) + self.marker, ""
             else:
                 lead = indent
             self.lines.append((lead + line).rstrip())
@@ -90,75 +103,233 @@ class Flow:
         return self.lines
 
 
+class Cell:
+    def __init__(self, columns: int, rows: int):
+        self.columns, self.rows, self.at, self.lines = columns, rows, 0, []
+
+    def width(self) -> int:
+        return max(map(len, self.lines), default=0)
+
+
 class Table:
     def __init__(self):
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[Cell]] = []
 
-    def lines(self) -> list[str]:
-        """Rows in columns; a cell that spans several, or is wide, does not widen its column."""
-        widths: dict[int, int] = {}
+    def _placed(self) -> None:
+        """Give each cell its first column; columns that a cell from above holds are passed over."""
+        held: list[tuple[int, int, int]] = []  # first column, column after the last, rows left
+        room = 100 * sum(map(len, self.rows)) + 100_000
         for row in self.rows:
-            at = 0
-            for cell, span in row:
-                wide = max(map(len, cell), default=0)
-                if span == 1 and wide <= WIDE:
-                    widths[at] = max(widths.get(at, 0), wide)
-                at += span
+            room -= len(held)
+            at, own, above = 0, [], iter(held)
+            next_held = next(above, None)
+            for cell in row:
+                while next_held and next_held[0] < at + 1:
+                    at = max(at, next_held[1])
+                    next_held = next(above, None)
+                cell.at = at
+                at += cell.columns
+                if cell.rows > 1:
+                    own.append((cell.at, at, cell.rows))
+            held = sorted((first, last, left - 1) for first, last, left in [*held, *own] if left > 1) if room > 0 else []
+
+    def _widths(self) -> dict[int, int]:
+        """The width of each column that a cell of its own has, gap included."""
+        cells = [(c.at, c.width()) for row in self.rows for c in row if c.columns == 1]
+        own = sum(len(x) for row in self.rows for c in row for x in c.lines)
+        height = sum(max((len(c.lines) for c in row), default=0) for row in self.rows)
+        most = max((w for _, w in cells), default=0)
+        while True:
+            widths: dict[int, int] = {}
+            for at, w in cells:
+                widths[at] = max(widths.get(at, 0), w + 2 if w <= most else 2)
+            if height * sum(widths.values()) <= PADDING * (own + 80 * len(widths)):
+                return widths
+            if not most:
+                return {}
+            most //= 2
+
+    def lines(self) -> list[str]:
+        self._placed()
+        widths = self._widths()
+        starts = sorted(widths)
+        ends = [0, *accumulate(widths[at] for at in starts)]
+        left_of = lambda at: ends[bisect_left(starts, at)]
         out = []
         for row in self.rows:
-            for i in range(max((len(cell) for cell, _ in row), default=0)):
-                line, at = "", 0
-                for cell, span in row:
-                    room = sum(widths.get(at + j, 0) + 2 for j in range(span))
-                    own = cell[i] if i < len(cell) else ""
-                    line += own.ljust(room) if len(own) < room else own + "  "
-                    at += span
+            for i in range(max((len(c.lines) for c in row), default=0)):
+                line, over = "", 0  # over: how far a wide cell has pushed what follows
+                for cell in row:
+                    if i < len(cell.lines) and cell.lines[i]:
+                        place = max(left_of(cell.at) + over, len(line) + 2 if line else 0)
+                        over = place - left_of(cell.at)
+                        line = line.ljust(place) + cell.lines[i]
                 out.append(line.rstrip())
         return out
 
 
-class Reader(HTMLParser):
-    """Builds the open path of the tree and writes what is visible as it goes."""
+class Node:
+    __slots__ = ("children", "given", "tag")
+
+    def __init__(self, tag: str, given: dict):
+        self.tag, self.given, self.children = tag, given, []
+
+
+class Builder(HTMLParser):
+    """Builds the tree of a page; ``at`` has the places of each tag in the open path."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[str] = []
-        self.count: dict[str, int] = {}
-        self.unseen = 0  # place in the path of the outermost hidden element, plus one
-        self.flows, self.tables = [Flow()], []
-        self.lists: list[list] = []
-        self.deep: dict[str, int] = {}
+        self.root = Node("#root", {})
+        self.open, self.at, self.styles = [self.root], {}, []
+
+    def _to_end(self, place: int) -> int:
+        """What is not closed by the end of the page goes with all that follows, as in browsers."""
+        return place if place >= 0 else len(self.rawdata)
+
+    def parse_starttag(self, i):
+        return self._to_end(super().parse_starttag(i))
+
+    def parse_endtag(self, i):
+        return self._to_end(super().parse_endtag(i))
+
+    def parse_comment(self, i, report=1):
+        return self._to_end(super().parse_comment(i, report))
+
+    def parse_pi(self, i):
+        return self._to_end(super().parse_pi(i))
+
+    def parse_html_declaration(self, i):
+        return self._to_end(super().parse_html_declaration(i))
+
+    def parse_marked_section(self, i, report=1):
+        """Not of HTML: passed over to its end, like a comment."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
+    def _last(self, tag: str) -> int:
+        places = self.at.get(tag)
+        return places[-1] if places else 0
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        if tag not in VOID and any(map(self._last, FOREIGN)) and self.open[-1].tag == tag:
+            self._pop()
 
     def handle_starttag(self, tag, attrs):
-        if "head" in self.count and tag not in IN_HEAD and tag not in ("head", "html"):
+        if self._last("head") and tag not in IN_HEAD and tag not in ("head", "html"):
             self._close("head")
         if tag in CLOSES:
             self._close_near(CLOSES[tag], BOUNDS[tag])
-        if tag in ("td", "th") and self.tables and "tr" not in self._since("table"):
+        if tag in ("td", "th") and self._last("table") and self._last("tr") < self._last("table"):
             self.handle_starttag("tr", [])
-        if tag in BLOCKS and "p" in self.count:
-            self._close_near(("p",), {"td", "th", "table", "caption", "button", "li", "dd"} if tag != "p" else {"td", "th", "table", "caption", "button"})
-        if tag in VOID:
-            if not self.unseen:
-                self._void(tag)
-            return
-        if len(self.open) >= DEPTH:
-            self.deep[tag] = self.deep.get(tag, 0) + 1
-            if not self.unseen and tag in BLOCKS:
-                self.flows[-1].block(BLOCKS[tag])
-            return
-        self.open.append(tag)
-        self.count[tag] = self.count.get(tag, 0) + 1
-        if self.unseen:
-            return
-        given = dict(attrs)
-        if tag in UNSEEN or "hidden" in given or HIDDEN.search(given.get("style") or ""):
-            self.unseen = len(self.open)
-        else:
-            self._enter(tag, given)
+        if tag in BLOCKS and self._last("p"):
+            self._close_near(("p",), ("td", "th", "table", "caption", "button", "li", "dd") if tag != "p" else ("td", "th", "table", "caption", "button"))
+        node = Node(tag, dict(attrs))
+        self.open[-1].children.append(node)
+        if tag not in VOID:
+            self.at.setdefault(tag, []).append(len(self.open))
+            self.open.append(node)
+
+    def handle_endtag(self, tag):
+        place, table = self._last(tag), self._last("table")
+        if not place:
+            if tag == "p":
+                self.open[-1].children.append(Node("p", {}))
+        elif place > table or tag in ("table", "html", "body"):  # else: an end tag does not reach out of its table
+            self._close(tag)
+
+    def _close_near(self, tags: tuple[str, ...], bounds: tuple[str, ...]) -> None:
+        """Close the nearest open element of ``tags`` if none of ``bounds`` is within it."""
+        place = max(map(self._last, tags))
+        if place > max(map(self._last, bounds)):
+            self._close(self.open[place].tag)
+
+    def _close(self, tag: str) -> None:
+        """Close the nearest open ``tag`` and all within."""
+        place = self._last(tag)
+        while len(self.open) > place:
+            self._pop()
+
+    def _pop(self) -> None:
+        self.at[self.open.pop().tag].pop()
+
+    def handle_data(self, data):
+        if self.open[-1].tag == "head" and data.strip():
+            self._close("head")
+        if self.open[-1].tag == "style":
+            self.styles.append(data)
+        self.open[-1].children.append(data)
+
+
+class Unseen:
+    """What the page's own style sheets hide, by tag, class and id."""
+
+    def __init__(self, sheets: list[str]):
+        self.tags, self.classes, self.ids = set(), set(), set()
+        kinds = {"": self.tags, ".": self.classes, "#": self.ids}
+        for sheet in sheets:
+            depth, selector = 0, ""
+            for part in re.split(r"([{}])", COMMENT.sub(" ", sheet)):
+                if part == "{":
+                    depth += 1
+                elif part == "}":
+                    depth = max(0, depth - 1)
+                elif not depth:
+                    selector = part.rpartition(";")[2]
+                elif depth == 1 and not selector.lstrip().startswith("@"):
+                    hides, says = HIDDEN.search(part), SHOWN.search(part)
+                    for one in selector.split(",") if hides or says else ():
+                        if m := RULE.match(one.strip()):
+                            own = kinds[m[2] or ""]
+                            (own.add if hides else own.discard)(m[3] or m[1])
+
+    def has(self, node: Node) -> bool:
+        given = node.given
+        if node.tag in UNSEEN or "hidden" in given or (node.tag == "dialog" and "open" not in given) or HIDDEN.search(given.get("style") or ""):
+            return True
+        return node.tag in self.tags or (given.get("id") in self.ids) or bool(self.classes and not self.classes.isdisjoint((given.get("class") or "").split()))
+
+
+def _number(given: dict, name: str, most: int, least: int = 1) -> int:
+    text = (given.get(name) or "1").strip()
+    return min(most, max(least, int(text))) if text.isascii() and text.isdigit() and len(text) < 9 else 1
+
+
+class Writer:
+    """Walks the tree and writes what is visible."""
+
+    def __init__(self, unseen: Unseen):
+        self.unseen = unseen
+        self.flows, self.tables, self.lists = [Flow()], [], []
+        self.kept = self.foreign = 0  # open elements that keep white space, and drawings or formulas
+
+    def walk(self, root: Node) -> str:
+        path = [(root, iter(root.children))]
+        summaries: set[int] = set()  # closed ``details`` whose summary has been written
+        while path:
+            node, rest = path[-1]
+            folded = node.tag == "details" and "open" not in node.given
+            for child in rest:
+                if isinstance(child, str):
+                    if not folded:
+                        self.flows[-1].text(child, self.kept > 0)
+                elif folded and (child.tag != "summary" or id(node) in summaries):
+                    continue
+                elif not (self.unseen.has(child) or (self.foreign and child.tag in FOREIGN_UNSEEN)):
+                    if folded:
+                        summaries.add(id(node))
+                    if child.tag in VOID:
+                        self._void(child.tag)
+                    else:
+                        self._enter(child)
+                        path.append((child, iter(child.children)))
+                        break
+            else:
+                path.pop()
+                if path:
+                    self._leave(node)
+        return "\n".join(self.flows[0].done()).strip("\n")
 
     def _void(self, tag: str) -> None:
         flow = self.flows[-1]
@@ -167,8 +338,10 @@ class Reader(HTMLParser):
         elif tag == "hr":
             flow.block(1)
 
-    def _enter(self, tag: str, given: dict) -> None:
-        flow = self.flows[-1]
+    def _enter(self, node: Node) -> None:
+        tag, flow = node.tag, self.flows[-1]
+        self.kept += tag in ("pre", "textarea")
+        self.foreign += tag in FOREIGN
         if tag in BLOCKS:
             flow.block(BLOCKS[tag] if not (tag in ("ul", "ol") and self.lists) else 0)
         if tag == "table":
@@ -176,14 +349,13 @@ class Reader(HTMLParser):
         elif tag == "tr" and self.tables:
             self.tables[-1].rows.append([])
         elif tag in ("td", "th") and self.tables:
-            span = (given.get("colspan") or "1").strip()
             if not self.tables[-1].rows:
                 self.tables[-1].rows.append([])
-            self.tables[-1].rows[-1].append(([], min(SPAN, max(1, int(span))) if span.isascii() and span.isdigit() and len(span) < 6 else 1))
+            rows = _number(node.given, "rowspan", ROWS, 0)
+            self.tables[-1].rows[-1].append(Cell(_number(node.given, "colspan", COLUMNS), rows or ROWS))
             self.flows.append(Flow())
         elif tag in ("ul", "ol", "menu"):
-            start = (given.get("start") or "1").strip()
-            self.lists.append([tag == "ol", int(start) if start.isascii() and start.isdigit() and len(start) < 9 else 1])
+            self.lists.append([tag == "ol", _number(node.given, "start", 1 << 30)])
         elif tag == "li":
             kind = self.lists[-1] if self.lists else [False, 1]
             flow.marker = f"{kind[1]}. " if kind[0] else "- "
@@ -192,90 +364,33 @@ class Reader(HTMLParser):
         elif tag in ("blockquote", "dd"):
             flow.indents.append("  ")
 
-    def _leave(self, tag: str) -> None:
-        flow = self.flows[-1]
-        if tag in ("td", "th") and self.tables and len(self.flows) > 1:
-            self.flows.pop()
-            cell, span = self.tables[-1].rows[-1][-1]
-            self.tables[-1].rows[-1][-1] = (flow.done(), span)
+    def _leave(self, node: Node) -> None:
+        tag = node.tag
+        self.kept -= tag in ("pre", "textarea")
+        self.foreign -= tag in FOREIGN
+        if tag in ("td", "th") and self.tables:
+            self.tables[-1].rows[-1][-1].lines = self.flows.pop().done()
             return
+        flow = self.flows[-1]
         if tag in BLOCKS:
             flow.block(BLOCKS[tag] if not (tag in ("ul", "ol") and len(self.lists) > 1) else 0)
-        if tag == "table" and self.tables:
+        if tag == "table":
             flow.write(self.tables.pop().lines())
             flow.block(0)
-        elif tag in ("ul", "ol", "menu") and self.lists:
+        elif tag in ("ul", "ol", "menu"):
             self.lists.pop()
-        elif tag in ("li", "blockquote", "dd") and flow.indents:
+        elif tag in ("li", "blockquote", "dd"):
             flow.indents.pop()
             if tag == "li":
                 flow.marker = ""
 
-    def handle_endtag(self, tag):
-        if tag == "p" and "p" not in self.count and not self.unseen:
-            self.flows[-1].block(1)
-        if self.deep.get(tag):
-            self.deep[tag] -= 1
-            if not self.unseen and tag in BLOCKS:
-                self.flows[-1].block(BLOCKS[tag])
-        elif tag in self.count:
-            if tag not in ("table", "html", "body") and self.tables and tag not in self._since("table"):
-                return  # an end tag does not reach out of its table
-            self._close(tag)
-
-    def _since(self, tag: str) -> list[str]:
-        """The path within the nearest open ``tag``."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i] == tag:
-                return self.open[i + 1 :]
-        return self.open
-
-    def _close_near(self, tags: tuple[str, ...], bounds: set[str]) -> None:
-        for tag in reversed(self.open):
-            if tag in tags:
-                return self._close(tag)
-            if tag in bounds:
-                return None
-        return None
-
-    def _close(self, tag: str) -> None:
-        """Close the nearest open ``tag`` and all within."""
-        while self.open:
-            last = self.open.pop()
-            self.count[last] -= 1
-            if not self.count[last]:
-                del self.count[last]
-            if self.unseen > len(self.open):
-                self.unseen = 0
-            elif not self.unseen:
-                self._leave(last)
-            if last == tag:
-                return
-
-    def handle_data(self, data):
-        if "head" in self.count and self.open[-1] == "head" and data.strip():
-            self._close("head")
-        if not self.unseen:
-            self.flows[-1].text(data, "pre" in self.count or "textarea" in self.count)
-
-    def result(self) -> str:
-        while self.open:
-            self._close(self.open[-1])
-        return "\n".join(self.flows[0].done()).strip("\n")
-
 
 def render(html: str | None) -> str:
     """Visible text of a page; null and empty give an empty text."""
-    reader, rest = Reader(), html or ""
-    while rest:
-        try:
-            reader.feed(rest)
-            reader.close()
-            break
-        except AssertionError:  # a declaration that the tokenizer can't read: its sign is text
-            rest = "&lt;" + reader.rawdata[1:]
-            reader.rawdata = ""
-    return reader.result()
+    builder = Builder()
+    builder.feed(html or "")
+    builder.close()
+    return Writer(Unseen(builder.styles)).walk(builder.root)
 
 
 def extract(pages: DataFrame, *, html_col: str = "html", out: str = "text") -> tuple[DataFrame, str]:

@@ -3,6 +3,7 @@ texts, ties and repeated rows, empty tables, further columns with clashing names
 
 import random
 import sys
+import time
 from itertools import combinations
 from pathlib import Path
 
@@ -264,10 +265,63 @@ def test_personal_data_odd_rows(spark):
 @pytest.mark.parametrize(("html", "text"), [
     (None, ""), ("", ""), ("<p>a<p>b", "a\n\nb"), ("<title>t</title><script>x</script><p>seen <b>bold</b></p>", "seen bold"),
     ("<ul><li>a<li>b</ul>", "- a\n- b"), ("<ol start=3><li>a<li>b</ol>", "3. a\n4. b"), ("<div hidden>no</div><div style='display:none'>no</div>yes", "yes"),
-    ("<table><tr><td>a<td>long cell<tr><td>wide one<td>b</table>", "a         long cell\nwide one  b"), ("a &amp; b<br>c", "a & b\nc"), ("<pre>x  y\n z</pre>", "x  y\n z"), ("<![x", None), ("<p>open <i>tags", "open tags"),
+    ("<table><tr><td>a<td>long cell<tr><td>wide one<td>b</table>", "a         long cell\nwide one  b"), ("a &amp; b<br>c", "a & b\nc"), ("<pre>x  y\n z</pre>", "x  y\n z"), ("<![x", ""), ("<p>open <i>tags", "open tags"), ("<p>a</p><![foo]>b", "a\n\nb"), ("<p>hello <![x rest</p>", "hello"), ("a<!-- b", "a"), ("a<p class='b", "a"),
+    ("<table><tr><td rowspan=2>A<td>b<tr><td>c<tr><td colspan=2>wide wide<td>z</table>", "A  b\n   c\nwide wide  z"), ("<table><tr><td>" + "x" * 61 + "<td>b<tr><td>c<td>d</table>", "x" * 61 + "  b\nc" + " " * 62 + "d"),
+    ("<details><summary>s</summary>no</details><details open>yes</details><dialog>no</dialog><dialog open>d</dialog>", "s\nyes\nd"), ("<svg><text>seen</text><desc>no</desc></svg> <math><mi>x</mi></math>", "seen x"),
+    ("<style>.x, #y {display:none} @media print {p {display:none}}</style><p class='a x'>no<p id=y>no<p>yes", "yes"), ("<div>" * 300 + "<script>no</script><p hidden>no</p><ul><li>q</ul>", "- q"),
 ])
 def test_render(html, text):
-    assert html_text.render(html) == text or text is None
+    assert html_text.render(html) == (text or "")
+
+
+def page_of(rng, depth=0):
+    """A random tree as source, with end tags left out where they may be, and its visible words in order."""
+    out, words = [], []
+    for _ in range(rng.randrange(1, 5)):
+        kind = rng.choice(["text", "div", "p", "span", "ul", "hidden", "script", "table", "comment"]) if depth < 5 else "text"
+        if kind == "text":
+            words.append(f"w{rng.randrange(10**6)}")
+            out.append(f" {words[-1]} ")
+        elif kind == "comment":
+            out.append(rng.choice(["<!-- c -->", "<!doctype html>", "<![if x]>", "<?pi?>"]))
+        elif kind == "script":
+            out.append("<script>no <b>no</script>")
+        elif kind == "p":
+            words.append(f"p{rng.randrange(10**6)}")
+            out.append(f"<p>{words[-1]}" + rng.choice(["</p>", "<div></div>"]))
+        elif kind in ("ul", "table"):
+            rows = [page_of(rng, depth + 1) for _ in range(rng.randrange(1, 4))]
+            if kind == "table":  # one line each, so that the order of words is that of the source
+                rows = [(" ".join(w), w) for _, w in rows]
+            words += [x for _, w in rows for x in w]
+            out.append("<ul>" + "".join("<li>" + h for h, _ in rows) + "</ul>" if kind == "ul" else "<table>" + "".join("<tr><td>" + h for h, _ in rows) + "</table>")
+        else:
+            html, own = page_of(rng, depth + 1)
+            tag = "div" if kind == "hidden" else kind
+            out.append(f"<{tag}{' hidden' if kind == 'hidden' else ''}>{html}</{tag}>")
+            words += [] if kind == "hidden" else own
+    return "".join(out), words
+
+
+def test_render_keeps_the_words_of_random_trees():
+    rng = random.Random(11)
+    for _ in range(400):
+        html, words = page_of(rng)
+        assert [w for w in html_text.render(html).split() if w not in ("-", "\u2022")] == words, html
+
+
+def test_render_ends_on_cut_and_long_pages(spark, sf_dir):
+    """Random cuts of the supplied pages, and markup that is never closed, each within a few seconds."""
+    rng, pages = random.Random(12), [r["html"] or "" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()]
+    start = time.process_time()
+    for page in pages[:150]:
+        a, b = sorted(rng.randrange(len(page) + 1) for _ in range(2))
+        html_text.render(page[:a] + rng.choice(["<![", "<!-", "<!--", "<", "</", "&", "<a b='", "<table>", "<td rowspan=9>"]) + page[b:])
+    for part in ("<!--", "<![x", "<a ", '<a b="', "<?", "</a ", "<div>", "<ul><li>", "<table><tr><td>", "<script>", "<td rowspan=60000>a<tr>", "</p>"):
+        html_text.render("<table>" + part * 20_000 + "end")
+    wide = html_text.render("<table><tr><td>" + "y" * 500_000 + "<td>b" + "<tr><td>c<td>d" * 5000)
+    assert len(wide) < 5_000_000
+    assert time.process_time() - start < 90
 
 
 def test_pages_odd_rows(spark):
@@ -295,7 +349,7 @@ def test_classifier_on_held_out_labels(spark, sf_dir):
         pytest.skip("no tables of a thousand documents")
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     held = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
-    found, name = weak_labels.scored(docs, weak_labels.train(docs, labels.where(~held)))
+    found, name = weak_labels.judged(docs, weak_labels.train(docs, labels.where(~held)))
     kept = found.select("doc_id", F.col(f"{name}.kept").alias("kept"))
     rows = kept.join(labels.where(held), "doc_id").select("kept", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")).collect()
     good = [r["kept"] for r in rows if r["good"]]
@@ -305,9 +359,9 @@ def test_classifier_on_held_out_labels(spark, sf_dir):
 
 def test_classifier_odd_rows(spark):
     docs = clashing(frame(spark, [(1, None), (2, ""), (3, "fine words " * 30), (3, "fine words " * 30)]))
-    found, name = weak_labels.scored(docs, weak_labels.train(docs))
+    found, name = weak_labels.judged(docs, weak_labels.train(docs))
     assert name == "_quality" and found.count() == 4
-    assert weak_labels.scored(docs.limit(0), weak_labels.train(docs.limit(0)))[0].count() == 0
+    assert weak_labels.judged(docs.limit(0), weak_labels.train(docs.limit(0)))[0].count() == 0
 
 
 # decontamination
