@@ -14,6 +14,7 @@ rules. A stratum with fewer than ``labels_needed()`` good documents has no rules
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
 from math import ceil, exp, lgamma, log, log1p
 
@@ -63,23 +64,34 @@ def measure(text: bytes | None, rolling: Rolling, window: int = 8) -> tuple[int,
         return (0,) * len(MEASURES)
     words = text.split()
     chars = len(text.decode("utf-8", "replace")) - sum(text.count(c) for c in SPACES)
-    lines = [x for x in text.split(b"\n") if x.split()]
-    capitals = sum(map(text.count, range(0x41, 0x5B)))
-    return (len(words), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated(words, rolling, window), len(lines), capitals)
+    lines = [x for x in text.split(b"\n") if x.strip()]
+    counts = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
+    return (len(words), chars, int(counts[list(SYMBOLS)].sum()), len(lines) - len(set(lines)), repeated(words, rolling, window), len(lines), int(counts[0x41:0x5B].sum()))
 
 
 def repeated(words: list[bytes], rolling: Rolling, window: int) -> int:
     """Words in runs of ``window`` words that the text has twice or more."""
     if len(words) <= window:
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for w in words], np.uint64)
-    if len(number) == len(words):
+    ids, number = numbered(words)
+    return repeated_ids(ids, rolling, window) if len(number) < len(words) else 0
+
+
+def numbered(words: list[bytes]) -> tuple[np.ndarray, dict[bytes, int]]:
+    """The words as numbers in order of their first place, and the number of each."""
+    number: dict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    return np.fromiter(map(number.__getitem__, words), np.uint64, len(words)), number
+
+
+def repeated_ids(ids: np.ndarray, rolling: Rolling, window: int) -> int:
+    if len(ids) <= window:
         return 0
     hashes = rolling(ids, window)
-    values, group, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    if len(values) == len(hashes):
+    ordered = np.sort(hashes)
+    if (ordered[1:] != ordered[:-1]).all():
         return 0
+    values, group, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     places = np.flatnonzero(counts[group] > 1)  # equal hashes; the runs themselves decide
     rows = np.lib.stride_tricks.sliding_window_view(ids, window)[places]
     _, group, counts = np.unique(rows, axis=0, return_inverse=True, return_counts=True)

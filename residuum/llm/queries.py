@@ -61,7 +61,7 @@ def op6_layout_text(spark, sf_dir):
 def op7_weak_labels(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = weak_labels.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    found, name = weak_labels.scored(docs, model)
+    found, name = weak_labels.judged(docs, model, with_text=False)
     return found.select("doc_id", f"{name}.*")
 
 
