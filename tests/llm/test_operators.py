@@ -87,6 +87,12 @@ def test_near_duplicates_as_by_all_pairs(spark):
     assert found == label
 
 
+def test_near_duplicates_in_split_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 2)
+    monkeypatch.setattr(near_dedup, "LEADERS", 2)
+    test_near_duplicates_as_by_all_pairs(spark)
+
+
 def test_near_duplicates_planted_at_each_similarity(spark):
     """Two texts a pair, the second with random words replaced; no word is in two pairs."""
     rng, rows, plan = np.random.default_rng(5), [], {}
