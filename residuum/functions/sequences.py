@@ -183,10 +183,13 @@ def hydropathy_change(wt: Column | str, mut: Column | str) -> Column:
     return F.abs(as_map(HYDROPATHY)[col(wt)] - as_map(HYDROPATHY)[col(mut)])
 
 
-def chunk_of(accession: Column | str, chunks: int = 100) -> Column:
-    """Partition key of a model store, from the last two characters of an accession."""
-    tail = F.upper(F.substring(col(accession), -2, 2))
-    return F.pmod(F.ascii(tail) * 36 + F.ascii(F.substring(tail, 2, 1)), F.lit(chunks))
+def chunk_of(accession: Column | str) -> Column:
+    """Partition key of a model store, from the last two characters of an accession: each one that
+    is a digit stays, the second as the even number at or below it; another is an underscore."""
+    first, second = F.substring(col(accession), -2, 1), F.substring(col(accession), -1, 1)
+    digit = lambda c: c.rlike("^[0-9]$")
+    even = F.when(digit(first) & digit(second), ((second.try_cast("int") / 2).cast("int") * 2).cast("string")).when(digit(second), second).otherwise("_")
+    return F.concat(F.when(digit(first), first).otherwise("_"), even)
 
 
 def interface_key(positions: Column | str) -> Column:

@@ -137,10 +137,16 @@ def consensus_rank(rows: DataFrame, group: str, position: str, template: str, la
     A position has a consensus if its top label is more frequent than one over the number of
     its labels; of equally frequent labels the least is on top.
     """
-    counts = rows.where(F.col(label).isNotNull()).groupBy(group, position, label).agg(F.count("*").alias("_n"))
-    top = counts.groupBy(group, position).agg(F.sum("_n").alias("_all"), F.count("*").alias("_kinds"), F.max("_n").alias("_top"), F.min_by(label, F.struct(-F.col("_n"), F.col(label))).alias("_label"))
-    agreed = top.where(F.col("_top") / F.col("_all") > 1 / F.col("_kinds")).select(group, position, "_label")
-    score = rows.join(agreed, [group, position]).groupBy(group, template).agg(F.sum((F.col(label) == F.col("_label")).cast("long")).alias("score"))
+    each = rows.groupBy(group, position, template, label).agg(F.count("*").alias("_n"))  # the rows are read and shuffled once
+    by_label = Window.partitionBy(group, position, label)
+    ranked = each.withColumn("_c", F.when(F.col(label).isNotNull(), F.sum("_n").over(by_label)))
+    own = Window.partitionBy(group, position)
+    kinds = F.size(F.collect_set(label).over(own))
+    whole = F.sum(F.when(F.col(label).isNotNull(), F.col("_n"))).over(own)
+    best = F.min(F.when(F.col(label).isNotNull(), F.struct(-F.col("_c"), F.col(label).alias("_l")))).over(own)
+    judged = ranked.withColumns({"_kinds": kinds, "_all": whole, "_best": best})
+    agreed = judged.withColumn("_top", F.max("_c").over(own)).where(F.col("_top") / F.col("_all") > 1 / F.col("_kinds"))
+    score = agreed.groupBy(group, template).agg(F.sum(F.when(F.col(label) == F.col("_best._l"), F.col("_n")).otherwise(0)).alias("score"))
     return average_rank(score, [group], "score")
 
 
@@ -153,14 +159,11 @@ def count_mode(rows: DataFrame, keys: list[str], value: Column, out: str = "mode
 def histogram(rows: DataFrame, keys: list[str], value: str, bins: int = 50) -> DataFrame:
     """Equal bins over the range of all values; the greatest value is outside of the last bin.
 
-    The range is one row, found by a first pass.
+    The range is one row, which is broadcast; there are no bins without one.
     """
-    low, high = rows.agg(F.min(value), F.max(value)).first()
-    if low is None or high == low:
-        return rows.limit(0).groupBy(*keys).agg(F.lit(0).alias("bin"), F.count("*").alias("n"))
-    width = (high - low) / bins
-    place = F.floor((F.col(value) - F.lit(low)) / F.lit(width)).cast("int")
-    return rows.where(F.col(value).isNotNull()).groupBy(*keys, place.alias("bin")).agg(F.count("*").alias("n")).where(F.col("bin") < bins)
+    span = rows.agg(F.min(value).alias("_low"), F.max(value).alias("_high")).where("_high > _low")
+    place = F.floor((F.col(value) - F.col("_low")) / ((F.col("_high") - F.col("_low")) / bins)).cast("int")
+    return rows.where(F.col(value).isNotNull()).join(F.broadcast(span)).groupBy(*keys, place.alias("bin")).agg(F.count("*").alias("n")).where(F.col("bin") < bins)
 
 
 def shares(rows: DataFrame, tag: str, label: str, labels: list[str]) -> DataFrame:

@@ -48,19 +48,24 @@ def changed_edges(before: DataFrame, after: DataFrame, a: str, b: str, score: st
     return x.join(y, [a, b], "full").withColumn("kind", kind)
 
 
-def betweenness(edges: DataFrame, group: str, *, a: str = "a", b: str = "b", score: str = "score") -> DataFrame:
-    """(group, node, betweenness): weighted betweenness within each group, a structure.
+def betweenness(edges: DataFrame, group: str, *, a: str = "a", b: str = "b", score: str = "score", with_negative: bool = False) -> DataFrame:
+    """(group, node, betweenness): weighted betweenness within each group, a structure or a chain of one.
 
-    An edge is as long as one over its score; edges of no positive score are left out. A
-    group is one structure's contact network, so its size is bounded by a structure's.
+    Rows of one pair of nodes are one edge, of their greatest score. It is as long as one over
+    its score; one of no positive score is no way, unless ``with_negative``, where the amount
+    counts. Edges are made distinct before they are grouped, so a task gets one structure's
+    contact network, however many rows told of it; that is bounded by the structure's residues.
     """
+    value = F.abs(score) if with_negative else F.col(score)
+    edges = edges.where(F.col(a) != F.col(b)).groupBy(group, F.least(a, b).alias(a), F.greatest(a, b).alias(b)).agg(F.max(value).alias(score))
     schema = T.StructType([T.StructField(group, edges.schema[group].dataType), T.StructField("node", edges.schema[a].dataType), T.StructField("betweenness", T.DoubleType())])
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         near: dict = {}
         for u, v, s in pdf[[a, b, score]].itertuples(index=False):
-            if s and s > 0 and u != v:
-                near.setdefault(u, {})[v] = near.setdefault(v, {})[u] = 1.0 / s
+            one, other = near.setdefault(u, {}), near.setdefault(v, {})
+            if s and s > 0:
+                one[v] = other[u] = 1.0 / s
         found = dict.fromkeys(near, 0.0)
         for source in near:
             for node, share in _dependency(near, source).items():
@@ -99,14 +104,14 @@ def _dependency(near: dict, source) -> dict:
 
 
 def normalized(rows: DataFrame, group: str, value: str) -> DataFrame:
-    """Centralities by the number of pairs of other nodes and by the range of the group; all
-    null where the greatest is zero."""
+    """Centralities by the number of pairs of other nodes and by the range of the group, one where
+    it has none; all null where the greatest is zero."""
     from pyspark.sql.window import Window
 
     own = Window.partitionBy(group)
     n, low, high = F.count("*").over(own), F.min(value).over(own), F.max(value).over(own)
-    pairs = n * n
+    pairs = (n - 1) * (n - 2) / 2
     return rows.withColumns({
         "by_length": F.when((high > 0) & (pairs > 0), F.col(value) / pairs),
-        "by_range": F.when(high > low, (F.col(value) - low) / (high - low)).when(high > 0, F.lit(0.0)),
+        "by_range": F.when(high > low, (F.col(value) - low) / (high - low)).when(high > 0, F.lit(1.0)),
     })

@@ -85,11 +85,86 @@ def interaction_rollup(pairs: DataFrame, a: str, b: str, score: str, mode: list[
     return rolled.unionByName(swapped)
 
 
-def chain_kinds(atoms: DataFrame, keys: list[str], *, peptide_below: int = 300) -> DataFrame:
-    """Kind of each chain by the length of its residue names; a small protein is a peptide."""
-    size = F.length(F.trim("res_name"))
-    n = lambda k: F.sum((size == k).cast("int"))
-    kinds = atoms.groupBy(*keys).agg(n(1).alias("one"), n(2).alias("two"), n(3).alias("three"))
-    top = F.greatest("one", "two", "three")
-    kind = F.when(F.col("three") == top, F.when(F.col("three") < peptide_below, "Peptide").otherwise("Protein")).when(F.col("two") == top, "DNA").otherwise("RNA")
+def chain_kinds(atoms: DataFrame, keys: list[str], *, irregular: Column | None = None, peptide_below: int = 150) -> DataFrame:
+    """Kind of each chain, from atoms (record, serial, res_name).
+
+    The last polymer atom whose residue name has one letter makes it RNA, one of two DNA, else
+    polymer atoms or irregular residues a protein; other hetero atoms alone are MISC. A protein
+    is a peptide if its irregular atoms are half of the regular ones or more, or if it has
+    fewer than ``peptide_below`` of both. ``irregular`` tells hetero atoms of unusual amino
+    acids; by default those with a known three-letter name.
+    """
+    from residuum.functions.sequences import THREE_TO_ONE
+
+    size, polymer = F.length(F.trim("res_name")), F.col("record").isin("ATOM", "MODRES")
+    odd = (F.col("record") == "HETATM") & (F.col("res_name").isin(*THREE_TO_ONE) if irregular is None else irregular)
+    n = lambda c: F.sum(F.coalesce(c.cast("int"), F.lit(0)))
+    last = F.max_by(size, F.when(polymer & (size < 3), F.col("serial")))
+    kinds = atoms.groupBy(*keys).agg(n(polymer | ((F.col("record") == "HETATM") & (size < 3) & ~odd)).alias("regular"), n(odd).alias("irregular"), n(polymer).alias("polymer"), F.when(n(polymer & (size < 3)) > 0, last).alias("last"))
+    small = (F.col("regular") <= 2 * F.col("irregular")) | (F.col("regular") + F.col("irregular") < peptide_below)
+    protein = (F.col("polymer") > 0) | (F.col("irregular") > 0)
+    kind = F.when(F.col("last") == 1, "RNA").when(F.col("last") == 2, "DNA").when(protein & small, "Peptide").when(protein, "Protein").otherwise("MISC")
     return kinds.select(*keys, kind.alias("kind"))
+
+
+def best_pairs(pairs: DataFrame, keys: list[str], score: str = "score") -> DataFrame:
+    """Of the rows of each pair of positions the one of the greatest score; of ties, the least row."""
+    rest = [c for c in pairs.columns if c not in keys and c != score]
+    return pairs.groupBy(*keys).agg(F.min(F.struct((-F.col(score)).alias("_s"), *rest)).alias("_x")).select(*keys, (-F.col("_x._s")).alias(score), *(f"_x.{c}" for c in rest))
+
+
+def overlapping(covered: DataFrame, known: DataFrame, *, least: float = 0.5) -> DataFrame:
+    """(protein, number, structure, chain, chain_b, overlap): known interfaces with which a structure's
+    interface is fused, given positions of both as rows: over half of either's are common."""
+    own = covered.select("protein", "structure", "chain", "chain_b", "position").distinct()
+    other = known.select("protein", "number", "position").distinct()
+    size = own.groupBy("protein", "structure", "chain", "chain_b").agg(F.count("*").alias("_n"))
+    sizes = other.groupBy("protein", "number").agg(F.count("*").alias("_m"))
+    met = own.join(other, ["protein", "position"]).groupBy("protein", "structure", "chain", "chain_b", "number").agg(F.count("*").alias("overlap"))
+    both = met.join(size, ["protein", "structure", "chain", "chain_b"]).join(sizes, ["protein", "number"])
+    return both.where((F.col("overlap") > least * F.col("_n")) | (F.col("overlap") > least * F.col("_m"))).drop("_n", "_m")
+
+
+def fused(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Positions of two interfaces (keys, position, residue, score) as one: of a position that both
+    have, the residue of the lesser interface stays, as the published fusion writes it last."""
+    least = F.min_by("residue", F.struct("score", "residue"))
+    return a.unionByName(b).groupBy(*keys, "position").agg(least.alias("residue"), F.max("score").alias("score"))
+
+
+def surface_decision(rows: DataFrame, keys: list[str], *, surface: str = "surface", quality: str = "quality", coverage: str = "coverage", threshold: float = 0.16) -> DataFrame:
+    """Surface or Core by the sums of quality times coverage to the fifth on either side of the
+    threshold, core counted twice, with a confidence that grows with their number."""
+    weight = F.col(quality) * F.col(coverage) ** 5
+    core = F.sum(F.when(F.col(surface) < threshold, weight).otherwise(0.0))
+    outer = F.sum(F.when(F.col(surface) < threshold, 0.0).otherwise(weight))
+    sums = rows.groupBy(*keys).agg(core.alias("core"), outer.alias("outer"), F.count("*").alias("n"))
+    apart, whole = F.col("outer") - 2 * F.col("core"), F.col("outer") + 2 * F.col("core")
+    return sums.select(*keys, F.when(apart > 0, "Surface").otherwise("Core").alias("decision"), F.when(whole > 0, (1 - 1 / (F.col("n") + 1)) * F.abs(apart) / whole).alias("confidence"))
+
+
+# Atoms without hydrogen of a residue, by its letter, with the terminal oxygen.
+ATOMS_OF = {
+    "A": 5, "C": 6, "D": 8, "E": 9, "F": 11, "G": 4, "H": 10, "I": 8, "K": 9, "L": 8,
+    "M": 8, "N": 8, "P": 7, "Q": 9, "R": 11, "S": 6, "T": 7, "V": 7, "W": 14, "Y": 12,
+}
+
+
+def atomic_coverage(atoms: DataFrame, keys: list[str]) -> DataFrame:
+    """Share of the expected atoms of each chain that are resolved; an unknown residue expects one."""
+    from residuum.functions.sequences import as_map, three_to_one
+
+    residues = atoms.groupBy(*keys, "res_num", "ins_code").agg(F.min("res_name").alias("name"), F.count("*").alias("n"))
+    expected = as_map(ATOMS_OF)[three_to_one("name")]
+    found = residues.groupBy(*keys).agg(F.sum(F.when(expected.isNotNull(), F.col("n")).otherwise(0)).alias("resolved"), F.sum(F.coalesce(expected, F.lit(1))).alias("expected"))
+    return found.select(*keys, (F.col("resolved") / F.col("expected")).alias("coverage"))
+
+
+def substitution_scores(changes: DataFrame, matrix: DataFrame, *, wt: str = "wt", mutants: str = "mutants", default: float | None = 0.0, out: str = "substitution") -> DataFrame:
+    """``changes`` with the mean score of a letter to each of its ``mutants`` (an array), by a matrix
+    (a, b, score) of letters in either order; what it lacks counts ``default``, or makes null."""
+    scores = matrix.groupBy(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).agg(F.min("score").alias("_score"))
+    table = scores.agg(F.map_from_entries(F.collect_list(F.struct(F.concat("_a", "_b"), "_score"))).alias("_table"))  # a row of some hundreds of pairs
+    each = F.transform(mutants, lambda m: F.coalesce(F.col("_table")[F.concat(F.least(F.col(wt), m), F.greatest(F.col(wt), m))], F.lit(default).cast("double")))
+    mean = F.when(F.size(mutants) > 0, F.aggregate(each, F.lit(0.0), lambda s, x: s + x) / F.size(mutants))
+    return changes.join(F.broadcast(table)).withColumn(out, mean).drop("_table")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +25,22 @@ def by_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(keys, on, "left_semi")
 
 
+def _unmatched(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key ``other`` lacks; null is a value of its own in a key."""
+    keys = other.select(*(F.col(c).alias(f"_key_{i}") for i, c in enumerate(on)))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_key_{i}")) for i, c in enumerate(on)))
+    return rows.join(keys, same, "left_anti")
+
+
 def new_rows(stored: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
-    """Rows to append: one for each key that is not stored yet."""
-    return rows.dropDuplicates(on).join(stored, on, "left_anti")
+    """Rows to append: one for each key, which may have nulls, that is not stored yet."""
+    return _unmatched(rows.dropDuplicates(on), stored, on)
 
 
 def upserted(stored: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
-    """The stored rows, those with a key of ``rows`` replaced, and the new ones."""
-    return stored.join(rows, on, "left_anti").unionByName(rows)
+    """The stored rows, those with a key of ``rows`` replaced, and the new ones, one for each key."""
+    rows = rows.dropDuplicates(on)
+    return _unmatched(stored, rows, on).unionByName(rows)
 
 
 def updated(stored: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:

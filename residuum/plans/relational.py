@@ -238,7 +238,8 @@ def large_structures(spark, sf_dir):
 
 @query("betweenness")
 def betweenness(spark, sf_dir):
-    edges = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select((F.col("l_suppkey") % 10).alias("structure"), (F.col("l_partkey") % 40).alias("a"), (F.col("l_orderkey") % 40).alias("b"), F.col("l_tax").alias("score"))
+    """Line numbers and quantities of each supplier as a graph of two sides; its size is bounded, however many line items there are."""
+    edges = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("structure"), F.col("l_linenumber").cast("long").alias("a"), (F.col("l_quantity") + 100).cast("long").alias("b"), F.col("l_tax").alias("score"))
     return graphs.betweenness(edges, "structure")
 
 

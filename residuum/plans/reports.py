@@ -29,9 +29,9 @@ def terms(scored: DataFrame, own: DataFrame, size: DataFrame) -> DataFrame:
     ``scored`` has (gene, score), ``own`` (gene, term, ext_id), ``size`` one row, the size
     of the data set.
     """
-    n = size.first()[0]
+    one = size.select(F.col(size.columns[0]).alias("_n")).agg(F.first("_n").alias("_n"))
     found = scored.join(own, "gene").groupBy("term", "ext_id").agg(F.sum("score").alias("total"), F.avg("score").alias("mean"), F.countDistinct("gene").alias("genes"))
-    return found.withColumn("normalized", F.col("total") / F.lit(n))
+    return found.join(F.broadcast(one)).withColumn("normalized", F.col("total") / F.col("_n")).drop("_n")
 
 
 def classification(positions: DataFrame, proteins: DataFrame, snvs: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -117,12 +117,6 @@ def isoform_usage(rows: DataFrame, a: str, b: str, *, least: float = 0.01) -> Da
     return used.select("gene", "isoform", "usage_a", "usage_b", (F.col("usage_b") - F.col("usage_a")).alias("change"), fold.alias("log2_fold"))
 
 
-def flank_scenario(left: str, right: str, inner: str):
-    """What an indel's flanks and inside say about it: one of six outcomes."""
-    l, r, i = F.col(left), F.col(right), F.col(inner)
-    return F.when(l.isNull() & r.isNull(), "unmapped").when(l.isNull() | r.isNull(), "terminal").when(i.isNull(), "gap").when((l == r) & (l == i), "inside").when(l == r, "embedded").otherwise("border")
-
-
 def top_partners(rows: DataFrame, protein: str, score: str, partner: str, k: int = 5) -> DataFrame:
     """The partners of best score of each protein."""
     return windows.top(rows, [protein], [F.col(score).desc(), F.col(partner)], k)

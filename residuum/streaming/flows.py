@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,8 +18,10 @@ def ingest_mutations(spark: SparkSession, folder: str, store: str, checkpoint: s
         rows = batch.select("protein_id", "change", "kind", "tags")
         try:
             stored = spark.read.parquet(store)
-        except Exception:  # nothing is stored yet
-            stored = rows.limit(0)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            stored = rows.limit(0)  # nothing is stored yet
         new_rows(stored.select("protein_id", "change"), rows, ["protein_id", "change"]).write.mode("append").parquet(store)
 
     lines = spark.readStream.text(folder)
