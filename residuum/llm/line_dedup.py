@@ -4,12 +4,21 @@ A line is the set of its lower-cased words. It goes if an earlier line (by docum
 place) has Jaccard similarity of ``threshold`` or more to it; lines are judged on the input.
 
 Equal sets are one line from the start, that of the earliest. Tokens are ordered by rarity,
-as a table of ``1 << BUCKETS`` counts has it, in the order of 56 further bits of their hashes: any common order is exact, a good one is fast.
-Similar sets share a token of their prefixes; a join on prefix tokens, with the length, the
-positional and a bitmap filter, gives the candidates, whose Jaccard is then computed on
-their words. Tokens that many lines have in their prefix would give pairs by the square:
-there each line first meets a few of the earliest lines with that token, and only those
-that no line has removed by then meet them all.
+as a table of ``1 << BUCKETS`` counts has it, in the order of 56 further bits of their hashes:
+any common order is exact, a good one is fast. Two similar sets share a token of their
+prefixes, and a join on these, with the length, the positional and a bitmap filter, gives the
+candidates, whose Jaccard is then computed on their words.
+
+A prefix token of more than ``FREQUENT`` lines would join too many. A line with such a token
+is keyed by parts of its set instead: tokens are dealt by hash to one part more than similar
+sets of its length can differ in tokens, so one part is the same in both. A part has some
+tokens each, so its key is rare, however frequent they are, and a line has about as many parts
+as prefix tokens. Lengths go in tiers, each twice the one before, with as many parts as its
+longest sets need; near the end of its tier a line has the parts of the next as well.
+
+Lines that vary one line would meet by the square even so: each line first meets the earliest
+line with its rarest or second rarest token, and what that removes has no need to look for
+another; it only stays there for others to meet.
 """
 
 from __future__ import annotations
@@ -25,10 +34,14 @@ from residuum.llm.common import cut, free_name, quoted
 THRESHOLD = 0.9
 #: log2 of the counts of the rarity table.
 BUCKETS = 16
-#: Tokens more frequent than this take the way of few meetings first; leaders of each of them.
-FREQUENT, LEADERS = 512, 8
-#: Tokens of a line, from the rarest, that its bitmaps show.
-SHOWN = 48
+#: Tokens of more lines than this key no line; the first tier; sets up to this size are parted within their row.
+FREQUENT, TIER, LONG = 256, 8, 256
+#: Lines with a token from which on they first meet the earliest of them.
+FAMILY = 32
+#: Tokens of a line, from the rarest, that its bitmap shows.
+SHOWN = 32
+#: Rows up to which a table is small enough to broadcast; they are counted.
+FEW = 200_000
 #: log2 of the bits of the filter of document ids.
 ID_BITS = 20
 
@@ -53,9 +66,9 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def rarity(docs: DataFrame, text_col: str) -> Column:
     """An array with a number for each bucket of tokens: in its first byte, four times the
-    logarithm of how many tokens are in the bucket."""
-    token = F.explode(words(F.col(quoted(text_col)))).alias("t")
-    counts = docs.select(token).groupBy(_bucket(F.xxhash64("t")).alias("b")).count().collect()
+    logarithm of how many tokens are in the bucket. Tokens are told apart roughly here."""
+    rough = F.split(F.replace(F.lower(F.col(quoted(text_col))), F.lit("\n"), F.lit(" ")), " ", -1)
+    counts = docs.select(F.explode(rough).alias("t")).groupBy(_bucket(F.xxhash64("t")).alias("b")).count().collect()
     table = [0] * (1 << BUCKETS)
     for b, n in counts:
         table[b] = rank(n) << 56
@@ -76,14 +89,13 @@ def keys(tokens: Column, table: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.get(table, _bucket(h)) + F.shiftrightunsigned(h, 8))))
 
 
-def bitmap(k: Column, half: int) -> Column:
-    """One of two halves of 128 bits that the ``SHOWN`` rarest tokens mark, each its own.
+def bitmap(k: Column) -> Column:
+    """64 bits that the ``SHOWN`` rarest tokens mark.
 
     A fold over the tokens: spelled out, the terms make a method too long for the JVM to compile.
     """
     mark = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-    own = F.filter(F.slice(k, 1, SHOWN), lambda t: t.bitwiseAND(F.lit(64)) == 64 * half)
-    return F.aggregate(own, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseOR(mark(t)))
+    return F.aggregate(F.slice(k, 1, SHOWN), F.lit(0).cast("long"), lambda bits, t: bits.bitwiseOR(mark(t)))
 
 
 def at_least(threshold: float, n: Column) -> Column:
@@ -92,35 +104,105 @@ def at_least(threshold: float, n: Column) -> Column:
 
 
 def first_lines(docs: DataFrame, table: Column, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """(doc, pos, n, prefix, low, high): of all lines with equal word sets the earliest."""
+    """(doc, pos, n, prefix, bits, parts, tokens): of all lines with equal word sets the earliest.
+
+    ``parts`` are the keys of a line with a frequent token; a long one has its tokens instead.
+    """
     rows = lines_of(docs, id_col, text_col).where(has_word(F.col("line"))).select("doc", "pos", keys(words(F.col("line")), table).alias("k"))
     n = F.size("k")
-    length = F.when(n * (1 - threshold) >= threshold - 1e-9, n - at_least(threshold, n) + 1).otherwise(F.lit(0))  # fewer words: equal sets only
-    own = F.struct("doc", "pos", n.alias("n"), F.slice("k", F.lit(1), length).alias("prefix"), bitmap(F.col("k"), 0).alias("low"), bitmap(F.col("k"), 1).alias("high"))
+    width = F.when(n * (1 - threshold) >= threshold - 1e-9, n - at_least(threshold, n) + 1).otherwise(F.lit(0))  # fewer words: equal sets only
+    frequent = (width > 0) & (_rank_of(F.get("k", width - 1)) > rank(FREQUENT))  # the last of the prefix is the least rare
+    parts = F.when(frequent & (n <= LONG), F.flatten(F.transform(bases(n, threshold), lambda b: parted(F.col("k"), n, b, threshold))))
+    own = F.struct("doc", "pos", n.alias("n"), F.slice("k", F.lit(1), width).alias("prefix"), bitmap(F.col("k")).alias("bits"), parts.alias("parts"), F.when(frequent & (n > LONG), F.col("k")).alias("tokens"))
     rows = rows.select(F.xxhash64("k").alias("s1"), F.hash("k").alias("s2"), own.alias("x"))
     return rows.groupBy("s1", "s2").agg(F.min("x").alias("x")).select("x.*")
 
 
+def bases(n: Column, threshold: float) -> Column:
+    """Least lengths of the tier of n and, if a similar set can be in it, of the next."""
+    own = (F.lit(TIER) * F.pow(F.lit(2.0), F.floor(F.log2(n / TIER)))).cast("int")
+    return F.when(n >= F.lit(threshold) * 2 * own - 1e-9, F.array(own, 2 * own)).otherwise(F.array(own))
+
+
+def part_count(base: Column, threshold: float) -> Column:
+    """One more than the tokens in which similar sets shorter than twice ``base`` can differ."""
+    return (F.floor((4 * base - 2) * ((1 - threshold) / (1 + threshold)) + 1e-9) + 1).cast("int")
+
+
+def most_apart(n: Column, threshold: float) -> Column:
+    """Tokens in which a set of n and a similar one can differ, at most."""
+    return F.floor((n + F.floor(n / threshold + 1e-9)) * ((1 - threshold) / (1 + threshold)) + 1e-9)
+
+
+def parted(tokens: Column, n: Column, base: Column, threshold: float) -> Column:
+    """Keys of the parts of a set. Empty parts have none, unless there are so few others that all may differ."""
+    count = part_count(base, threshold)
+    filled = F.size(F.array_distinct(F.transform(tokens, lambda t: F.pmod(t, count))))
+    own = F.transform(F.sequence(F.lit(0), count - 1), lambda r: F.filter(tokens, lambda t: F.pmod(t, count) == r))
+    return F.array_compact(F.transform(own, lambda x, r: F.when((F.size(x) > 0) | (filled <= most_apart(n, threshold)), F.xxhash64(base, r, x))))
+
+
+def _long_parts(lines: DataFrame, threshold: float) -> DataFrame:
+    """The same for long lines (doc, pos, n, bits, gone, tokens), one row a key, in steps linear in their length."""
+    own = ("doc", "pos", "n", "bits", "gone", "base")
+    each = lines.where("tokens IS NOT NULL").select("doc", "pos", "n", "bits", "gone", "tokens", F.explode(bases(F.col("n"), threshold)).alias("base"))
+    count = part_count(F.col("base"), threshold)
+    empty = each.select(*own, F.explode(F.sequence(F.lit(0), count - 1)).alias("r"), F.lit(None).cast("long").alias("t"))
+    dealt = each.select(*own, F.explode("tokens").alias("t")).select(*own, F.pmod("t", count).cast("int").alias("r"), "t").unionByName(empty)
+    parts = dealt.groupBy(*own, "r").agg(F.count("t").alias("size"), F.bit_xor(F.xxhash64("t")).alias("x"))  # a task holds whole lines, so little is shuffled
+    filled = parts.groupBy("doc", "pos", "base").agg(F.sum((F.col("size") > 0).cast("int")).alias("filled"))
+    kept = parts.join(filled, ["doc", "pos", "base"]).where((F.col("size") > 0) | (F.col("filled") <= most_apart(F.col("n"), threshold)))
+    return kept.select(F.xxhash64("base", "r", F.coalesce("x", F.lit(0)), "size").alias("key"), "doc", "pos", "n", "bits", "gone", F.col("n").alias("room"))
+
+
 def _filters(threshold: float) -> Column:
-    """May ``a`` (the later line) and ``b`` be similar? Length, position of the shared token, bitmaps.
+    """May ``a`` (the later line) and ``b`` be similar? Length, place of the shared token, bitmaps.
 
     Of the rarest tokens of two sets that differ in d, no more than 2 d differ; of whole sets, d.
     """
     both = F.col("a.n") + F.col("b.n")
     need = at_least(threshold / (1 + threshold), both)
     shorter, longer = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    left = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
-    apart = F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low"))) + F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high")))
+    left = F.least("a.room", "b.room")
+    apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
     differ = (both - 2 * need) * F.when(longer <= SHOWN, 1).otherwise(2)
     earlier = (F.col("b.doc") < F.col("a.doc")) | ((F.col("b.doc") == F.col("a.doc")) & (F.col("b.pos") < F.col("a.pos")))
-    return earlier & (shorter >= F.lit(threshold) * longer - 1e-9) & (left >= need) & (apart <= differ)
+    return (shorter >= F.lit(threshold) * longer - 1e-9) & (apart <= differ) & (left >= need) & earlier
 
 
-def _meet(later: DataFrame, earlier: DataFrame, threshold: float) -> DataFrame:
-    met = later.alias("a").join(earlier.alias("b"), (F.col("a.token") == F.col("b.token")) & _filters(threshold))
+def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.col("a.doc").alias("doc"), F.col("a.pos").alias("pos"), F.col("b.doc").alias("doc_b"), F.col("b.pos").alias("pos_b")).distinct()
 
 
+def _rank_of(token: Column) -> Column:
+    return F.shiftright(token, 56).cast("int")
+
+
+def keyed(lines: DataFrame, threshold: float) -> DataFrame:
+    """(key, room) and what the filters need, for every key of each line; ``room`` is the number of
+    tokens that a line can share from that of the key on."""
+    own = ("doc", "pos", "n", "bits", "gone")
+    tokens = lines.select(*own, F.posexplode("prefix").alias("i", "key")).where(_rank_of(F.col("key")) <= rank(FREQUENT)).select("key", *own, (F.col("n") - F.col("i")).alias("room"))
+    parts = lines.where("parts IS NOT NULL").select(F.explode("parts").alias("key"), *own, F.col("n").alias("room"))
+    return tokens.unionByName(parts).unionByName(_long_parts(lines, threshold))
+
+
+def _with_leaders(lines: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of each line with the earliest one that has its rarest or second rarest token, for tokens of many lines."""
+    own = F.struct("doc", "pos", "n", "bits", "room")
+    rows = lines.select("doc", "pos", "n", "bits", F.posexplode(F.slice("prefix", 1, 2)).alias("i", "key")).withColumn("room", F.col("n") - F.col("i"))
+    leaders = rows.where(_rank_of(F.col("key")) >= rank(FAMILY)).groupBy("key").agg(F.count("*").alias("m"), F.min(own).alias("x")).where(F.col("m") >= FAMILY)
+    leaders = leaders.select("key", "x.*")
+    return _pairs(rows.alias("a").join(leaders.alias("b"), (F.col("a.key") == F.col("b.key")) & _filters(threshold)))
+
+
+def _marked(lines: DataFrame, gone: DataFrame) -> DataFrame:
+    """``lines`` with a flag ``gone``; a small table of them, which is counted, is broadcast."""
+    flags = gone.select(F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), F.lit(True).alias("_gone"))
+    flags = F.broadcast(flags) if gone.count() <= FEW else flags
+    return lines.join(flags, (F.col("doc") == F.col("_doc")) & (F.col("pos") == F.col("_pos")), "left").withColumn("gone", F.coalesce("_gone", F.lit(False))).drop("_doc", "_pos", "_gone")
+
+
 def id_filter(ids: DataFrame, id_name: str) -> bytes:
     """Bits of the hashes of ids, a fixed number of them: for rows that surely are not among the ids."""
     place = _place(F.col(id_name))
@@ -162,17 +244,15 @@ def kept_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """(doc, pos) of every line with a word that no earlier line removes."""
     table = rarity(docs, text_col)
     first = cut(first_lines(docs, table, id_col, text_col, threshold))
-    prefix = first.select("doc", "pos", "n", "low", "high", F.posexplode("prefix").alias("i", "token"))
-    often = F.shiftright("token", 56) >= rank(FREQUENT)
-    some, many = prefix.where(~often), prefix.where(often)
-    lead = F.min(F.struct("doc", "pos", "n", "low", "high", "i")).alias("x")
-    leaders = many.groupBy("token", F.pmod(F.xxhash64("doc", "pos"), F.lit(LEADERS)).alias("salt")).agg(lead).select("token", "x.*")
-    pairs = cut(_meet(some, some, threshold).unionByName(_meet(many, leaders, threshold)))
-    gone = cut(_similar(pairs, docs, id_col, text_col, threshold))
-    rest = many.join(gone, ["doc", "pos"], "left_anti")
-    more = cut(_meet(rest, many, threshold).join(pairs, ["doc", "pos", "doc_b", "pos_b"], "left_anti"))
-    gone = gone.unionByName(_similar(more, docs, id_col, text_col, threshold))
-    return first.select("doc", "pos").join(gone, ["doc", "pos"], "left_anti")
+    lines = first.where(F.size("prefix") > 0)
+    led = cut(_with_leaders(lines, threshold))
+    gone = cut(_similar(led, docs, id_col, text_col, threshold))
+    rows = keyed(_marked(lines, gone), threshold)
+    # the flag is part of one condition with both sides, so that both are the same shuffle
+    wanted = F.when(F.col("a.gone") & F.col("b.doc").isNotNull(), F.lit(False)).otherwise(_filters(threshold))
+    pairs = _pairs(rows.alias("a").join(rows.alias("b"), (F.col("a.key") == F.col("b.key")) & wanted))
+    more = _similar(cut(pairs.join(led, ["doc", "pos", "doc_b", "pos_b"], "left_anti")), docs, id_col, text_col, threshold)
+    return first.select("doc", "pos").join(gone.unionByName(more), ["doc", "pos"], "left_anti")
 
 
 def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
