@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from residuum.llm import decontamination, html_text, line_dedup, near_dedup, packing, pii, quality_rules, secret_scan, substring_dedup, weak_labels
-from residuum.llm.common import documents
+from residuum.llm.common import documents, shared_folder
 
 QUERIES = {}
 ORACLES = {}
@@ -23,7 +25,8 @@ def op1_order_minhash(spark, sf_dir):
 @query
 def op2_blob_ledger(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return secret_scan.digest(secret_scan.findings(docs, secret_scan.scan(docs)))
+    ledger = secret_scan.scan_into(docs, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
+    return secret_scan.digest(secret_scan.findings(docs, ledger))
 
 
 @query

@@ -13,6 +13,7 @@ import re
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +44,11 @@ RULES = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"),
     Rule("url_password", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/@]{4,128}@"),
 )
-LEDGER = "blob string, rule string, version int, spans array<struct<first:int,last:int>>"
+#: A ledger is a table of these rows; a blob has a row for each run that has scanned it.
+LEDGER = "blob string, found array<struct<rule:string,version:int,spans:array<struct<first:int,last:int>>>>"
 _SPAN = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]))
 _FINDINGS = T.StructType([T.StructField("rule", T.StringType()), T.StructField("version", T.IntegerType()), T.StructField("spans", _SPAN)])
 _ARROW = pa.list_(pa.struct([("rule", pa.string()), ("version", pa.int32()), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))]))
@@ -63,7 +65,7 @@ def with_blob(docs: DataFrame, text_col: str, blob: str) -> DataFrame:
 
 
 def scan(docs: DataFrame, *, text_col: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """New ledger rows (blob, rule, version, spans): for each unseen pair one, also without a find.
+    """New ledger rows (blob, found): for each blob its unseen pairs of rule and version, also without a find.
 
     A null text is an empty blob. Copies of a text, repeated rows among them, are one blob
     and are scanned once. An empty table gives no rows. Append the result to the ledger.
@@ -74,7 +76,7 @@ def scan(docs: DataFrame, *, text_col: str = "text", ledger: DataFrame | None =
     if ledger is None:
         blobs = blobs.withColumn("todo", wanted)
     else:
-        seen = ledger.groupBy("blob").agg(F.collect_set(F.struct("rule", "version")).alias("seen"))
+        seen = ledger.select("blob", F.inline("found")).groupBy("blob").agg(F.collect_set(F.struct("rule", "version")).alias("seen"))
         none = F.array().cast("array<struct<rule:string,version:int>>")
         todo = F.array_except(wanted, F.coalesce("seen", none))
         blobs = blobs.join(seen, "blob", "left").select("blob", "text", todo.alias("todo")).where(F.size("todo") > 0)
@@ -87,8 +89,21 @@ def scan(docs: DataFrame, *, text_col: str = "text", ledger: DataFrame | None =
                 out.append([{**pair, "spans": spans_of(text, *own[pair["rule"]])} for pair in todo])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _ARROW)], ["blob", "found"])
 
-    found = blobs.mapInArrow(run, T.StructType([T.StructField("blob", T.StringType()), T.StructField("found", T.ArrayType(_FINDINGS))]))
-    return found.select("blob", F.inline("found"))
+    return blobs.mapInArrow(run, T.StructType([T.StructField("blob", T.StringType()), T.StructField("found", T.ArrayType(_FINDINGS))]))
+
+
+def scan_into(docs: DataFrame, path: str, *, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger stored at ``path``, after what ``docs``, a further version of a table or all
+    of them, adds to it. A run that fails leaves no part of its rows; one that finds nothing new adds none."""
+    spark = docs.sparkSession
+    try:
+        ledger = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        ledger = None
+    scan(docs, text_col=text_col, ledger=ledger, rules=rules).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
 
 
 def findings(docs: DataFrame, ledger: DataFrame, *, text_col: str = "text", rules: tuple[Rule, ...] = RULES, blob: str = "blob", found: str = "found") -> DataFrame:
@@ -105,7 +120,7 @@ def findings(docs: DataFrame, ledger: DataFrame, *, text_col: str = "text", rule
         current = current | ((F.col("rule") == r.kind) & (F.col("version") == r.version))
     order = {r.kind: i for i, r in enumerate(rules)}
     rank = F.coalesce(*(F.when(F.col("rule") == k, F.lit(i)) for k, i in order.items()))
-    each = ledger.where(current & (F.size("spans") > 0)).select("blob", rank.alias("rank"), "rule", F.inline("spans"))
+    each = ledger.where(F.exists("found", lambda x: F.size(x["spans"]) > 0)).select("blob", F.inline("found")).where(current & (F.size("spans") > 0)).select("blob", rank.alias("rank"), "rule", F.inline("spans"))
     own = each.groupBy(F.col("blob").alias(key)).agg(F.array_sort(F.collect_set(F.struct("first", "rank", "last", "rule"))).alias(found))
     paths = with_blob(docs, text_col, blob)
     return paths.join(own, F.col(blob) == F.col(key), "left").drop(key).withColumn(found, F.coalesce(F.col(found), F.array().cast("array<struct<first:int,rank:int,last:int,rule:string>>")))
