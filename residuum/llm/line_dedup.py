@@ -35,7 +35,7 @@ THRESHOLD = 0.9
 #: log2 of the counts of the rarity table.
 BUCKETS = 16
 #: Tokens of more lines than this key no line; the first tier; sets up to this size are parted within their row.
-FREQUENT, TIER, LONG = 256, 8, 256
+FREQUENT, TIER, LONG = 1024, 8, 256
 #: Lines with a token from which on they first meet the earliest of them.
 FAMILY = 32
 #: Tokens of a line, from the rarest, that its bitmap shows.
@@ -112,7 +112,7 @@ def first_lines(docs: DataFrame, table: Column, id_col: str, text_col: str, thre
     n = F.size("k")
     width = F.when(n * (1 - threshold) >= threshold - 1e-9, n - at_least(threshold, n) + 1).otherwise(F.lit(0))  # fewer words: equal sets only
     frequent = (width > 0) & (_rank_of(F.get("k", width - 1)) > rank(FREQUENT))  # the last of the prefix is the least rare
-    parts = F.when(frequent & (n <= LONG), F.flatten(F.transform(bases(n, threshold), lambda b: parted(F.col("k"), n, b, threshold))))
+    parts = F.when(frequent & (n <= LONG), F.flatten(F.transform(F.transform(bases(n, threshold), lambda b: F.struct(b.alias("base"), part_count(b, threshold).alias("count"))), lambda t: parted(F.col("k"), n, t, threshold))))
     own = F.struct("doc", "pos", n.alias("n"), F.slice("k", F.lit(1), width).alias("prefix"), bitmap(F.col("k")).alias("bits"), parts.alias("parts"), F.when(frequent & (n > LONG), F.col("k")).alias("tokens"))
     rows = rows.select(F.xxhash64("k").alias("s1"), F.hash("k").alias("s2"), own.alias("x"))
     return rows.groupBy("s1", "s2").agg(F.min("x").alias("x")).select("x.*")
@@ -134,12 +134,14 @@ def most_apart(n: Column, threshold: float) -> Column:
     return F.floor((n + F.floor(n / threshold + 1e-9)) * ((1 - threshold) / (1 + threshold)) + 1e-9)
 
 
-def parted(tokens: Column, n: Column, base: Column, threshold: float) -> Column:
-    """Keys of the parts of a set. Empty parts have none, unless there are so few others that all may differ."""
-    count = part_count(base, threshold)
-    filled = F.size(F.array_distinct(F.transform(tokens, lambda t: F.pmod(t, count))))
-    own = F.transform(F.sequence(F.lit(0), count - 1), lambda r: F.filter(tokens, lambda t: F.pmod(t, count) == r))
-    return F.array_compact(F.transform(own, lambda x, r: F.when((F.size(x) > 0) | (filled <= most_apart(n, threshold)), F.xxhash64(base, r, x))))
+def parted(tokens: Column, n: Column, tier: Column, threshold: float) -> Column:
+    """Keys of the parts of a set, given a tier (base, count). Empty parts have none, unless there
+    are so few others that all may differ."""
+    filled = F.size(F.array_distinct(F.transform(tokens, lambda t: F.pmod(t, tier["count"]))))
+    own = F.transform(F.sequence(F.lit(0), tier["count"] - 1), lambda r: F.filter(tokens, lambda t: F.pmod(t, tier["count"]) == r))
+    keys = F.transform(own, lambda x, r: F.when(F.size(x) > 0, F.xxhash64(tier["base"], r, x)))
+    few = F.transform(own, lambda x, r: F.xxhash64(tier["base"], r, x))
+    return F.when(filled <= most_apart(n, threshold), few).otherwise(F.array_compact(keys))
 
 
 def _long_parts(lines: DataFrame, threshold: float) -> DataFrame:
