@@ -27,7 +27,6 @@ from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from residuum.llm.common import cut, free_name, quoted
 
@@ -42,8 +41,8 @@ FAMILY = 32
 SHOWN = 32
 #: Rows up to which a table is small enough to broadcast; they are counted.
 FEW = 200_000
-#: log2 of the bits of the filter of document ids.
-ID_BITS = 20
+#: log2 of the bits of a filter of ids or lines, at least and at most.
+ID_BITS, MOST_BITS = 20, 25
 
 
 def words(text: Column) -> Column:
@@ -205,41 +204,43 @@ def _marked(lines: DataFrame, gone: DataFrame) -> DataFrame:
     return lines.join(flags, (F.col("doc") == F.col("_doc")) & (F.col("pos") == F.col("_pos")), "left").withColumn("gone", F.coalesce("_gone", F.lit(False))).drop("_doc", "_pos", "_gone")
 
 
-def id_filter(ids: DataFrame, id_name: str) -> bytes:
-    """Bits of the hashes of ids, a fixed number of them: for rows that surely are not among the ids."""
-    place = _place(F.col(id_name))
-    pieces = ids.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+def hash_filter(hashes: DataFrame, bits: int) -> bytes:
+    """Bits of the one column of hashes, ``1 << bits`` of them: for rows that surely are not among these."""
+    place = _place(F.col("h"), bits)
+    pieces = hashes.toDF("h").groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
     size = 4096
-    table = bytearray((1 << ID_BITS) // 8)
-    for piece, bits in pieces:
-        table[(piece - 1) * size : piece * size] = bits
+    table = bytearray((1 << bits) // 8)
+    for piece, own in pieces:
+        table[(piece - 1) * size : piece * size] = own
     return bytes(table)
 
 
-def _place(id_column: Column) -> Column:
-    return F.pmod(F.xxhash64(id_column), F.lit(1 << ID_BITS)) + 1
+def _place(hashed: Column, bits: int) -> Column:
+    return F.pmod(hashed, F.lit(1 << bits)) + 1
 
 
-def may_be(id_column: Column, table: bytes) -> Column:
-    place = _place(id_column)
+def may_be(hashed: Column, table: bytes) -> Column:
+    place = _place(hashed, (len(table) * 8).bit_length() - 1)
     piece, within = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring(F.lit(table), ((piece - 1) * 4096 + F.shiftright(within, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     return F.call_function("shiftright", byte, within.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """Later lines (doc, pos) of those pairs whose word sets are similar indeed."""
-    ends = pairs.select("doc", "pos").unionByName(pairs.select(F.col("doc_b").alias("doc"), F.col("pos_b").alias("pos"))).distinct()
-    wanted = cut(ends.groupBy("doc").agg(F.collect_list("pos").alias("wanted")))
-    own = docs.select(F.col(quoted(id_col)).cast("long").alias("doc"), F.col(quoted(text_col)).alias("text"))
-    texts = own.where(may_be(F.col("doc"), id_filter(wanted, "doc"))).join(wanted, "doc")
-    texts = texts.withColumn("copy", F.row_number().over(Window.partitionBy("doc").orderBy("text"))).where("copy = 1")
-    each = texts.select("doc", "wanted", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(F.array_contains("wanted", F.col("pos")))
-    each = cut(each.select("doc", "pos", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("w")))
-    other = each.select(F.col("doc").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("w").alias("w_b"))
-    joined = pairs.join(each, ["doc", "pos"]).join(other, ["doc_b", "pos_b"])
-    common = F.size(F.array_intersect("w", "w_b"))
-    return joined.where(common >= F.lit(threshold) * (F.size("w") + F.size("w_b") - common) - 1e-9).select("doc", "pos").distinct()
+    """Later lines (doc, pos) of those pairs whose word sets are similar indeed.
+
+    The texts are read again and only lines that may be of a pair are shuffled, once for both
+    ends. The filter has eight bits a line, ``MOST_BITS`` at most; beyond, more lines pass it.
+    """
+    ends = pairs.select(F.xxhash64("doc", "pos").alias("h")).unionByName(pairs.select(F.xxhash64("doc_b", "pos_b").alias("h")))
+    bits = min(MOST_BITS, max(ID_BITS, (8 * ends.agg(F.approx_count_distinct("h")).first()[0]).bit_length()))
+    rows = lines_of(docs, id_col, text_col).where(may_be(F.xxhash64("doc", "pos"), hash_filter(ends, bits)))
+    rows = rows.select("doc", "pos", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("w"))
+    each = lambda x: rows.select(F.col("doc").alias(f"{x}doc"), F.col("pos").alias(f"{x}pos"), F.col("w").alias(f"{x}w"))
+    met = pairs.join(each("x_"), (F.col("doc") == F.col("x_doc")) & (F.col("pos") == F.col("x_pos"))).select("doc", "pos", "doc_b", "pos_b", "x_w")
+    met = met.join(each("y_"), (F.col("doc_b") == F.col("y_doc")) & (F.col("pos_b") == F.col("y_pos")))
+    common = F.size(F.array_intersect("x_w", "y_w"))
+    return met.where(common >= F.lit(threshold) * (F.size("x_w") + F.size("y_w") - common) - 1e-9).select("doc", "pos").distinct()
 
 
 def kept_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -283,7 +284,7 @@ def cleaned(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     gone = cut(judged(docs, id_col=id_col, text_col=text_col, threshold=threshold).where(F.size("removed") > 0).select(F.struct("doc", "n_lines", "removed").alias(own)))
     removed = F.col(f"{own}.removed")
     key = F.col(quoted(id_col)).cast("long")
-    touched = F.coalesce(may_be(key, id_filter(gone, f"{own}.doc")), F.lit(False))
+    touched = F.coalesce(may_be(F.xxhash64(key), hash_filter(gone.select(F.xxhash64(f"{own}.doc")), ID_BITS)), F.lit(False))
     lines = F.split(F.col(quoted(text_col)), "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(removed, i)), "\n")
     rows = docs.where(touched).join(gone, key == F.col(f"{own}.doc"), "left")
