@@ -32,13 +32,13 @@ CHUNK_ROWS = 200
 class Encoder:
     """Token ids as the vocabulary file's tokenizer gives them, remembered by word.
 
-    The vocabulary drops white space, so a text's ids are those of its words. Texts of
-    characters below U+0240 take this way; any other, or one with a special token's marks,
-    is given to the tokenizer whole.
+    The vocabulary drops white space, so a text's ids are those of its words. Texts that in
+    lower case have no character from U+0240 on take this way; any other, or one with a
+    special token's marks, is given to the tokenizer whole.
     """
 
     PLAIN = bytes([9, 10, 11, 12, 13, *range(0x20, 0x7F), *range(0x80, 0xC0), *range(0xC2, 0xC9)])
-    ODD = ("\x85", "İ", "<|")
+    ODD = ("\x85", "<|")
     PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str, most: int = 500_000):
@@ -65,7 +65,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.lower().split() if self.is_plain(t) else None for t in texts]
+        words = [w.split() if self.is_plain(w := t.lower()) else None for t in texts]
         self._know(set().union(*(w for w in words if w)))
         get = self.ids.__getitem__
         return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
