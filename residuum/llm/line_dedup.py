@@ -106,12 +106,13 @@ def first_lines(docs: DataFrame, table: Column, id_col: str, text_col: str, thre
     """(doc, pos, n, prefix, bits, parts, tokens): of all lines with equal word sets the earliest.
 
     ``parts`` are the keys of a line with a frequent token; a long one has its tokens instead.
+    A long line that can be similar to one that is not has both, so either kind finds all its pairs.
     """
     rows = lines_of(docs, id_col, text_col).where(has_word(F.col("line"))).select("doc", "pos", keys(words(F.col("line")), table).alias("k"))
     n = F.size("k")
     width = F.when(n * (1 - threshold) >= threshold - 1e-9, n - at_least(threshold, n) + 1).otherwise(F.lit(0))  # fewer words: equal sets only
     frequent = (width > 0) & (_rank_of(F.get("k", width - 1)) > rank(FREQUENT))  # the last of the prefix is the least rare
-    parts = F.when(frequent & (n <= LONG), F.flatten(F.transform(F.transform(bases(n, threshold), lambda b: F.struct(b.alias("base"), part_count(b, threshold).alias("count"))), lambda t: parted(F.col("k"), n, t, threshold))))
+    parts = F.when(frequent & (n <= int(LONG / threshold)), F.flatten(F.transform(F.transform(bases(n, threshold), lambda b: F.struct(b.alias("base"), part_count(b, threshold).alias("count"))), lambda t: parted(F.col("k"), n, t, threshold))))
     own = F.struct("doc", "pos", n.alias("n"), F.slice("k", F.lit(1), width).alias("prefix"), bitmap(F.col("k")).alias("bits"), parts.alias("parts"), F.when(frequent & (n > LONG), F.col("k")).alias("tokens"))
     rows = rows.select(F.xxhash64("k").alias("s1"), F.hash("k").alias("s2"), own.alias("x"))
     return rows.groupBy("s1", "s2").agg(F.min("x").alias("x")).select("x.*")
