@@ -118,3 +118,69 @@ def pieces(ids: list[int], capacity: int = 2048) -> list[tuple[int, int, int, in
     ids = [*ids, 0]
     cut = [(at, ids[at : at + capacity]) for at in range(0, len(ids), capacity)]
     return [(p, at, len(x), zlib.crc32(b"".join(v.to_bytes(4, "little") for v in x))) for p, (at, x) in enumerate(cut)]
+
+
+def runs(words: list, least: int = 12) -> list[tuple[int, int, int]]:
+    """(start, length, smallest period) of every maximal stretch, by trying each period."""
+    found: dict[tuple[int, int], int] = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, 2 * q):
+                found.setdefault((i, j - i + q), q)
+            i = max(i + 1, j)
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def run_row(doc_id: int, text: str | None) -> tuple:
+    words = white_words(text)
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 == 0 and n:
+        a = h // 10 % n
+        p = 1 + (n - a) // (3 + h // 10 % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = runs(words)
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+    first = (None,) * 4 if best is None else (*best, 1000 * best[1] // best[2])
+    return (doc_id, len(found), *first, sha("".join(f"{s},{length},{q}\n" for s, length, q in found)), sha(" ".join(w for i, w in enumerate(words) if i not in gone)))
+
+
+def maximal_segments(scores: list[float], low: int = 0, high: int | None = None) -> list[tuple[int, int]]:
+    """The segment with the greatest sum, then the same in what is left and right of it."""
+    high = len(scores) if high is None else high
+    best = max(((sum(scores[a:b]), a, b) for a in range(low, high) for b in range(a + 1, high + 1)), default=(0, 0, 0))
+    if best[0] <= 0:
+        return []
+    return [*maximal_segments(scores, low, best[1]), best[1:], *maximal_segments(scores, best[2], high)]
+
+
+def trie(rows: list[tuple], head) -> list[tuple]:
+    own: dict[int, list] = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            own.setdefault(c, []).append((turn is not None, turn or 0, hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest(), role, text))
+    turns = {c: [x[3:] for x in sorted(v, key=lambda x: x[:3])] for c, v in own.items()}
+    rebuilt = {c: tuple(turns.get(c - c % 100, [])[: head(c)] + v[head(c) :]) for c, v in turns.items()}
+    nodes: dict[tuple, list[int]] = {}
+    for c, v in rebuilt.items():
+        for d in range(len(v) + 1):
+            nodes.setdefault(v[:d], []).append(c)
+    children: dict[tuple, int] = {}
+    for v in nodes:
+        if v:
+            children[v[:-1]] = children.get(v[:-1], 0) + 1
+    leaves, saved = dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0)
+    for v, members in nodes.items():
+        for d in range(len(v) + 1):
+            leaves[v[:d]] += v not in children
+            saved[v[:d]] += (len(members) - 1) * (len(v[-1][1]) if v else 0)
+    out = []
+    for v, members in nodes.items():
+        ends = sha(",".join(map(str, sorted(c for c in members if rebuilt[c] == v))))
+        out.append((min(members), len(v), min(nodes[v[:-1]]) if v else None, len(members), children.get(v, 0), leaves[v], saved[v], ends))
+    return out

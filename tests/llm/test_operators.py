@@ -59,6 +59,31 @@ def test_edit_distance_within():
         assert near_dedup.distance_within(np.array(a, np.int64), np.array(b, np.int64), most) == (d if d <= most else None)
 
 
+def planted(rng, similarity, n, repeats):
+    """A text of n words and a copy at this similarity, with words that repeat in both, in the copy alone, or in neither."""
+    base = [f"p{rng.randrange(10**9)}" for _ in range(n)] if repeats != "both" else [f"p{rng.randrange(n)}" for _ in range(n)]
+    edits = int((1 - similarity) * n)
+    copy = list(base)
+    if repeats == "copy":
+        return base, [*base, *base[n - edits :]]
+    for place in rng.sample(range(n), edits):
+        copy[place] = f"q{rng.randrange(10**9)}"
+    return base, copy
+
+
+@pytest.mark.parametrize("repeats", ["none", "copy", "both"])
+def test_planted_near_duplicates_with_repeated_words(spark, repeats):
+    rng, rows = random.Random(11), []
+    kinds = [(s, n) for s in (0.82, 0.9, 0.975) for n in (12, 60, 200)]
+    for k in range(270):
+        a, b = planted(rng, *kinds[k % len(kinds)], repeats)
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    label = {r["id"]: r["class_id"] for r in near_dedup.classes(frame(spark, rows)).collect()}
+    alike = [k for k in range(270) if near_dedup.alike(rows[2 * k][1].encode().split(), rows[2 * k + 1][1].encode().split())]
+    assert len(alike) > 200
+    assert sum(label[2 * k] == label[2 * k + 1] for k in alike) >= 0.95 * len(alike)
+
+
 def near_rows():
     rng, rows = random.Random(2), []
     for family in range(12):
@@ -441,6 +466,20 @@ def test_contamination_odd_rows(spark):
     assert name == "_hits" and all(not r[name]["spans"] for r in found.collect())
 
 
+# packing
+
+
+def test_encoder_on_all_characters():
+    """Every character of the basic plane, in contexts that a word splitter may treat in another way."""
+    import public_tokenizers
+
+    encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for context in ("{}", "a{}b", "Ab{}.", "x {}y z", "{}'s"):
+        texts = [context.replace("{}", chr(c)) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+        want = [np.array(x.ids, "<u4").tobytes() for x in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+        assert encoder.encode(texts) == want
+
+
 # substrings
 
 
@@ -464,6 +503,19 @@ def test_substrings_odd_rows(spark):
 # lines
 
 
+@pytest.mark.parametrize("frequent", [0, 1024])
+def test_lines_on_both_sides_of_a_size(spark, monkeypatch, frequent):
+    """Lines that are parted within their row, by a shuffle, and pairs with one of each."""
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
+    rows = []
+    for k, (n, m) in enumerate([(256, 257), (252, 258), (250, 262), (255, 265), (240, 250), (262, 270), (256, 284), (256, 285), (284, 285), (260, 288)]):
+        words = [f"k{k}w{i}" for i in range(m)]
+        rows += [(2 * k, " ".join(words[:n])), (2 * k + 1, " ".join(reversed(words)))]
+    found = {r["doc"]: r["removed"] for r in line_dedup.judged(frame(spark, rows)).collect()}
+    assert found == brute.removed_lines(rows)
+    assert sum(map(len, found.values())) >= 8
+
+
 def test_lines(spark):
     rng = random.Random(8)
     base = [prose(rng, rng.choice([1, 2, 5, 12, 20, 60]), 150) for _ in range(60)]
@@ -503,5 +555,5 @@ def test_rolling_hash_is_by_content():
     assert len(set(hashes.tolist())) == 7 and (hashes[:7] == hashes[7:14]).all()
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
