@@ -221,4 +221,4 @@ def trie(conversations: DataFrame, head: Column | None = None, size: int = SIZE,
 def members(conversations: DataFrame, head: Column | None = None, size: int = SIZE, most_head: int = 5) -> DataFrame:
     """(conv_id, depth, member): which conversations end at each node, a row for each."""
     nodes = family_nodes(conversations, head, size, most_head).where("ends IS NOT NULL")
-    return nodes.select("conv_id", "depth", F.explode(F.split("ends", ",")).cast("long").alias("member"))
+    return nodes.select("conv_id", "depth", F.explode(F.split("ends", ",").cast("array<long>")).alias("member"))

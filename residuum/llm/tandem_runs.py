@@ -34,6 +34,8 @@ from residuum.llm.common import Rolling, WordHashes, free_name, mix, quoted
 LEAST = 12
 #: Words of a block of documents, and leaves that are tried at a time.
 BLOCK, TRIED = 200_000, 2_000_000
+#: Rows whose words are held at a time.
+ROWS = 256
 
 RUN = T.StructType([T.StructField(c, T.LongType()) for c in ("start", "length", "period")])
 FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("runs", T.ArrayType(RUN)), T.StructField("collapsed", T.StringType())])
@@ -227,7 +229,7 @@ def find(docs: DataFrame, *, text_col: str = "text", least: int = LEAST) -> tupl
 
     def run(batches):
         hashes, rolling, none = WordHashes(), Rolling(), np.empty((0, 3), np.int64)
-        for batch in batches:
+        for batch in (b.slice(low, ROWS) for b in batches for low in range(0, len(b), ROWS)):
             texts = batch.column(place).cast(pa.binary()).to_pylist()
             words = [t.split() if t else [] for t in texts]
             found = [none] * len(words)

@@ -12,7 +12,7 @@ n * exp(-rate * S) segments of score S by chance. The chances of a text's best s
 joined (Karlin, Altschul 1993), and documents that had no part in the word scores set what
 share of documents with such a chance is toxic.
 
-Words are runs of letters in lower case, in 2**22 hashed slots, so that all tables that are
+Words are runs of letters and digits in lower case, in 2**22 hashed slots, so that all tables that are
 gathered have a fixed size. Word scores and calibration are learnt from ``SAMPLE`` labelled
 documents at most, those of least hash of the id; equal texts among them count once, with
 the mean of their labels. The prior and the rate cover all documents.
@@ -53,7 +53,7 @@ STEP, STEPS = 0.5, 200
 #: Best segments of a text whose chances are joined, at most.
 BEST = 5
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W_]+")
 PASSAGE = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("expected", T.DoubleType())])
 FOUND = T.StructType([T.StructField("chance", T.DoubleType()), T.StructField("passages", T.ArrayType(PASSAGE))])
 

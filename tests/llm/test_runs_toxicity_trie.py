@@ -169,7 +169,9 @@ def as_sets(df):
     return sorted(map(tuple, df.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256").collect()), key=repr)
 
 
-HEAD = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+def head_column():
+    return F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+
 
 
 @pytest.mark.parametrize("part", [200_000, 3])
@@ -177,7 +179,7 @@ def test_trie_by_definition(spark, monkeypatch, part):
     monkeypatch.setattr(prefix_trie, "PART", part)
     rows = conversations(part)
     df = spark.createDataFrame(rows, TURNS)
-    assert as_sets(prefix_trie.trie(df, HEAD)) == sorted(brute.trie(rows, head_of), key=repr)
+    assert as_sets(prefix_trie.trie(df, head_column())) == sorted(brute.trie(rows, head_of), key=repr)
     assert as_sets(prefix_trie.trie(df)) == sorted(brute.trie(rows, lambda c: 0), key=repr)
 
 
@@ -196,7 +198,7 @@ def test_trie_odd_rows(spark):
     assert prefix_trie.trie(spark.createDataFrame([(None, 1, "u", "x")], TURNS)).count() == 0
     long = [(5, i, "u", "same") for i in range(200)] + [(6, i, "u", "same") for i in range(200)]
     df = clashing(spark.createDataFrame(long, TURNS))
-    found = as_sets(prefix_trie.trie(df, HEAD))
+    found = as_sets(prefix_trie.trie(df, head_column()))
     assert found == sorted(brute.trie(long, head_of), key=repr)
     longer = spark.range(2 * 20_000).select((F.col("id") % 2).alias("conv_id"), (F.col("id") / 2).cast("long").alias("turn"), F.lit("u").alias("role"), F.lit("same").alias("text"))
     root = prefix_trie.trie(longer).where("depth = 0").first()
