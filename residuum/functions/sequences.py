@@ -196,3 +196,45 @@ def interface_key(positions: Column | str) -> Column:
     """Number made of least and greatest place and their number; differing sets may share it."""
     p = F.transform(col(positions), lambda x: x.cast("long"))
     return (F.array_min(p) * F.lit(1_000_000_000) + F.array_max(p) * F.lit(10_000) + F.size(p)).cast("long")
+
+
+def known_stretches(sequence: Column | str, *, unknown: str = "X", least: int = 10) -> Column:
+    """Stretches of at least ``least`` known letters, with their starts from 0: an array of (start, letters).
+
+    Shorter ones between unknown letters count as unknown. A sequence without any unknown
+    letter is one stretch, however short.
+    """
+    pattern = f"[^{unknown}]{{{least},}}"
+    gaps, found = F.split(col(sequence), pattern, -1), F.regexp_extract_all(col(sequence), F.lit(f"({pattern})"), F.lit(1))
+    each = F.arrays_zip(F.transform(F.slice(gaps, F.lit(1), F.size(found)), lambda g: F.length(g)).alias("gap"), found.alias("letters"))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,letters:string>>").alias("out"))
+    placed = F.aggregate(each, start, lambda s, x: F.struct((s["end"] + x["gap"] + F.length(x["letters"])).alias("end"), F.concat(s["out"], F.array(F.struct((s["end"] + x["gap"]).alias("start"), x["letters"].alias("letters")))).alias("out")), lambda s: s["out"])
+    whole = F.array(F.struct(F.lit(0).alias("start"), col(sequence).alias("letters")))
+    return F.when(~col(sequence).contains(unknown) & (F.length(col(sequence)) > 0), whole).otherwise(placed)
+
+
+def unknown_portions(sequence: Column | str, *, unknown: str = "X", least: int = 10) -> Column:
+    """What is between the known stretches: an array of (first, end), end exclusive."""
+    known = F.concat(known_stretches(sequence, unknown=unknown, least=least), F.array(F.struct(F.length(col(sequence)).alias("start"), F.lit("").alias("letters"))))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<first:int,end:int>>").alias("out"))
+    add = lambda s, x: F.struct((x["start"] + F.length(x["letters"])).alias("end"), F.when(x["start"] > s["end"], F.concat(s["out"], F.array(F.struct(s["end"].alias("first"), x["start"].alias("end"))))).otherwise(s["out"]).alias("out"))
+    return F.aggregate(known, start, add, lambda s: s["out"])
+
+
+def fused_alignment(a: Column | str, b: Column | str) -> Column:
+    """Letters of the first of two sequences of one length, and those of the other where it has a gap."""
+    return F.array_join(F.zip_with(F.split(col(a), ""), F.split(col(b), ""), lambda x, y: F.when(x == "-", y).otherwise(x)), "")
+
+
+def trimmed(target: Column | str, template: Column | str, buffer: int = 0) -> Column:
+    """Both aligned sequences without the columns where the template only begins or ends, but for ``buffer`` of these, and how many went on the left: (target, template, left)."""
+    target, template = col(target), col(template)
+    lead, tail = F.length(F.regexp_extract(template, "^-*", 0)), F.length(F.regexp_extract(template, "-*$", 0))
+    left, right = F.greatest(lead - buffer, F.lit(0)), F.greatest(tail - buffer, F.lit(0))
+    length = F.greatest(F.length(template) - left - right, F.lit(0))
+    return F.struct(F.substring(target, left + 1, length).alias("target"), F.substring(template, left + 1, length).alias("template"), left.alias("left"))
+
+
+def moved(positions: Column | str, left: Column | str) -> Column:
+    """Positions of a whole sequence in one that lost ``left`` letters in front; null stays."""
+    return F.transform(col(positions), lambda p: p - col(left))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 
 def contact_rollup(contacts: DataFrame, a: str, b: str, types: list[str], score: str) -> DataFrame:
@@ -48,6 +49,39 @@ def changed_edges(before: DataFrame, after: DataFrame, a: str, b: str, score: st
     return x.join(y, [a, b], "full").withColumn("kind", kind)
 
 
+def alignment_places(alignments: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, position, letter, position_b, letter_b) of each column of two aligned sequences (keys, target, template), counted from 1; null for a gap."""
+    columns = F.posexplode(F.arrays_zip(F.split("target", "").alias("a"), F.split("template", "").alias("b"))).alias("i", "x")
+    rows = alignments.select(*keys, columns).where("x.a <> '' OR x.b <> ''")
+    order = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    place = lambda c: F.when(F.col(c) != "-", F.sum((F.col(c) != "-").cast("int")).over(order).cast("int"))
+    letter = lambda c: F.when(F.col(c) != "-", F.col(c))
+    return rows.select(*keys, place("x.a").alias("position"), letter("x.a").alias("letter"), place("x.b").alias("position_b"), letter("x.b").alias("letter_b"))
+
+
+def superimposed(before: DataFrame, after: DataFrame, places: DataFrame, keys: list[str], *, least: float = 0.2) -> DataFrame:
+    """Edges (keys, chain, residue, node, score) between residues of partner chains and positions of two aligned proteins, put over each other.
+
+    ``places`` are the columns of the alignment (``alignment_places``). Returns (keys, chain,
+    residue, node, before, after, weight, kind): ``node`` names both positions (12A/13G, 12A
+    where they are the same, 12A/- or -/13G beside a gap), and kind is lost, new, changed (by
+    more than ``least`` of the greatest score before) or common; weights are in shares of the
+    greatest score of the network that the edge is in, the earlier one if in both.
+    """
+    node = [*keys, "position", "position_b"]
+    text = lambda p, a: F.concat(F.col(p).cast("string"), F.col(a))
+    same = (F.col("position") == F.col("position_b")) & (F.col("letter") == F.col("letter_b"))
+    name = F.when(same, text("position", "letter")).otherwise(F.concat(F.coalesce(text("position", "letter"), F.lit("-")), F.lit("/"), F.coalesce(text("position_b", "letter_b"), F.lit("-"))))
+    named = places.select(*node, name.alias("node"))
+    top = lambda rows, c: rows.groupBy(*keys).agg(F.max("score").alias(c))
+    x = before.join(named.where("position IS NOT NULL"), [*keys, "position"]).select(*keys, "chain", "residue", "node", F.col("score").alias("before"))
+    y = after.withColumnRenamed("position", "position_b").join(named.where("position_b IS NOT NULL"), [*keys, "position_b"]).select(*keys, "chain", "residue", "node", F.col("score").alias("after"))
+    joined = x.join(y, [*keys, "chain", "residue", "node"], "full").join(top(before, "_x"), keys, "left").join(top(after, "_y"), keys, "left")
+    kind = F.when(F.col("after").isNull(), "lost").when(F.col("before").isNull(), "new").when(F.abs(F.col("after") / F.col("_x") - F.col("before") / F.col("_x")) > least, "changed").otherwise("common")
+    weight = 5 * (0.1 + F.coalesce(F.col("before") / F.col("_x"), F.col("after") / F.col("_y")))
+    return joined.select(*keys, "chain", "residue", "node", "before", "after", weight.alias("weight"), kind.alias("kind"))
+
+
 def betweenness(edges: DataFrame, group: str, *, a: str = "a", b: str = "b", score: str = "score", with_negative: bool = False) -> DataFrame:
     """(group, node, betweenness): weighted betweenness within each group, a structure or a chain of one.
 

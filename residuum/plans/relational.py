@@ -209,14 +209,18 @@ def contact_rollup(spark, sf_dir):
 
 
 @query("gene_edges", """
-    WITH e AS (SELECT least(l_partkey, l_suppkey) AS gene_a, greatest(l_partkey, l_suppkey) AS gene_b, l_tax - 0.02 AS score, l_quantity AS w, 51 - l_quantity AS d FROM lineitem WHERE l_partkey <> l_suppkey),
-    r AS (SELECT gene_a, gene_b, greatest(0, sum(score * w) / sum(w)) AS wt, greatest(0, sum(score * d) / sum(d)) AS disease FROM e GROUP BY ALL)
-    SELECT gene_a, gene_b, round(wt, 6) AS wt, round(disease, 6) AS disease, round(CASE WHEN greatest(wt, disease) > 0 THEN (disease - wt) / greatest(wt, disease) ELSE 0 END, 4) + 0.0 AS change FROM r""")
+    WITH e AS (SELECT least(l_partkey, l_suppkey) AS gene_a, greatest(l_partkey, l_suppkey) AS gene_b, round(l_tax * 100) - 2 AS score, l_quantity AS w, 51 - l_quantity AS d FROM lineitem WHERE l_partkey <> l_suppkey),
+    r AS (SELECT gene_a, gene_b, greatest(0, sum(score * w) / sum(w)) AS wt, greatest(0, sum(score * d) / sum(d)) AS disease FROM e GROUP BY ALL),
+    k AS (SELECT *, CASE WHEN greatest(wt, disease) > 0 THEN (disease - wt) / greatest(wt, disease) ELSE 0 END AS change FROM r)
+    SELECT gene_a, gene_b, floor(wt * 10000 + 0.5) / 10000 AS wt, floor(disease * 10000 + 0.5) / 10000 AS disease, floor(change * 10000 + 0.5) / 10000 + 0.0 AS change,
+      CASE WHEN wt > 0 AND disease = 0 THEN 'lost' WHEN wt = 0 AND disease > 0 THEN 'new' WHEN change < 0 THEN 'worse' ELSE 'kept' END AS kind FROM k""")
 def gene_edges(spark, sf_dir):
+    """Scores in hundredths: sums of whole numbers are exact, so that rounding is the same in any order."""
     from residuum.plans.reports import gene_network
 
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("gene_a"), F.col("l_suppkey").alias("gene_b"), (F.col("l_tax") - 0.02).alias("score"), F.col("l_quantity").alias("w"), (51 - F.col("l_quantity")).alias("d"))
-    return gene_network(rows, "w", "d").select("gene_a", "gene_b", F.round("wt", 6).alias("wt"), F.round("disease", 6).alias("disease"), (F.round("change", 4) + F.lit(0.0)).alias("change"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("gene_a"), F.col("l_suppkey").alias("gene_b"), (F.round(F.col("l_tax") * 100) - 2).alias("score"), F.col("l_quantity").alias("w"), (51 - F.col("l_quantity")).alias("d"))
+    rounded = lambda x: F.floor(F.col(x) * 10000 + 0.5) / 10000
+    return gene_network(rows, "w", "d").select("gene_a", "gene_b", rounded("wt").alias("wt"), rounded("disease").alias("disease"), (rounded("change") + F.lit(0.0)).alias("change"), "kind")
 
 
 @query("expr_weighted_score", """

@@ -163,9 +163,10 @@ def multi_savs(spark, sf_dir):
     return reports.multi_savs(lists, parts(spark, sf_dir).select(c("p_partkey").alias("snv_id"), c("p_brand").alias("change")))
 
 
-@query("not_connected", "SELECT c_custkey AS node FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("not_connected", "SELECT c_custkey AS node FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AND c_custkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def not_connected(spark, sf_dir):
-    edges = table(spark, sf_dir, "orders").select(c("o_custkey").alias("a"), c("o_custkey").alias("b"))
+    """Customers that no urgent order joins, as its customer or by an order of the same number."""
+    edges = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(c("o_custkey").alias("a"), c("o_orderkey").alias("b"))
     return graphs.not_connected(table(spark, sf_dir, "customer").select(c("c_custkey").alias("node")), edges)
 
 
