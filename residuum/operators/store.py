@@ -78,3 +78,16 @@ def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def session(sessions: DataFrame, file: str, checksum: int) -> DataFrame:
     """Sessions of the same file name and content."""
     return sessions.where((F.col("file") == file) & (F.col("checksum") == checksum))
+
+
+def refresh(state: DataFrame, seen: DataFrame, key: str = "id", modified: str = "modified_at") -> tuple[DataFrame, DataFrame]:
+    """What is to be done again, and the state after it: (id, modified_at), the latest of each id.
+
+    An id is due if it is new or was modified after what the state has; notices that repeat
+    or come late are not. Notices without an id or time are left out.
+    """
+    newest = seen.where(F.col(key).isNotNull() & F.col(modified).isNotNull()).groupBy(key).agg(F.max(modified).alias(modified))
+    known = state.select(key, F.col(modified).alias("_known"))
+    due = newest.join(known, key, "left").where(F.col("_known").isNull() | (F.col(modified) > F.col("_known"))).select(key, modified)
+    after = state.select(key, modified).unionByName(due).groupBy(key).agg(F.max(modified).alias(modified))
+    return due, after

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from residuum.operators import density, distances
 from residuum.plans.catalog import query, table
+from residuum.sources import cif
 
 NAMES = ("ALA", "CYS", "ASP", "GLU", "PHE", "GLY", "HIS", "ILE", "LYS", "LEU", "MET", "ASN", "PRO", "GLN", "ARG", "SER", "THR", "VAL", "TRP", "TYR", "XAA")
 ATOMS = ("N", "CA", "C", "O", "CB", "SG", "H")
@@ -177,3 +178,26 @@ def nearest_substituents(spark, sf_dir):
     found = distances.nearest_substituents(atoms(spark, sf_dir), ["structure"])
     total = F.aggregate("sphere", F.lit(0.0), lambda s, x: s + x["distance"])
     return found.select("structure", "chain", "residue", "chain_b", F.round("distance", 6).alias("distance"), "residue_b", "serial", "serial_b", F.size("sphere").cast("long").alias("n_sphere"), F.round(total, 5).alias("total"))
+
+
+def cif_texts(spark, sf_dir):
+    """A CIF text for each structure: a header, a text field with a keyword in it, and its atoms in two models, with quoted names."""
+    number = lambda x: F.format_string("%.3f", x)
+    name = F.when(c("atom") == "CB", "\"CB'\"").otherwise(c("atom"))
+    alt = F.when(c("serial") % 10 == 3, F.when(c("residue") % 2 == 0, "A").otherwise("B")).otherwise(".")
+    line = lambda model: F.concat_ws(" ", F.lit("ATOM"), "serial", name, alt, "name", "chain", "residue", F.lit("?"), number(c("x")), number(c("y")), number(c("z")), F.lit(model))
+    rows = atoms(spark, sf_dir).select("structure", "serial", line("1").alias("one"), line("2").alias("two"))
+    joined = lambda col: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("serial", col))), lambda x: x[col]), "\n").alias(col)
+    items = ("group_PDB", "id", "label_atom_id", "label_alt_id", "label_comp_id", "auth_asym_id", "auth_seq_id", "pdbx_PDB_ins_code", "Cartn_x", "Cartn_y", "Cartn_z", "pdbx_PDB_model_num")
+    head = "data_x\n_struct.title\n;Structure of 'loop_' words\n_atom_site.id 7\n;\n_refine.ls_d_res_high 1.%s # comment\nloop_\n" + "".join(f"_atom_site.{x}\n" for x in items)
+    whole = F.concat(F.format_string(head, (c("structure") % 10).cast("string")), "one", F.lit("\n"), "two", F.lit("\n#\n"))
+    return rows.groupBy("structure").agg(joined("one"), joined("two")).select("structure", whole.alias("value"))
+
+
+@query("mmcif_atoms", f"""WITH res AS ({RESIDUES}), atom AS ({ATOM_ROWS})
+  SELECT structure, CAST(serial AS INTEGER) AS serial, CASE atom WHEN 'CB' THEN 'CB''' ELSE atom END AS atom, name AS res_name, chain, CAST(residue AS INTEGER) AS res_num, round(x, 3) AS x, round(z, 3) AS z, 1 + (structure % 10) / 10 AS resolution
+  FROM atom WHERE NOT (serial % 10 = 3 AND residue % 2 = 1)""")
+def mmcif_atoms(spark, sf_dir):
+    texts = cif_texts(spark, sf_dir)
+    found = cif.parse_atoms(texts, ["structure"]).join(cif.resolution(texts, ["structure"]), "structure")
+    return found.select("structure", "serial", "atom", "res_name", "chain", "res_num", "x", "z", "resolution")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from residuum.operators import store
 from residuum.plans.catalog import query, table
 from residuum.streaming import flows
 
@@ -32,3 +33,16 @@ def sliding_window(spark, sf_dir):
     SELECT CAST(floor(epoch(min(ts))) AS BIGINT) AS start, CAST(floor(epoch(max(ts))) AS BIGINT) + 7200 AS "end", user_id, count(*) AS n, round(sum(value), 4) AS total FROM r GROUP BY user_id, run""")
 def session_window(spark, sf_dir):
     return _out(flows.sessions(table(spark, sf_dir, "events"), "2 hours", "user_id"), "user_id")
+
+
+@query("refreshed", """
+    WITH s AS (SELECT user_id, max(ts) AS t FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-16' GROUP BY 1), n AS (SELECT user_id, max(ts) AS t FROM events WHERE event_type = 'click' GROUP BY 1),
+    d AS (SELECT n.user_id, n.t, true AS due FROM n LEFT JOIN s USING (user_id) WHERE s.t IS NULL OR n.t > s.t)
+    SELECT coalesce(s.user_id, d.user_id) AS id, CAST(floor(epoch(greatest(coalesce(s.t, d.t), coalesce(d.t, s.t)))) AS BIGINT) AS modified, coalesce(due, false) AS due FROM s FULL JOIN d ON s.user_id = d.user_id""")
+def refreshed(spark, sf_dir):
+    """Users viewed until the middle of the month as the state, their clicks as notices of modification."""
+    rows = flows.with_time(table(spark, sf_dir, "events")).select(F.col("user_id").alias("id"), F.col("ts").alias("modified_at"), "event_type")
+    state = rows.where("event_type = 'view' AND modified_at < '2024-01-16'").groupBy("id").agg(F.max("modified_at").alias("modified_at"))
+    due, after = store.refresh(state, rows.where("event_type = 'click'"))
+    marked = after.join(due.select("id", F.lit(True).alias("due")), "id", "left")
+    return marked.select("id", F.unix_timestamp("modified_at").alias("modified"), F.coalesce("due", F.lit(False)).alias("due"))

@@ -76,3 +76,25 @@ def usable_hits(hits: DataFrame, lengths: DataFrame, *, threshold: float = 0.35)
     rows = hits.join(lengths, "query").where(is_usable_hit("alnlen", "query_length", "fident", threshold=threshold))
     each = rows.withColumn("target", F.explode(F.split("targets", ","))).withColumn("structure", F.substring_index("target", "-", 1)).withColumn("chain", F.substring_index("target", "-", -1))
     return each.groupBy("query", "structure").agg(F.max_by(F.struct("chain", "fident", "alnlen", "tlen", "qcov"), F.struct("alnlen", "fident", "chain")).alias("x"), F.array_sort(F.collect_set("chain")).alias("chains")).select("query", "structure", "x.*", "chains")
+
+
+def parse_matrix(lines: DataFrame, keys: list[str], column: str = "value") -> DataFrame:
+    """(keys, a, b, score) of substitution matrices as they are published: ``#`` comments, a line of symbols, a line of scores for each symbol.
+
+    ``lines`` has (keys, line, text); ``keys`` name the file, and ``line`` is the order within it.
+    """
+    text = F.trim(col(column))
+    rows = lines.where((text != "") & ~text.startswith("#")).select(*keys, "line", F.split(text, r"\s+").alias("w"))
+    head = rows.groupBy(*keys).agg(F.min_by("w", "line").alias("symbols"), F.min("line").alias("_first"))
+    body = rows.join(head, keys).where(F.col("line") > F.col("_first"))
+    each = body.select(*keys, F.get("w", F.lit(0)).alias("a"), F.posexplode("symbols").alias("i", "b"), "w")
+    return each.select(*keys, "a", "b", F.get("w", F.col("i") + 1).try_cast("double").alias("score")).where("score IS NOT NULL")
+
+
+def matrix_rows(scores: DataFrame, keys: list[str], symbols: str) -> DataFrame:
+    """(keys, symbol, row): the scores of each of ``symbols`` with all of them in this order, the matrix's least where one is missing."""
+    order = F.array(*map(F.lit, symbols))
+    least = scores.groupBy(*keys).agg(F.min("score").alias("_least"))
+    own = scores.where(F.col("a").isin(*symbols) & F.col("b").isin(*symbols)).groupBy(*keys, F.col("a").alias("symbol"), F.col("b")).agg(F.max("score").alias("score"))
+    found = own.groupBy(*keys, "symbol").agg(F.map_from_entries(F.collect_list(F.struct("b", "score"))).alias("_m")).join(least, keys)
+    return found.select(*keys, "symbol", F.transform(order, lambda s: F.coalesce(F.try_element_at("_m", s), F.col("_least"))).alias("row"))

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from residuum.operators.store import new_rows
 from residuum.sources.inputs import parse_mutation_lines
@@ -58,3 +59,23 @@ def _windowed(events: DataFrame, window, keys: tuple[str, ...], late: str | None
 def latest(events: DataFrame, key: str, late: str) -> DataFrame:
     """Each id once within the time that one waits for late events."""
     return with_time(events).withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
+
+
+def due(notices: DataFrame, late: str) -> DataFrame:
+    """Stream of (id, modified_at) that are to be done again: ids that are new, or modified after the last notice.
+
+    The state is one time for each id; notices that repeat, or come late, give nothing. A
+    batch's notices of an id give its newest one.
+    """
+
+    def newest(key, batches, state):
+        import pandas as pd
+
+        last = max(batch["modified_at"].max() for batch in batches)
+        if not state.exists or last > pd.Timestamp(state.get[0]):
+            state.update((last.to_pydatetime(),))
+            yield pd.DataFrame({"id": [key[0]], "modified_at": [last]})
+
+    rows = notices.where("id IS NOT NULL AND modified_at IS NOT NULL").select("id", F.col("modified_at").cast("timestamp").alias("modified_at")).withWatermark("modified_at", late)
+    kind = notices.schema["id"].dataType.simpleString()
+    return rows.groupBy("id").applyInPandasWithState(newest, f"id {kind}, modified_at timestamp", "modified_at timestamp", "update", GroupStateTimeout.NoTimeout)
