@@ -64,14 +64,14 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def rarity(docs: DataFrame, text_col: str) -> Column:
-    """An array with a number for each bucket of tokens: in its first byte, four times the
-    logarithm of how many tokens are in the bucket. Tokens are told apart roughly here."""
+    """An array with a number for each bucket of tokens: four times the logarithm of how many
+    tokens are in the bucket. Tokens are told apart roughly here."""
     rough = F.split(F.replace(F.lower(F.col(quoted(text_col))), F.lit("\n"), F.lit(" ")), " ", -1)
     counts = docs.select(F.explode(rough).alias("t")).groupBy(_bucket(F.xxhash64("t")).alias("b")).count().collect()
     table = [0] * (1 << BUCKETS)
     for b, n in counts:
-        table[b] = rank(n) << 56
-    return F.split(F.lit(",".join(map(str, table))), ",", -1).cast("array<long>")  # folded to one literal
+        table[b] = rank(n)
+    return F.split(F.lit(",".join(map(str, table))), ",", -1).cast("array<tinyint>")  # folded to one literal
 
 
 def rank(n: int) -> int:
@@ -85,7 +85,7 @@ def _bucket(h: Column) -> Column:
 def keys(tokens: Column, table: Column) -> Column:
     """Distinct tokens as numbers in order of rarity: rank in the first byte, then the hash."""
     hashes = F.transform(tokens, lambda t: F.xxhash64(t))
-    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.get(table, _bucket(h)) + F.shiftrightunsigned(h, 8))))
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.call_function("shiftleft", F.get(table, _bucket(h)).cast("long"), F.lit(56)) + F.shiftrightunsigned(h, 8))))
 
 
 def bitmap(k: Column) -> Column:
@@ -205,26 +205,28 @@ def _marked(lines: DataFrame, gone: DataFrame) -> DataFrame:
     return lines.join(flags, (F.col("doc") == F.col("_doc")) & (F.col("pos") == F.col("_pos")), "left").withColumn("gone", F.coalesce("_gone", F.lit(False))).drop("_doc", "_pos", "_gone")
 
 
-def hash_filter(hashes: DataFrame, bits: int) -> bytes:
-    """Bits of the one column of hashes, ``1 << bits`` of them: for rows that surely are not among these."""
+def hash_filter(hashes: DataFrame, bits: int) -> DataFrame:
+    """(piece, bits): the one column of hashes as ``1 << bits`` bits in pieces of 4 KiB, for rows that surely are not among them.
+
+    A table to be broadcast, of a size that ``bits`` bounds: as a literal it would stand in every text of the plan.
+    """
     place = _place(F.col("h"), bits)
-    pieces = hashes.toDF("h").groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
-    size = 4096
-    table = bytearray((1 << bits) // 8)
-    for piece, own in pieces:
-        table[(piece - 1) * size : piece * size] = own
-    return bytes(table)
+    return cut(hashes.toDF("h").groupBy(F.bitmap_bucket_number(place).alias("_piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")))
 
 
 def _place(hashed: Column, bits: int) -> Column:
     return F.pmod(hashed, F.lit(1 << bits)) + 1
 
 
-def may_be(hashed: Column, table: bytes) -> Column:
-    place = _place(hashed, (len(table) * 8).bit_length() - 1)
-    piece, within = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring(F.lit(table), ((piece - 1) * 4096 + F.shiftright(within, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, within.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+def marked_rows(rows: DataFrame, hashed: Column, table: DataFrame, bits: int, flag: str) -> DataFrame:
+    """``rows`` with a column ``flag``: may the hash be among those of the filter?"""
+    place = _place(hashed, bits)
+    within = F.bitmap_bit_position(place)
+    piece, own = free_name(rows.columns, "_piece"), free_name(rows.columns, "_bits")
+    byte = F.conv(F.hex(F.substring(own, (F.shiftright(within, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.call_function("shiftright", byte, within.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    joined = rows.join(F.broadcast(table.toDF(piece, own)), F.bitmap_bucket_number(place) == F.col(piece), "left")
+    return joined.select(*(F.col(quoted(c)) for c in rows.columns), F.coalesce(marked, F.lit(False)).alias(flag))
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
@@ -235,7 +237,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thre
     """
     ends = pairs.select(F.xxhash64("doc", "pos").alias("h")).unionByName(pairs.select(F.xxhash64("doc_b", "pos_b").alias("h")))
     bits = min(MOST_BITS, max(ID_BITS, (8 * ends.agg(F.approx_count_distinct("h")).first()[0]).bit_length()))
-    rows = lines_of(docs, id_col, text_col).where(may_be(F.xxhash64("doc", "pos"), hash_filter(ends, bits)))
+    rows = marked_rows(lines_of(docs, id_col, text_col), F.xxhash64("doc", "pos"), hash_filter(ends, bits), bits, "asked").where("asked")
     rows = rows.select("doc", "pos", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("w"))
     each = lambda x: rows.select(F.col("doc").alias(f"{x}doc"), F.col("pos").alias(f"{x}pos"), F.col("w").alias(f"{x}w"))
     met = pairs.join(each("x_"), (F.col("doc") == F.col("x_doc")) & (F.col("pos") == F.col("x_pos"))).select("doc", "pos", "doc_b", "pos_b", "x_w")
@@ -285,14 +287,15 @@ def cleaned(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     gone = cut(judged(docs, id_col=id_col, text_col=text_col, threshold=threshold).where(F.size("removed") > 0).select(F.struct("doc", "n_lines", "removed").alias(own)))
     removed = F.col(f"{own}.removed")
     key = F.col(quoted(id_col)).cast("long")
-    touched = F.coalesce(may_be(F.xxhash64(key), hash_filter(gone.select(F.xxhash64(f"{own}.doc")), ID_BITS)), F.lit(False))
+    flag = free_name([*docs.columns, own], "touched")
+    flagged = marked_rows(docs, F.xxhash64(key), hash_filter(gone.select(F.xxhash64(f"{own}.doc")), ID_BITS), ID_BITS, flag)
     lines = F.split(F.col(quoted(text_col)), "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(removed, i)), "\n")
-    rows = docs.where(touched).join(gone, key == F.col(f"{own}.doc"), "left")
+    rows = flagged.where(F.col(flag)).join(gone, key == F.col(f"{own}.doc"), "left")
     if drop_empty:
         rows = rows.where(removed.isNull() | (F.size(removed) < F.col(f"{own}.n_lines")))
     rows = rows.withColumn(text_col, F.when(removed.isNotNull(), left).otherwise(F.col(quoted(text_col))))
-    return docs.where(~touched).unionByName(rows.select(*map(quoted, docs.columns)))
+    return flagged.where(~F.col(flag)).select(*map(quoted, docs.columns)).unionByName(rows.select(*map(quoted, docs.columns)))
 
 
 def digest(found: DataFrame) -> DataFrame:

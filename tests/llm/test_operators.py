@@ -19,7 +19,7 @@ from residuum.llm.common import Rolling  # noqa: E402
 
 SCHEMA = "doc_id long, text string"
 #: Names that the operators use themselves.
-CLASHES = ("id", "blob", "found", "removed", "n_lines", "kept", "hits", "quality", "_doc", "_kept_id", "_copy", "label", "a.b")
+CLASHES = ("id", "_piece", "_bits", "touched", "blob", "found", "removed", "n_lines", "kept", "hits", "quality", "_doc", "_kept_id", "_copy", "label", "a.b")
 
 
 def frame(spark, rows, schema=SCHEMA):
