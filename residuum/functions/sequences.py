@@ -30,6 +30,12 @@ HYDROPATHY = {
     "W": -0.9, "Y": -1.3, "P": -1.6, "H": -3.2, "E": -3.5, "Q": -3.5, "D": -3.5, "N": -3.5, "K": -3.9, "R": -4.5,
 }
 
+# Volumes of the letters in cubic Å.
+VOLUME = {
+    "I": 166.7, "V": 140.0, "L": 166.7, "F": 189.9, "C": 108.5, "U": 108.5, "M": 162.9, "A": 88.6, "G": 60.1, "T": 116.1, "S": 89.0,
+    "W": 227.8, "Y": 193.6, "P": 112.7, "H": 153.2, "E": 138.4, "Q": 143.8, "D": 111.1, "N": 114.1, "K": 168.6, "R": 173.4, "X": 150.0,
+}
+
 
 def as_map(table: dict[str, object]) -> Column:
     return F.create_map(*(F.lit(x) for pair in table.items() for x in pair))
@@ -166,7 +172,7 @@ def function_type(tags: Column | str) -> Column:
 
 
 def property_changes(wt: Column | str, mut: Column | str, *, charged_as_published: bool = True) -> Column:
-    """A flag for each property class that one letter has and the other lacks, and their number.
+    """A flag for each property class that one letter has and the other lacks, and their number without ``tiny``.
 
     The published charged flag tests the mutant among the negative letters only;
     ``charged_as_published=False`` tests both among the charged.
@@ -175,7 +181,7 @@ def property_changes(wt: Column | str, mut: Column | str, *, charged_as_publishe
     for name, letters in PROPERTIES.items():
         other = PROPERTIES["negative"] if name == "charged" and charged_as_published else letters
         flags[name] = (F.instr(F.lit(letters), col(wt)) > 0) != (F.instr(F.lit(other), col(mut)) > 0)
-    total = sum((f.cast("int") for f in flags.values()), F.lit(0))
+    total = sum((f.cast("int") for n, f in flags.items() if n != "tiny"), F.lit(0))
     return F.struct(*(f.alias(n) for n, f in flags.items()), total.alias("total"))
 
 
@@ -238,3 +244,8 @@ def trimmed(target: Column | str, template: Column | str, buffer: int = 0) -> Co
 def moved(positions: Column | str, left: Column | str) -> Column:
     """Positions of a whole sequence in one that lost ``left`` letters in front; null stays."""
     return F.transform(col(positions), lambda p: p - col(left))
+
+
+def volume_change(wt: Column | str, mut: Column | str) -> Column:
+    """Difference of the volumes of two letters in cubic Å."""
+    return F.abs(as_map(VOLUME)[col(wt)] - as_map(VOLUME)[col(mut)])

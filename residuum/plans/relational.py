@@ -168,7 +168,9 @@ def p99_scale(spark, sf_dir):
     SELECT o_custkey, round(a.v - b.v, 2) AS difference FROM a JOIN b USING (o_custkey)""")
 def diff_report(spark, sf_dir):
     total = lambda s: table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == s).groupBy("o_custkey").agg(F.sum("o_totalprice").alias("v"))
-    return joins.differences(total("F"), total("O"), "o_custkey", "v").select("o_custkey", F.round("difference", 2).alias("difference"))
+    from residuum.plans.reports import sorted_differences
+
+    return sorted_differences(joins.differences(total("F"), total("O"), "o_custkey", "v"), "o_custkey").select("o_custkey", F.round("difference", 2).alias("difference"))
 
 
 @query("set_ops", """

@@ -126,3 +126,100 @@ def multi_savs(mutations: DataFrame, snvs: DataFrame) -> DataFrame:
     """(mm_id, savs): changes of each multi-mutation in order, joined by colons."""
     each = mutations.select("mm_id", F.posexplode("snv_ids").alias("i", "snv_id")).join(snvs, "snv_id")
     return each.groupBy("mm_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "change"))), lambda x: x["change"]), ":").alias("savs"))
+
+
+# the reports in full
+
+
+def recommended_parts(text: str) -> list:
+    """Structure, identity, coverage and resolution of a recommendation ``1abc:A;0.9;1.0;2.1``; a dash for each if it has fewer parts or is none, and whether it is a model."""
+    parts = F.split(F.col(text), ";")
+    whole = F.col(text).isNotNull() & (F.size(parts) == 4)
+    part = lambda i, name: F.when(whole, F.get(parts, F.lit(i))).otherwise("-").alias(name)
+    return [part(0, "structure"), part(1, "identity"), part(2, "coverage"), part(3, "resolution"), F.coalesce(whole & F.get(parts, F.lit(0)).startswith("AF-"), F.lit(False)).alias("model")]
+
+
+def classification_report(positions: DataFrame, proteins: DataFrame, evidence: DataFrame) -> DataFrame:
+    """A row for each position with its identities, classes and structures.
+
+    ``positions``: (position_id, protein_id, position_number, residue_id, wt, tags);
+    ``proteins``: (protein_id, input_id, primary_id, uniprot_ac, uniprot_id, refseq);
+    ``evidence``: (position_id, rsa, interaction_class, simple_class, secondary, recommended,
+    most_similar, n_structures), the structures as ``id;identity;coverage;resolution``.
+    """
+    rows = positions.join(proteins, "protein_id").join(evidence, "position_id", "left")
+    location = scores.locate("rsa")
+    best, similar = recommended_parts("recommended"), recommended_parts("most_similar")
+    named = lambda parts, prefix: [p.alias(f"{prefix}_{n}") for p, n in zip(parts, ("structure", "identity", "coverage", "resolution", "model"), strict=True)]
+    return rows.select(
+        F.coalesce("input_id", "primary_id").alias("input_id"), "primary_id", "uniprot_ac", "uniprot_id", "refseq", F.coalesce("residue_id", F.lit("")).alias("residue_id"), F.col("wt").alias("amino_acid"), "position_number", "tags",
+        location.alias("location"), scores.classify("interaction_class", location).alias("classification"), scores.classify("simple_class", location).alias("simple_class"), "secondary",
+        *named(best, "recommended"), *named(similar, "similar"), F.coalesce("n_structures", F.lit(0)).alias("n_structures"))
+
+
+def interface_report(members: DataFrame, interfaces: DataFrame, positions: DataFrame, proteins: DataFrame) -> DataFrame:
+    """A row for each position of an interface, interfaces being numbered within their protein.
+
+    ``members``: (interface_id, position_id, residue); ``interfaces``: (interface_id,
+    protein_id, recommendation). A position of several interfaces has a row for each.
+    """
+    numbered = windows.numbered(interfaces, ["protein_id"], "interface_id", "interface_number")
+    rows = members.join(numbered, "interface_id").join(positions.select("position_id", "position_number", "wt"), "position_id").join(proteins, "protein_id")
+    return rows.select(F.coalesce("input_id", "primary_id").alias("input_id"), "primary_id", "uniprot_ac", F.col("wt").alias("amino_acid"), "position_number", "interface_number", F.col("recommendation").alias("interface_recommendation"), F.col("residue").alias("position_recommendation"))
+
+
+def feature_report(classified: DataFrame, changes: DataFrame, features: list[str]) -> DataFrame:
+    """A row for each position and change with the differences of the letters and the position's features; a position without a change keeps its letter."""
+    rows = joins.left_with_default(classified, changes, ["primary_id", "position_number"], {"new_aa": F.col("amino_acid")})
+    flags = sequences.property_changes("amino_acid", "new_aa")
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    rows = rows.withColumns({"hydropathy_change": zero(sequences.hydropathy_change("amino_acid", "new_aa")), "volume_change": zero(sequences.volume_change("amino_acid", "new_aa")), "_f": flags})
+    number = [F.col(f"_f.{f}").cast("int").alias(f"{f}_change") for f in (*sequences.PROPERTIES, "total")]
+    return rows.select("input_id", "primary_id", "uniprot_ac", "amino_acid", "position_number", "new_aa", F.concat("amino_acid", "new_aa").alias("change"), "tags", *features, "hydropathy_change", "volume_change", *number)
+
+
+def partner_report(ppi: DataFrame, session: DataFrame, proteins: DataFrame) -> DataFrame:
+    """Interactions (protein_a, protein_b, complex_id, chain_a, chain_b, score) of the proteins of a session, with the names of both; ``expanded`` if the partner is not in the session."""
+    names = lambda side: proteins.select(F.col("protein_id").alias(f"protein_{side}"), F.col("primary_id").alias(f"name_{side}"))
+    own = session.select(F.col("protein_id").alias("protein_a")).distinct()
+    other = session.select(F.col("protein_id").alias("protein_b"), F.lit(False).alias("_outside")).distinct()
+    rows = ppi.join(own, "protein_a").join(other, "protein_b", "left").join(names("a"), "protein_a").join(names("b"), "protein_b")
+    return rows.select("name_a", "name_b", "complex_id", "chain_a", "chain_b", "score", F.coalesce("_outside", F.lit(True)).alias("expanded"))
+
+
+def annotation_rates(positions: DataFrame, mapped: DataFrame, *, homolog: float = 0.35, same: float = 0.99) -> DataFrame:
+    """One row of counters: positions, mapped ones, those with faults only, proteins, those with a structure, and with one of at least these identities.
+
+    ``positions``: (position_id, protein_id); ``mapped``: (position_id, structure_id,
+    identity, fault), ``fault`` being null where the mapping stands.
+    """
+    good = F.col("fault").isNull()
+    each = positions.join(mapped, "position_id", "left").groupBy("protein_id", "position_id").agg(F.max(good & F.col("structure_id").isNotNull()).alias("ok"), F.max(F.col("fault").isNotNull()).alias("faulty"), F.max(F.when(good, F.col("identity"))).alias("best"))
+    of_protein = each.groupBy("protein_id").agg(F.count("*").alias("n"), F.sum(F.col("ok").cast("long")).alias("ok"), F.sum((~F.coalesce("ok", F.lit(False)) & F.coalesce("faulty", F.lit(False))).cast("long")).alias("faulty"), F.max("best").alias("best"))
+    n = lambda x: F.sum(F.coalesce(x, F.lit(False)).cast("long"))
+    return of_protein.agg(F.sum("n").alias("positions"), F.sum("ok").alias("mapped"), F.sum("faulty").alias("faulty"), F.count("*").alias("proteins"), n(F.col("ok") > 0).alias("proteins_mapped"), n(F.col("best") >= homolog).alias("proteins_homolog"), n(F.col("best") >= same).alias("proteins_same"))
+
+
+def indel_report(indels: DataFrame, aggregates_: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """A row for each change with the features of its six regions as columns, from the long form (keys, region, side, features)."""
+    regions = [("inside", "wt", "wildtype"), ("inside", "mut", "mutant"), ("left flank", "wt", "wt_left"), ("left flank", "mut", "mut_left"), ("right flank", "wt", "wt_right"), ("right flank", "mut", "mut_right")]
+    here = lambda region, side: (F.col("region") == region) & (F.col("side") == side)
+    wide = aggregates_.groupBy(*keys).agg(*(F.max(F.when(here(r, s), F.col(f))).alias(f"{name}_{f}") for r, s, name in regions for f in features))
+    return indels.join(wide, keys, "left")
+
+
+def indel_class_counts(indels: DataFrame) -> DataFrame:
+    """(kind, tag, wt_class, mut_class, n): how many changes (kind, tags, wt_class, mut_class) lead from a class to another, for each tag and for all; an insertion has no class before, a deletion none after."""
+    tagged = indels.withColumn("tag", F.explode(F.array_union(F.array(F.lit("All")), F.coalesce("tags", F.array().cast("array<string>")))))
+    before, after = F.when(F.col("kind") != "ins", F.col("wt_class")), F.when(F.col("kind") != "del", F.col("mut_class"))
+    return tagged.groupBy("kind", "tag", before.alias("wt_class"), after.alias("mut_class")).agg(F.count("*").alias("n"))
+
+
+def sorted_terms(found: DataFrame) -> DataFrame:
+    """Terms by their normalised score, greatest first; of ties by name."""
+    return found.orderBy(F.col("normalized").desc(), "term")
+
+
+def sorted_differences(found: DataFrame, key: str) -> DataFrame:
+    """Differences from the greatest absolute one on; of ties by key."""
+    return found.orderBy(F.abs("difference").desc(), key)
