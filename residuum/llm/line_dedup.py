@@ -9,8 +9,9 @@ any common order is exact, a good one is fast. Two similar sets share a token of
 prefixes, and a join on these, with the length, the positional and a bitmap filter, gives the
 candidates, whose Jaccard is then computed on their words.
 
-A prefix token of more than ``FREQUENT`` lines would join too many. A line with such a token
-is keyed by parts of its set instead: tokens are dealt by hash to one part more than similar
+How many lines have a token in their prefix is counted exactly, once prefixes are known. A
+prefix token of more than ``FREQUENT`` lines would join too many: it keys no line, and a line
+with such a token is keyed by parts of its set as well: tokens are dealt by hash to one part more than similar
 sets of its length can differ in tokens, so one part is the same in both. A part has some
 tokens each, so its key is rare, however frequent they are, and a line has about as many parts
 as prefix tokens. Lengths go in tiers, each twice the one before, with as many parts as its
@@ -103,19 +104,13 @@ def at_least(threshold: float, n: Column) -> Column:
 
 
 def first_lines(docs: DataFrame, table: Column, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """(doc, pos, n, prefix, bits, parts, tokens): of all lines with equal word sets the earliest.
-
-    ``parts`` are the keys of a line with a frequent token; a long one has its tokens instead.
-    A long line that can be similar to one that is not has both, so either kind finds all its pairs.
-    """
+    """(doc, pos, n, prefix, bits, set): of all lines with equal word sets the earliest; ``set`` is a hash of the words."""
     rows = lines_of(docs, id_col, text_col).where(has_word(F.col("line"))).select("doc", "pos", keys(words(F.col("line")), table).alias("k"))
     n = F.size("k")
     width = F.when(n * (1 - threshold) >= threshold - 1e-9, n - at_least(threshold, n) + 1).otherwise(F.lit(0))  # fewer words: equal sets only
-    frequent = (width > 0) & (_rank_of(F.get("k", width - 1)) > rank(FREQUENT))  # the last of the prefix is the least rare
-    parts = F.when(frequent & (n <= int(LONG / threshold)), F.flatten(F.transform(F.transform(bases(n, threshold), lambda b: F.struct(b.alias("base"), part_count(b, threshold).alias("count"))), lambda t: parted(F.col("k"), n, t, threshold))))
-    own = F.struct("doc", "pos", n.alias("n"), F.slice("k", F.lit(1), width).alias("prefix"), bitmap(F.col("k")).alias("bits"), parts.alias("parts"), F.when(frequent & (n > LONG), F.col("k")).alias("tokens"))
-    rows = rows.select(F.xxhash64("k").alias("s1"), F.hash("k").alias("s2"), own.alias("x"))
-    return rows.groupBy("s1", "s2").agg(F.min("x").alias("x")).select("x.*")
+    own = F.struct("doc", "pos", n.alias("n"), F.slice("k", F.lit(1), width).alias("prefix"), bitmap(F.col("k")).alias("bits"))
+    rows = rows.select(F.xxhash64("k").alias("set"), F.hash("k").alias("s2"), own.alias("x"))
+    return rows.groupBy("set", "s2").agg(F.min("x").alias("x")).select("set", "x.*")
 
 
 def bases(n: Column, threshold: float) -> Column:
@@ -145,9 +140,9 @@ def parted(tokens: Column, n: Column, tier: Column, threshold: float) -> Column:
 
 
 def _long_parts(lines: DataFrame, threshold: float) -> DataFrame:
-    """The same for long lines (doc, pos, n, bits, gone, tokens), one row a key, in steps linear in their length."""
+    """Keys of the parts of long lines (doc, pos, n, bits, gone, tokens), a row for each, in steps linear in their length."""
     own = ("doc", "pos", "n", "bits", "gone", "base")
-    each = lines.where("tokens IS NOT NULL").select("doc", "pos", "n", "bits", "gone", "tokens", F.explode(bases(F.col("n"), threshold)).alias("base"))
+    each = lines.select("doc", "pos", "n", "bits", "gone", "tokens", F.explode(bases(F.col("n"), threshold)).alias("base"))
     count = part_count(F.col("base"), threshold)
     empty = each.select(*own, F.explode(F.sequence(F.lit(0), count - 1)).alias("r"), F.lit(None).cast("long").alias("t"))
     dealt = each.select(*own, F.explode("tokens").alias("t")).select(*own, F.pmod("t", count).cast("int").alias("r"), "t").unionByName(empty)
@@ -180,13 +175,42 @@ def _rank_of(token: Column) -> Column:
     return F.shiftright(token, 56).cast("int")
 
 
-def keyed(lines: DataFrame, threshold: float) -> DataFrame:
+def keyed(lines: DataFrame, docs: DataFrame, table: Column, id_col: str, text_col: str, threshold: float) -> DataFrame:
     """(key, room) and what the filters need, for every key of each line; ``room`` is the number of
-    tokens that a line can share from that of the key on."""
+    tokens that a line can share from that of the key on.
+
+    Two similar lines share a token of their prefixes. If it is of few lines it is a key of
+    both; else both have a token of many lines and are keyed by their parts.
+    """
     own = ("doc", "pos", "n", "bits", "gone")
-    tokens = lines.select(*own, F.posexplode("prefix").alias("i", "key")).where(_rank_of(F.col("key")) <= rank(FREQUENT)).select("key", *own, (F.col("n") - F.col("i")).alias("room"))
-    parts = lines.where("parts IS NOT NULL").select(F.explode("parts").alias("key"), *own, F.col("n").alias("room"))
-    return tokens.unionByName(parts).unionByName(_long_parts(lines, threshold))
+    rows = lines.select(*own, "set", F.posexplode("prefix").alias("i", "key")).withColumn("room", F.col("n") - F.col("i"))
+    hot = cut(rows.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > FREQUENT).select("key"))
+    sent = F.broadcast(hot) if hot.count() <= FEW else hot
+    tokens = rows.join(sent, "key", "left_anti").select("key", *own, "room")
+    met = cut(rows.join(sent, "key", "left_semi").select(*own, "set").distinct())
+    if not met.limit(1).count():
+        return tokens
+    lines_with_hot = _with_tokens(met, docs, table, id_col, text_col)
+    n = F.col("n")
+    # a long line that can be similar to one that is not has both kinds of parts, so either kind finds all its pairs
+    own_parts = F.flatten(F.transform(F.transform(bases(n, threshold), lambda b: F.struct(b.alias("base"), part_count(b, threshold).alias("count"))), lambda t: parted(F.col("tokens"), n, t, threshold)))
+    parts = lines_with_hot.where(n <= int(LONG / threshold)).select(F.explode(own_parts).alias("key"), *own, n.alias("room"))
+    return tokens.unionByName(parts).unionByName(_long_parts(lines_with_hot.where(n > LONG), threshold))
+
+
+def _with_tokens(lines: DataFrame, docs: DataFrame, table: Column, id_col: str, text_col: str) -> DataFrame:
+    """``lines`` (doc, pos, set, ...) with their ``tokens``, by reading the texts again; only lines that may be asked for are shuffled."""
+    ends = lines.select(F.xxhash64("doc", "pos").alias("h"))
+    bits = _filter_bits(ends)
+    asked = marked_rows(lines_of(docs, id_col, text_col), F.xxhash64("doc", "pos"), hash_filter(ends, bits), bits, "asked").where("asked")
+    texts = asked.select(F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), keys(words(F.col("line")), table).alias("tokens"))
+    same = (F.col("doc") == F.col("_doc")) & (F.col("pos") == F.col("_pos")) & (F.col("set") == F.xxhash64("tokens"))
+    return cut(lines.join(texts, same).drop("_doc", "_pos", "set"))
+
+
+def _filter_bits(hashes: DataFrame) -> int:
+    """Eight bits for each hash, ``MOST_BITS`` at most."""
+    return min(MOST_BITS, max(ID_BITS, (8 * hashes.agg(F.approx_count_distinct("h")).first()[0]).bit_length()))
 
 
 def _with_leaders(lines: DataFrame, threshold: float) -> DataFrame:
@@ -236,7 +260,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thre
     ends. The filter has eight bits a line, ``MOST_BITS`` at most; beyond, more lines pass it.
     """
     ends = pairs.select(F.xxhash64("doc", "pos").alias("h")).unionByName(pairs.select(F.xxhash64("doc_b", "pos_b").alias("h")))
-    bits = min(MOST_BITS, max(ID_BITS, (8 * ends.agg(F.approx_count_distinct("h")).first()[0]).bit_length()))
+    bits = _filter_bits(ends)
     rows = marked_rows(lines_of(docs, id_col, text_col), F.xxhash64("doc", "pos"), hash_filter(ends, bits), bits, "asked").where("asked")
     rows = rows.select("doc", "pos", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("w"))
     each = lambda x: rows.select(F.col("doc").alias(f"{x}doc"), F.col("pos").alias(f"{x}pos"), F.col("w").alias(f"{x}w"))
@@ -253,7 +277,7 @@ def kept_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     lines = first.where(F.size("prefix") > 0)
     led = cut(_with_leaders(lines, threshold))
     gone = cut(_similar(led, docs, id_col, text_col, threshold))
-    rows = keyed(_marked(lines, gone), threshold)
+    rows = keyed(_marked(lines, gone), docs, table, id_col, text_col, threshold)
     # the flag is part of one condition with both sides, so that both are the same shuffle
     wanted = F.when(F.col("a.gone") & F.col("b.doc").isNotNull(), F.lit(False)).otherwise(_filters(threshold))
     pairs = _pairs(rows.alias("a").join(rows.alias("b"), (F.col("a.key") == F.col("b.key")) & wanted))
