@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from residuum.functions import sequences
 from residuum.functions.scores import col
+from residuum.sources.features import header_changes
 
 
 def identifier_kind(name: Column | str) -> Column:
@@ -46,7 +47,7 @@ def read_mutation_list(spark: SparkSession, path: str) -> DataFrame:
 def parse_fasta_records(records: DataFrame, column: str = "value") -> DataFrame:
     """(entry_id, mutations, sequence) of records that begin after their ``>``.
 
-    Lines with ``<`` are changes with tags; ``/`` and ``*`` are left out of the sequence; a
+    Changes may stand in the header after the id (``A2G<tag;B3C``); lines with ``<`` are changes with tags; ``/`` and ``*`` are left out of the sequence; a
     sequence with another character than A-Z, or fewer than five letters, is not valid.
     """
     lines = F.filter(F.split(F.regexp_replace(col(column), "\r", ""), "\n"), lambda x: F.trim(x) != "")
@@ -55,7 +56,7 @@ def parse_fasta_records(records: DataFrame, column: str = "value") -> DataFrame:
     changes = F.transform(F.filter(F.slice("l", 2, F.size("l")), lambda x: x.startswith("<")), lambda x: F.split(F.trim(F.regexp_replace(x, "^<", "")), r"[ \t]+", 2))
     mutations = F.transform(changes, lambda p: F.struct(p[0].alias("change"), F.array_remove(F.split(F.coalesce(F.get(p, F.lit(1)), F.lit("")), ","), "").alias("tags")))
     sequence = F.upper(F.regexp_replace(F.array_join(F.filter(F.slice("l", 2, F.size("l")), lambda x: ~x.startswith("<")), ""), r"[/*\s]", ""))
-    found = rows.select(F.substring_index(F.trim(head), " ", 1).alias("entry_id"), mutations.alias("mutations"), sequence.alias("sequence"))
+    found = rows.select(F.get(F.split(F.trim(head), r"[ \t]+"), F.lit(0)).alias("entry_id"), F.concat(header_changes(head), mutations).alias("mutations"), sequence.alias("sequence"))
     return found.withColumn("valid", F.col("sequence").rlike("^[A-Z]+$") & sequences.is_valid_sequence("sequence"))
 
 
