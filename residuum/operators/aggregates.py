@@ -171,3 +171,48 @@ def shares(rows: DataFrame, tag: str, label: str, labels: list[str]) -> DataFram
     each = rows.select(F.explode(F.array(F.lit("total"), F.col(tag))).alias("tag"), label)
     counts = [F.sum((F.col(label) == x).cast("long")) / F.count("*") for x in labels]
     return each.groupBy("tag").agg(F.count("*").alias("n"), *(c.alias(x) for c, x in zip(counts, labels, strict=True)))
+
+
+# The features of a structure's residue by how they are put together over all structures.
+STRUCTURAL = {
+    **dict.fromkeys(("lig_dist", "metal_dist", "ion_dist", "chain_dist", "rna_dist", "dna_dist", "homo_dist"), "distance"),
+    **dict.fromkeys((
+        "b_factor", "pLDDT", "phi", "psi", "ssbond_length", "link_length", "inter_chain_median_kd", "inter_chain_dist_weighted_kd", "inter_chain_median_rsa", "inter_chain_dist_weighted_rsa", "intra_chain_median_kd",
+        "intra_chain_dist_weighted_kd", "intra_chain_median_rsa", "intra_chain_dist_weighted_rsa", "inter_chain_interactions_median", "inter_chain_interactions_dist_weighted", "intra_chain_interactions_median", "intra_chain_interactions_dist_weighted"), "number"),
+    **dict.fromkeys(("modres", "cis_conformation", "cis_follower"), "probability"),
+    **dict.fromkeys(("intra_ssbond", "inter_ssbond", "intra_link", "inter_link"), "flag"),
+    **dict.fromkeys(("surface_value", "mainchain_surface_value", "sidechain_surface_value"), "exposure"),
+    "ssa": "category",
+}
+
+
+def structural_features(rows: DataFrame, keys: list[str], features: dict[str, str] = STRUCTURAL, *, quality: str = "quality", coverage: str = "coverage") -> DataFrame:
+    """(keys, features): every feature of the residues of a group by its kind, in one aggregate; categories, by majority of the quality, in one more each."""
+    plain = {name: kind for name, kind in features.items() if kind != "category"}
+    found = rows.groupBy(*keys).agg(*feature_aggregates(plain, quality, coverage))
+    for name, kind in features.items():
+        if kind == "category":
+            found = found.join(weighted_majority(rows, keys, name, quality, name), keys, "left")
+    return found.select(*keys, *features)
+
+
+# Least shares of equal letters in a pocket and in the whole sequence that make a class.
+SITE_CLASSES, FULL_CLASSES = (0.99, 0.7), (0.9, 0.5)
+POCKET_VALUES = ("bb_rmsd", "all_rmsd", "n_site", "site_lddt")
+
+
+def pocket_strata(hits: DataFrame, keys: list[str], *, sites: tuple[float, float] = SITE_CLASSES, full: tuple[float, float] = FULL_CLASSES, values: tuple[str, ...] = POCKET_VALUES) -> DataFrame:
+    """(keys, stratum_value ...): means of the values of pocket hits (query, hit, site_identity, identity, values) in seventeen strata, in one pass.
+
+    ``alike`` and ``unlike`` weigh all hits by identity, or by the lack of it; the others are
+    plain means over classes of the sequence (``seq_high``, ``seq_middle``, ``seq_low``), of
+    the site, and of both. Hits of the query's own structure do not count; an empty stratum is null.
+    """
+    site, seq = F.col("site_identity"), F.col("identity")
+    band = lambda x, limits: {"high": x >= limits[0], "middle": (x < limits[0]) & (x >= limits[1]), "low": x < limits[1]}
+    one = F.lit(1.0)
+    strata = {"alike": (F.lit(True), site * seq), "unlike": (F.lit(True), (1.5 - site) * (1.5 - seq))}
+    strata |= {f"seq_{k}": (c, one) for k, c in band(seq, full).items()} | {f"site_{k}": (c, one) for k, c in band(site, sites).items()}
+    strata |= {f"seq_{k}_site_{m}": (c & d, one) for k, c in band(seq, full).items() for m, d in band(site, sites).items()}
+    mean = lambda v, c, w: F.sum(F.when(c, F.col(v) * w)) / F.nullif(F.sum(F.when(c & F.col(v).isNotNull(), w)), F.lit(0.0))
+    return hits.where(F.col("query") != F.col("hit")).groupBy(*keys).agg(*(mean(v, c, w).alias(f"{name}_{v}") for name, (c, w) in strata.items() for v in values))
