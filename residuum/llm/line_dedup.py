@@ -184,9 +184,12 @@ def keyed(lines: DataFrame, docs: DataFrame, table: Column, id_col: str, text_co
     """
     own = ("doc", "pos", "n", "bits", "gone")
     rows = lines.select(*own, "set", F.posexplode("prefix").alias("i", "key")).withColumn("room", F.col("n") - F.col("i"))
-    hot = cut(rows.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > FREQUENT).select("key"))
+    counts = cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+    hot = counts.where(F.col("c") > FREQUENT).select("key")
     sent = F.broadcast(hot) if hot.count() <= FEW else hot
-    tokens = rows.join(sent, "key", "left_anti").select("key", *own, "room")
+    shared = counts.where(F.col("c") <= FREQUENT).select(F.xxhash64("key").alias("h"))
+    bits = _filter_bits(shared)  # a token that only one line has goes before the shuffle
+    tokens = marked_rows(rows.select("key", *own, "room"), F.xxhash64("key"), hash_filter(shared, bits), bits, "shared").where("shared").drop("shared").join(sent, "key", "left_anti")
     met = cut(rows.join(sent, "key", "left_semi").select(*own, "set").distinct())
     if not met.limit(1).count():
         return tokens
@@ -210,7 +213,7 @@ def _with_tokens(lines: DataFrame, docs: DataFrame, table: Column, id_col: str,
 
 def _filter_bits(hashes: DataFrame) -> int:
     """Eight bits for each hash, ``MOST_BITS`` at most."""
-    return min(MOST_BITS, max(ID_BITS, (8 * hashes.agg(F.approx_count_distinct("h")).first()[0]).bit_length()))
+    return min(MOST_BITS, max(ID_BITS, (8 * hashes.agg(F.approx_count_distinct("h")).first()[0] + 1).bit_length()))
 
 
 def _with_leaders(lines: DataFrame, threshold: float) -> DataFrame:
