@@ -110,7 +110,7 @@ def alignment_variants(spark, sf_dir):
 
 @query("global_alignment")
 def global_alignment(spark, sf_dir):
-    """Each part's type against its brand's and name's letters, by a matrix of matches only."""
+    """Each part's type against its name, by a matrix of matches only; ``sources.structures.parse_matrix`` reads a published one."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     align = alignment.aligner({(x, x): 4.0 for x in letters}, letters)
     rows = parts(spark, sf_dir).select("p_partkey", F.upper("p_type").alias("a"), F.upper("p_name").alias("b"))
