@@ -249,3 +249,34 @@ def moved(positions: Column | str, left: Column | str) -> Column:
 def volume_change(wt: Column | str, mut: Column | str) -> Column:
     """Difference of the volumes of two letters in cubic Å."""
     return F.abs(as_map(VOLUME)[col(wt)] - as_map(VOLUME)[col(mut)])
+
+
+def adler32(text: Column | str) -> Column:
+    """Adler-32 checksum of a text's UTF-8 bytes; null for null."""
+    pairs = F.regexp_extract_all(F.hex(F.encode(col(text), "UTF-8")), F.lit("(..)"), F.lit(1))
+    start = F.struct(F.lit(1).cast("long").alias("low"), F.lit(0).cast("long").alias("high"))
+
+    def step(s: Column, x: Column) -> Column:
+        low = (s["low"] + F.conv(x, 16, 10).cast("long")) % 65521
+        return F.struct(low.alias("low"), ((s["high"] + low) % 65521).alias("high"))
+
+    return F.aggregate(pairs, start, step, lambda s: s["high"] * 65536 + s["low"])
+
+
+def homomers(text: Column | str) -> Column:
+    """``AB,C`` as an array of (chain, equal chains): every chain with those of its group, itself among them."""
+    groups = F.filter(F.split(col(text), ","), lambda g: g != "")
+    each = lambda g: F.transform(F.split(g, ""), lambda c: F.struct(c.alias("chain"), F.split(g, "").alias("chains")))
+    return F.flatten(F.transform(groups, each))
+
+
+def homomer_text(pairs: Column | str) -> Column:
+    """The inverse: each group once, in the order of its first chain."""
+    return F.array_join(F.array_distinct(F.transform(col(pairs), lambda p: F.array_join(p["chains"], ""))), ",")
+
+
+def recommendation_text(structure: Column | str, residue: Column | str, identity: Column | str, coverage: Column | str, resolution: Column | str) -> Column:
+    """``1abc:A 12:G;0.90;1.00;2.1``: structure and residue with identity and coverage to two places and resolution to one, a dash where that is null; null without a structure."""
+    number = lambda x, f: F.coalesce(F.format_string(f, col(x).cast("double")), F.lit("-"))
+    shown = lambda x, f: F.when(col(x).isNotNull(), number(x, f)).otherwise("-")
+    return F.when(col(structure).isNotNull(), F.concat_ws(";", F.concat_ws(" ", col(structure), col(residue)), shown(identity, "%.2f"), shown(coverage, "%.2f"), shown(resolution, "%.1f")))

@@ -62,3 +62,28 @@ def upper_scale(rows: DataFrame, keys: list[str], value: str, out: str = "scaled
     pivot = F.max(F.when(F.col("_p") == F.when(F.col("_n") > 1000, F.floor(F.col("_n") / 100)).otherwise(1), F.col(value))).over(own)
     scaled = rows.withColumn("_n", n).withColumn("_p", place).withColumn("_top", pivot)
     return scaled.withColumn(out, F.when(F.col("_top") > 0, F.least(F.lit(1.0), F.col(value) / F.col("_top")))).drop("_n", "_p", "_top")
+
+
+def median_bins(rows: DataFrame, keys: list[str], place: str, *, least: int = 10, dense: float = 0.5) -> DataFrame:
+    """(keys, place, first, last): the range around the median that a number is in, null for those outside of it.
+
+    A group of fewer than ``least`` different numbers has no range; one that fills more than
+    ``dense`` of its span is one. Else the range reaches from the median as far as neighbours
+    are nearer than one more than twice the mean distance between the quartiles; the median
+    alone is none.
+    """
+    own = Window.partitionBy(*keys)
+    order = own.orderBy(place)
+    each = rows.select(*keys, place).distinct().withColumns({"_n": F.count("*").over(own), "_i": F.row_number().over(order) - 1, "_low": F.min(place).over(own), "_high": F.max(place).over(own), "_gap": F.col(place) - F.lag(place).over(order)})
+    quarter = F.floor(F.col("_n") / 4)
+    at = lambda i: F.max(F.when(F.col("_i") == i, F.col(place))).over(own)
+    limit = 1 + F.floor(2 * (1 + F.col("_q3") - F.col("_q1")) / F.col("_n"))
+    each = each.withColumns({"_q1": at(quarter), "_q3": at(3 * quarter)}).withColumn("_far", F.coalesce((F.col("_gap") >= limit).cast("int"), F.lit(0)))
+    each = each.withColumn("_run", F.sum("_far").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    each = each.withColumn("_middle", F.max(F.when(F.col("_i") == F.floor(F.col("_n") / 2), F.col("_run"))).over(own))
+    run = Window.partitionBy(*keys, "_run")
+    each = each.withColumns({"_first": F.min(place).over(run), "_last": F.max(place).over(run)})
+    whole = F.col("_n") / (1 + F.col("_high") - F.col("_low")) > dense
+    inside = (F.col("_run") == F.col("_middle")) & (F.col("_first") < F.col("_last"))
+    bound = lambda a, b: F.when(F.col("_n") >= least, F.when(whole, F.col(a)).when(inside, F.col(b)))
+    return each.select(*keys, place, bound("_low", "_first").alias("first"), bound("_high", "_last").alias("last"))

@@ -272,10 +272,10 @@ def strata_cube(spark, sf_dir):
     SELECT n_name AS term, n_nationkey AS ext_id, round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice), 6) AS mean, count(DISTINCT c_custkey) AS genes, round(sum(o_totalprice) / (SELECT count(*) FROM customer), 6) AS normalized
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, n_nationkey""")
 def term_summary(spark, sf_dir):
-    from residuum.plans.reports import terms
+    from residuum.plans.reports import sorted_terms, terms
 
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("gene"), "c_nationkey")
     own = customers.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("gene", F.col("n_name").alias("term"), F.col("n_nationkey").alias("ext_id"))
     scored = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("gene"), F.col("o_totalprice").alias("score"))
-    found = terms(scored, own, customers.select(F.count("*").alias("size")))
+    found = sorted_terms(terms(scored, own, customers.select(F.count("*").alias("size"))))
     return found.select("term", "ext_id", F.round("total", 2).alias("total"), F.round("mean", 6).alias("mean"), "genes", F.round("normalized", 6).alias("normalized"))

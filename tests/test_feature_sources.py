@@ -59,3 +59,26 @@ def test_recommendations(spark):
     rows = spark.createDataFrame([("1abc:A;0.9;1.0;2.1",), ("AF-X;1;1;-",), ("1abc;2",), ("-",), (None,)], "r string")
     found = [tuple(r) for r in rows.select(*reports.recommended_parts("r")).collect()]
     assert found == [("1abc:A", "0.9", "1.0", "2.1", False), ("AF-X", "1", "1", "-", True), *[("-",) * 4 + (False,)] * 3]
+
+
+def test_checksums_and_codecs(spark):
+    import zlib
+
+    from residuum.functions import sequences
+
+    texts = ["", "a", "Wikipedia", "é\U0001f600" * 5000, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(sequences.adler32("t")).collect()] == [None if t is None else zlib.adler32(t.encode()) for t in texts]
+    pairs = spark.createDataFrame([("AB,C",), ("",), (None,)], "t string").select(sequences.homomers("t").alias("p")).select("p", sequences.homomer_text("p").alias("t")).collect()
+    assert [(x["chain"], x["chains"]) for x in pairs[0]["p"]] == [("A", ["A", "B"]), ("B", ["A", "B"]), ("C", ["C"])] and [r["t"] for r in pairs] == ["AB,C", "", None]
+
+
+def test_bins_around_the_median(spark):
+    from residuum.operators import windows
+
+    rows = [("few", i) for i in range(9)] + [("dense", i) for i in (1, 2, 3, 5, 6, 7, 8, 9, 10, 11)] + [("far", v) for v in (0, 1000, 5000, 5001, 5002, 5003, 5004, 5100, 9000, 20000)] + [("far", 5002)]
+    found = {}
+    for r in windows.median_bins(spark.createDataFrame(rows, "g string, v int"), ["g"], "v").collect():
+        found.setdefault((r["g"], r["first"], r["last"]), set()).add(r["v"])
+    assert found["few", None, None] == set(range(9)) and len(found["dense", 1, 11]) == 10
+    assert found["far", 5000, 5004] == {5000, 5001, 5002, 5003, 5004} and found["far", None, None] == {0, 1000, 5100, 9000, 20000}
