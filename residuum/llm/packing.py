@@ -41,7 +41,7 @@ class Encoder:
     ODD = ("\x85", "<|")
     PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 250_000):
         import regex
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -126,6 +126,7 @@ def pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
                 if with_ids:
                     columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in own], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        encoder.old = {}  # a worker that goes on to other work keeps less
 
     fields = [T.StructField("id", texts.schema[0].dataType), T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))]
     if with_ids:
