@@ -10,11 +10,14 @@ from pyspark.sql.window import Window
 def equal_sequences(transcripts: DataFrame, isoforms: DataFrame) -> DataFrame:
     """(transcript, isoform): for each transcript (transcript, stem, sequence) the first isoform (isoform, stem, sequence) of its stem with the same letters.
 
-    Sequences meet by their digest and are compared then; the least isoform is the first.
+    The least isoform of each stem and sequence is the first; it is found before the join, so
+    a transcript meets one row, however many isoforms are equal. Sequences meet by their
+    digest and are compared then.
     """
     digest = F.sha2("sequence", 256)
     left = transcripts.select("transcript", "stem", F.col("sequence").alias("_s"), digest.alias("_d"))
-    right = isoforms.select("isoform", "stem", F.col("sequence").alias("_t"), digest.alias("_d"))
+    first = isoforms.groupBy("stem", "sequence").agg(F.min("isoform").alias("isoform"))
+    right = first.select("isoform", "stem", F.col("sequence").alias("_t"), digest.alias("_d"))
     met = left.join(right, ["stem", "_d"]).where(F.col("_s") == F.col("_t"))
     return met.groupBy("transcript").agg(F.min("isoform").alias("isoform"))
 
