@@ -89,6 +89,18 @@ def aligner(matrix: dict[tuple[str, str], float], letters: str, *, other: float
     return align
 
 
+def align_distinct(rows: DataFrame, align: Callable, a: str = "a", b: str = "b") -> DataFrame:
+    """``rows`` with (target, template), the alignment of their columns a and b; equal pairs are aligned once.
+
+    A large table of few different pairs takes as long as these. The pairs are dealt out by
+    their letters, so that a small file of many pairs is not one task.
+    """
+    pairs = rows.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
+    pairs = pairs.repartition("_a", "_b").select("_a", "_b", align("_a", "_b").alias("_x"))
+    met = rows.join(pairs, rows[a].eqNullSafe(pairs["_a"]) & rows[b].eqNullSafe(pairs["_b"]))
+    return met.select(*(rows[c] for c in rows.columns), "_x.target", "_x.template")
+
+
 def variants(alignments: DataFrame, keys: list[str], target: str = "target", template: str = "template") -> DataFrame:
     """(keys, change) for each run of differing columns of aligned pairs, places along the target.
 

@@ -114,7 +114,7 @@ def global_alignment(spark, sf_dir):
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     align = alignment.aligner({(x, x): 4.0 for x in letters}, letters)
     rows = parts(spark, sf_dir).select("p_partkey", F.upper("p_type").alias("a"), F.upper("p_name").alias("b"))
-    found = rows.select("p_partkey", align("a", "b").alias("x")).select("p_partkey", "x.*")
+    found = alignment.align_distinct(rows, align).select("p_partkey", "target", "template")
     return found.withColumn("q", sequences.identity_and_coverage("target", "template", F.length("target"))).select("p_partkey", "target", "template", "q.identity")
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from residuum.operators import identifiers
+from residuum.operators import alignment, identifiers
 
 
 def test_equal_sequences_of_one_large_group(spark):
@@ -10,3 +10,19 @@ def test_equal_sequences_of_one_large_group(spark):
     rows = spark.range(40_000).select(F.col("id").alias("transcript"), F.lit(1).alias("stem"), F.lit("AC").alias("sequence"))
     found = identifiers.equal_sequences(rows, rows.where("transcript % 2 = 1").withColumnRenamed("transcript", "isoform"))
     assert found.agg(F.count("*"), F.min("isoform"), F.max("isoform")).first() == (40_000, 1, 1)
+
+
+def test_pairs_are_aligned_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("target string, template string")
+    def align(a, b):
+        import pandas as pd
+
+        calls.add(len(a))
+        return pd.DataFrame({"target": a, "template": b})
+
+    rows = spark.createDataFrame([(i, "AC" if i % 2 else None, "AD") for i in range(50)], "k int, a string, b string")
+    found = {tuple(r) for r in alignment.align_distinct(rows, align).select("k", "target", "template").collect()}
+    assert found == {(i, "AC" if i % 2 else None, "AD") for i in range(50)}
+    assert calls.value == 2
