@@ -201,18 +201,43 @@ def fused_genes(names: DataFrame, isoforms: DataFrame) -> tuple[DataFrame, DataF
     ids of a fused gene being joined by ``|``, and (fused, isoform_a, isoform_b) for isoforms
     of different genes that have become one, in both directions.
     """
-    known = names.where("gene IS NOT NULL AND name IS NOT NULL")
-    first = known.groupBy("name").agg(F.min("gene").alias("a"))
-    label = components(known.join(first, "name").select("a", F.col("gene").alias("b")))
-    genes = names.select("gene").unionByName(isoforms.select("gene")).where("gene IS NOT NULL").distinct()
-    rows = cut(genes.join(label, genes["gene"] == label["id"], "left").select("gene", F.coalesce("label", "gene").alias("fused")))
-    ids = rows.groupBy("fused").agg(F.array_join(F.transform(F.array_sort(F.collect_list("gene")), lambda g: g.cast("string")), "|").alias("fused_id"), F.count("*").alias("n"))
+    rows = gene_labels(names, isoforms)
+    ids = fused_ids(rows)
     several = rows.join(ids.where("n > 1"), "fused").join(isoforms.distinct(), "gene").select("fused", "gene", "isoform")
     other = several.select("fused", F.col("gene").alias("gene_b"), F.col("isoform").alias("isoform_b"))
     pairs = several.join(other, "fused").where("gene <> gene_b AND isoform <> isoform_b").select("fused", F.col("isoform").alias("isoform_a"), "isoform_b").distinct()
     return rows.join(ids, "fused").select("gene", "fused", "fused_id"), pairs
 
 
+def gene_labels(names: DataFrame, isoforms: DataFrame) -> DataFrame:
+    """(gene, fused): each gene with the least gene that common names lead to."""
+    known = names.where("gene IS NOT NULL AND name IS NOT NULL")
+    first = known.groupBy("name").agg(F.min("gene").alias("a"))
+    label = components(known.join(first, "name").select("a", F.col("gene").alias("b")))
+    genes = names.select("gene").unionByName(isoforms.select("gene")).where("gene IS NOT NULL").distinct()
+    return cut(genes.join(label, genes["gene"] == label["id"], "left").select("gene", F.coalesce("label", "gene").alias("fused")))
+
+
+def fused_ids(rows: DataFrame) -> DataFrame:
+    """(fused, fused_id, n) of labelled genes (gene, fused): their ids joined by ``|``, and how many they are."""
+    return rows.groupBy("fused").agg(F.array_join(F.transform(F.array_sort(F.collect_list("gene")), lambda g: g.cast("string")), "|").alias("fused_id"), F.count("*").alias("n"))
+
+
+def isoform_partners(rows: DataFrame, isoforms: DataFrame) -> DataFrame:
+    """(fused, isoform, n_partners): with how many isoforms each isoform is in a pair of ``fused_genes``.
+
+    Two isoforms of a fused gene are no pair only if both belong to the same gene and to no
+    other one. So the pairs, which grow with the square of a fused gene, need not be made:
+    an isoform has all others but those that its only gene has alone. ``rows``: (gene, fused).
+    """
+    own = isoforms.where("isoform IS NOT NULL").select("gene", "isoform").distinct().join(rows, "gene")
+    each = own.groupBy("fused", "isoform").agg(F.when(F.count("*") == 1, F.min("gene")).alias("only"))
+    whole = each.groupBy("fused").agg(F.count("*").alias("_n"))
+    alone = each.where("only IS NOT NULL").groupBy("fused", "only").agg(F.count("*").alias("_s"))
+    met = each.join(whole, "fused").join(alone, ["fused", "only"], "left")
+    return met.select("fused", "isoform", (F.col("_n") - F.coalesce("_s", F.lit(1))).alias("n_partners"))
+
+
 # changes
 
 

@@ -1,8 +1,10 @@
 """What must not grow with the square of a group: results on groups in which all rows are alike, and parts by definition."""
 
+from itertools import permutations
+
 from pyspark.sql import functions as F
 
-from residuum.operators import alignment, identifiers
+from residuum.operators import alignment, fusion, identifiers
 
 
 def test_equal_sequences_of_one_large_group(spark):
@@ -26,3 +28,15 @@ def test_pairs_are_aligned_once(spark):
     found = {tuple(r) for r in alignment.align_distinct(rows, align).select("k", "target", "template").collect()}
     assert found == {(i, "AC" if i % 2 else None, "AD") for i in range(50)}
     assert calls.value == 2
+
+
+def test_partners_of_isoforms_by_definition(spark):
+    genes = [(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 5)]
+    own = [(1, 10), (1, 11), (2, 11), (2, 12), (2, 13), (3, 14), (3, 10), (4, 20), (4, 21), (5, 30), (6, 30), (6, 30)]
+    expected = {}
+    for (g, x), (h, y) in permutations(set(own), 2):
+        label = dict(genes)
+        if label[g] == label[h] and g != h and x != y:
+            expected.setdefault((label[g], x), set()).add(y)
+    found = fusion.isoform_partners(spark.createDataFrame(genes, "gene int, fused int"), spark.createDataFrame(own, "gene int, isoform int"))
+    assert {(r["fused"], r["isoform"]): r["n_partners"] for r in found.where("n_partners > 0").collect()} == {k: len(v) for k, v in expected.items()}
