@@ -4,7 +4,7 @@ from itertools import permutations
 
 from pyspark.sql import functions as F
 
-from residuum.operators import alignment, fusion, identifiers
+from residuum.operators import alignment, fusion, identifiers, joins
 
 
 def test_equal_sequences_of_one_large_group(spark):
@@ -40,3 +40,26 @@ def test_partners_of_isoforms_by_definition(spark):
             expected.setdefault((label[g], x), set()).add(y)
     found = fusion.isoform_partners(spark.createDataFrame(genes, "gene int, fused int"), spark.createDataFrame(own, "gene int, isoform int"))
     assert {(r["fused"], r["isoform"]): r["n_partners"] for r in found.where("n_partners > 0").collect()} == {k: len(v) for k, v in expected.items()}
+
+
+def clustered():
+    """Points of two dense heaps, some copies and ties among them, and some far off."""
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, round(rng.gauss(0, 0.02), 3), round(rng.gauss(0, 0.02), 3), 0.0) for i in range(150)] + [(200 + i, rng.uniform(-1, 1), rng.uniform(-1, 1), 0.1) for i in range(40)]
+    return rows + [(300 + i, 0.5, 0.5, 0.0) for i in range(12)] + [(400, None, 0.1, 0.1)]
+
+
+def gap(p, q):
+    return sum((a - b) ** 2 for a, b in zip(p[1:], q[1:])) ** 0.5
+
+
+def test_nearest_in_rounds_is_exact(spark):
+    rows = [r for r in clustered() if r[1] is not None]
+    expected = set()
+    for p in rows:
+        near = sorted((gap(p, q), q[0]) for q in rows if q[0] != p[0] and gap(p, q) <= 0.3)[:4]
+        expected |= {(p[0], k, i + 1) for i, (_, k) in enumerate(near)}
+    found = joins.nearest_within(spark.createDataFrame(clustered(), "k long, x double, y double, z double"), "k", ["x", "y", "z"], 0.3, 4)
+    assert {(r["k"], r["k_b"], r["place"]) for r in found.collect()} == expected
