@@ -4,7 +4,7 @@ from itertools import permutations
 
 from pyspark.sql import functions as F
 
-from residuum.operators import alignment, fusion, identifiers, joins
+from residuum.operators import alignment, distances, fusion, identifiers, joins
 
 
 def test_equal_sequences_of_one_large_group(spark):
@@ -63,3 +63,16 @@ def test_nearest_in_rounds_is_exact(spark):
         expected |= {(p[0], k, i + 1) for i, (_, k) in enumerate(near)}
     found = joins.nearest_within(spark.createDataFrame(clustered(), "k long, x double, y double, z double"), "k", ["x", "y", "z"], 0.3, 4)
     assert {(r["k"], r["k_b"], r["place"]) for r in found.collect()} == expected
+
+
+def test_neighbour_stats_by_definition(spark):
+    import statistics
+
+    rows = [r for r in clustered() if r[1] is not None]
+    expected = {}
+    for p in rows:
+        near = [(gap(p, q), q[1]) for q in rows if 0 < gap(p, q) <= 0.05]
+        if near:
+            expected[p[0]] = (len(near), round(statistics.median(v for _, v in near), 9), round(sum(v / d for d, v in near) / sum(1 / d for d, _ in near), 9))
+    found = distances.neighbour_stats(spark.createDataFrame(clustered(), "k long, x double, y double, z double"), "k", ["x", "y", "z"], "x", 0.05, block=20)
+    assert {r["k"]: (r["n"], round(r["median"], 9), round(r["weighted"], 9)) for r in found.collect()} == expected
