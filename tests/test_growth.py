@@ -4,7 +4,7 @@ from itertools import permutations
 
 from pyspark.sql import functions as F
 
-from residuum.operators import alignment, distances, fusion, identifiers, joins
+from residuum.operators import alignment, conservation, distances, fusion, identifiers, joins
 
 
 def test_equal_sequences_of_one_large_group(spark):
@@ -76,3 +76,30 @@ def test_neighbour_stats_by_definition(spark):
             expected[p[0]] = (len(near), round(statistics.median(v for _, v in near), 9), round(sum(v / d for d, v in near) / sum(1 / d for d, _ in near), 9))
     found = distances.neighbour_stats(spark.createDataFrame(clustered(), "k long, x double, y double, z double"), "k", ["x", "y", "z"], "x", 0.05, block=20)
     assert {r["k"]: (r["n"], round(r["median"], 9), round(r["weighted"], 9)) for r in found.collect()} == expected
+
+
+def broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+
+def letters_of(spark, tmp_path):
+    """Aligned sequences in a file so small that Spark would broadcast whatever is made of it."""
+    rows = [("g", i, ["AAR-", "ARR-", "A-RA"][i % 3]) for i in range(6)] + [("h", 9, "AR-A")]
+    spark.createDataFrame(rows, "k string, member int, aligned string").write.parquet(f"{tmp_path}/a")
+    matrix = spark.createDataFrame([("A", [4.0, -1.0, -4.0]), ("R", [-1.0, 5.0, -4.0]), ("-", [-4.0, -4.0, 1.0])], "symbol string, row array<double>")
+    return spark.read.parquet(f"{tmp_path}/a"), matrix
+
+
+def test_letters_are_not_broadcast(spark, tmp_path):
+    aligned, matrix = letters_of(spark, tmp_path)
+    scores = conservation.conservation(aligned, matrix, ["k"], symbols="AR-")
+    assert broadcasts(scores) == 1  # the matrix
+    found = {(r["k"], r["place"]): r for r in scores.collect()}
+    # by definition: in column 2 each of three symbols is that of two members of six
+    assert found["g", 2]["n"] == 6 and abs(found["g", 2]["g"] - 1 / 3) < 1e-12
+    # every sequence of g weighs 1/6 in columns of one symbol and of three; 1/(2 * 4) or 1/(2 * 2) in the last
+    w = [(1 / 6 + 1 / 6 + 1 / 6 + x) / 4 for x in (1 / 8, 1 / 8, 1 / 4)]
+    from math import log2
+
+    h = -sum(2 * x * log2(2 * x) for x in w)
+    assert abs(found["g", 2]["t"] - h / log2(3)) < 1e-12
