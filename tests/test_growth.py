@@ -103,3 +103,13 @@ def test_letters_are_not_broadcast(spark, tmp_path):
 
     h = -sum(2 * x * log2(2 * x) for x in w)
     assert abs(found["g", 2]["t"] - h / log2(3)) < 1e-12
+
+
+def test_scores_of_letters_in_place(spark, tmp_path):
+    aligned, _ = letters_of(spark, tmp_path)
+    scores = spark.createDataFrame([("g", 1, 0.1), ("g", 3, 0.3), ("g", 4, None), ("h", 2, 0.2)], "k string, place int, score double")
+    found = conservation.of_sequence(scores, aligned, ["k"])
+    assert broadcasts(found) == 0
+    own = {"AAR-": [(1, 0.1), (3, 0.3)], "ARR-": [(1, 0.1), (3, 0.3)], "A-RA": [(1, 0.1), (2, 0.3), (3, None)]}
+    expected = {("g", i, p, s) for i in range(6) for p, s in own[["AAR-", "ARR-", "A-RA"][i % 3]]} | {("h", 9, 2, 0.2)}
+    assert {tuple(r) for r in found.collect()} == expected
