@@ -290,19 +290,28 @@ def isoform_columns(majors: DataFrame, isoforms: DataFrame, insertions: DataFram
     row of the major sequence has a null isoform. Where an isoform's letters end too early,
     gaps follow.
     """
-    places = majors.select("gene", F.explode(F.sequence(F.lit(0), F.length("sequence"))).alias("position"), "sequence").select("gene", "position", F.when(F.col("position") > 0, F.substring("sequence", F.col("position"), F.lit(1))).otherwise("").alias("letter"))
-    longest = insertions.groupBy("gene", "position").agg(F.max("length").alias("gap"))
-    columns = places.join(longest, ["gene", "position"], "left").withColumn("gap", F.coalesce("gap", F.lit(0)))
-    own_in = insertions.groupBy("gene", "isoform", "position").agg(F.max("length").alias("length"))
-    gone = deletions.distinct().withColumn("gone", F.lit(True))
-    rows = isoforms.select("gene", "isoform", F.col("sequence").alias("own")).join(columns, "gene").join(own_in, ["gene", "isoform", "position"], "left").join(gone, ["gene", "isoform", "position"], "left")
-    kept = ((F.col("position") > 0) & F.col("gone").isNull()).cast("int")
-    taken = kept + F.coalesce("length", F.lit(0))
-    before = F.coalesce(F.sum("_taken").over(Window.partitionBy("gene", "isoform").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("_kept", kept).withColumn("_taken", taken).withColumn("_at", before.cast("int"))
-    letter = F.when(F.col("position") == 0, "").when(F.col("_kept") == 1, F.rpad(F.substring("own", F.col("_at") + 1, F.lit(1)), 1, "-")).otherwise("-")
-    put_in = F.rpad(F.substring("own", F.col("_at") + 1 + F.col("_kept"), F.coalesce("length", F.lit(0))), F.col("gap"), "-")
-    each = rows.select("gene", "isoform", "position", F.concat(letter, put_in).alias("part"))
-    major = columns.select("gene", F.lit(None).cast(isoforms.schema["isoform"].dataType).alias("isoform"), "position", F.concat("letter", F.rpad(F.lit(""), F.col("gap"), "-")).alias("part"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "part"))), lambda x: x["part"]), "")
-    return each.unionByName(major).groupBy("gene", "isoform").agg(joined.alias("aligned"))
+    longest = insertions.where("gene IS NOT NULL AND position >= 0").groupBy("gene", "position").agg(F.max("length").alias("gap"))
+    gaps = longest.groupBy("gene").agg(F.map_from_entries(F.collect_list(F.struct("position", "gap"))).alias("gaps"))
+    columns = majors.select("gene", "sequence").where("sequence IS NOT NULL").join(gaps, "gene", "left")
+    columns = columns.withColumn("columns", F.transform(F.sequence(F.lit(0), F.length("sequence")), lambda p: F.struct(F.when(p > 0, F.substring("sequence", p, F.lit(1))).otherwise("").alias("letter"), F.coalesce(F.try_element_at("gaps", p), F.lit(0)).alias("gap")))).select("gene", "columns")
+    # all that is known of an isoform is put together before it meets its gene: one row each
+    none = F.lit(None)
+    own = isoforms.select("gene", "isoform", F.col("sequence").alias("own"), none.cast("struct<position:int,length:int>").alias("put_in"), none.cast("int").alias("gone"))
+    put = insertions.select("gene", "isoform", none.cast("string").alias("own"), F.struct(F.col("position").cast("int").alias("position"), F.col("length").cast("int").alias("length")).alias("put_in"), none.cast("int").alias("gone"))
+    lost = deletions.select("gene", "isoform", none.cast("string").alias("own"), none.cast("struct<position:int,length:int>").alias("put_in"), F.col("position").cast("int").alias("gone"))
+    known = own.unionByName(put).unionByName(lost).groupBy("gene", "isoform").agg(F.max("own").alias("own"), F.collect_set("put_in").alias("put_in"), F.collect_set("gone").alias("gone")).where("own IS NOT NULL")
+    rows = known.join(columns, "gene")
+    length = lambda p: F.coalesce(F.array_max(F.transform(F.filter("put_in", lambda x: x["position"] == p), lambda x: x["length"])), F.lit(0))
+
+    def after(state, column):
+        p = state["place"]
+        kept = ((p > 0) & ~F.array_contains("gone", p)).cast("int")
+        n = length(p)
+        letter = F.when(p == 0, "").when(kept == 1, F.rpad(F.substring("own", state["at"] + 1, F.lit(1)), 1, "-")).otherwise("-")
+        put_in = F.rpad(F.substring("own", state["at"] + 1 + kept, n), column["gap"], "-")
+        return F.struct((p + 1).alias("place"), (state["at"] + kept + n).alias("at"), F.concat(state["text"], letter, put_in).alias("text"))
+
+    start = F.struct(F.lit(0).alias("place"), F.lit(0).alias("at"), F.lit("").alias("text"))
+    aligned = rows.select("gene", "isoform", F.aggregate("columns", start, after, lambda s: s["text"]).alias("aligned"))
+    major = F.array_join(F.transform("columns", lambda x: F.concat(x["letter"], F.rpad(F.lit(""), x["gap"], "-"))), "")
+    return aligned.unionByName(columns.select("gene", F.lit(None).cast(isoforms.schema["isoform"].dataType).alias("isoform"), major.alias("aligned")))

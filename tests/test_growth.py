@@ -113,3 +113,14 @@ def test_scores_of_letters_in_place(spark, tmp_path):
     own = {"AAR-": [(1, 0.1), (3, 0.3)], "ARR-": [(1, 0.1), (3, 0.3)], "A-RA": [(1, 0.1), (2, 0.3), (3, None)]}
     expected = {("g", i, p, s) for i in range(6) for p, s in own[["AAR-", "ARR-", "A-RA"][i % 3]]} | {("h", 9, 2, 0.2)}
     assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_isoforms_in_columns_without_rows_for_places(spark):
+    majors = spark.createDataFrame([("g", "ABC")], "gene string, sequence string")
+    isoforms = spark.createDataFrame([("g", 1, "ABC"), ("g", 2, "AXXC"), ("g", 3, "YAB")], "gene string, isoform int, sequence string")
+    insertions = spark.createDataFrame([("g", 2, 1, 2), ("g", 3, 0, 1), ("g", 3, 3, 1)], "gene string, isoform int, position int, length int")
+    deletions = spark.createDataFrame([("g", 2, 2), ("g", 3, 3)], "gene string, isoform int, position int")
+    found = fusion.isoform_columns(majors, isoforms, insertions, deletions)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    # columns: one before A, A, two after A, B, C, one after C; letters of isoform 3 end before its last insertion
+    assert {r["isoform"]: r["aligned"] for r in found.collect()} == {None: "-A--BC-", 1: "-A--BC-", 2: "-AXX-C-", 3: "YA--B--"}
