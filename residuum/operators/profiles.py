@@ -113,14 +113,24 @@ def best_pairs(pairs: DataFrame, keys: list[str], score: str = "score") -> DataF
     return pairs.groupBy(*keys).agg(F.min(F.struct((-F.col(score)).alias("_s"), *rest)).alias("_x")).select(*keys, (-F.col("_x._s")).alias(score), *(f"_x.{c}" for c in rest))
 
 
+#: Parts into which a position's structures are dealt out.
+PARTS = 16
+
+
 def overlapping(covered: DataFrame, known: DataFrame, *, least: float = 0.5) -> DataFrame:
     """(protein, number, structure, chain, chain_b, overlap): known interfaces with which a structure's
-    interface is fused, given positions of both as rows: over half of either's are common."""
+    interface is fused, given positions of both as rows: over half of either's are common.
+
+    Positions that many structures cover are dealt out by structure in ``PARTS``, and known
+    ones, which are far fewer, are there in each part, so that no task gets all of a position.
+    """
     own = covered.select("protein", "structure", "chain", "chain_b", "position").distinct()
     other = known.select("protein", "number", "position").distinct()
     size = own.groupBy("protein", "structure", "chain", "chain_b").agg(F.count("*").alias("_n"))
     sizes = other.groupBy("protein", "number").agg(F.count("*").alias("_m"))
-    met = own.join(other, ["protein", "position"]).groupBy("protein", "structure", "chain", "chain_b", "number").agg(F.count("*").alias("overlap"))
+    part = F.pmod(F.xxhash64("structure", "chain", "chain_b"), F.lit(PARTS))
+    every = other.withColumn("_part", F.explode(F.array(*(F.lit(i).cast("long") for i in range(PARTS)))))
+    met = own.withColumn("_part", part).join(every, ["protein", "position", "_part"]).groupBy("protein", "structure", "chain", "chain_b", "number").agg(F.count("*").alias("overlap"))
     both = met.join(size, ["protein", "structure", "chain", "chain_b"]).join(sizes, ["protein", "number"])
     return both.where((F.col("overlap") > least * F.col("_n")) | (F.col("overlap") > least * F.col("_m"))).drop("_n", "_m")
 

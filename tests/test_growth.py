@@ -4,7 +4,7 @@ from itertools import permutations
 
 from pyspark.sql import functions as F
 
-from residuum.operators import alignment, conservation, distances, fusion, identifiers, joins
+from residuum.operators import alignment, conservation, distances, fusion, identifiers, joins, profiles
 
 
 def test_equal_sequences_of_one_large_group(spark):
@@ -124,3 +124,13 @@ def test_isoforms_in_columns_without_rows_for_places(spark):
     assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
     # columns: one before A, A, two after A, B, C, one after C; letters of isoform 3 end before its last insertion
     assert {r["isoform"]: r["aligned"] for r in found.collect()} == {None: "-A--BC-", 1: "-A--BC-", 2: "-AXX-C-", 3: "YA--B--"}
+
+
+def test_a_common_position_is_dealt_out(spark):
+    """All structures cover the same two positions."""
+    covered = spark.range(300).select(F.lit("p").alias("protein"), F.col("id").alias("structure"), F.lit("A").alias("chain"), F.lit("B").alias("chain_b"), F.explode(F.array(F.lit(1), F.lit(2))).alias("position"))
+    known = spark.createDataFrame([("p", 7, 1), ("p", 8, 3)], "protein string, number int, position int")
+    found = profiles.overlapping(covered.where("structure % 2 = 0 OR position = 1"), known.unionByName(known.withColumn("position", F.lit(2))))
+    assert "_part" in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.collect()
+    assert {(r["structure"], r["number"], r["overlap"]) for r in rows} == {(s, 7, 2 - s % 2) for s in range(300) if s % 2 == 0} | {(s, 7, 1) for s in range(1, 300, 2)} | {(s, 8, 1) for s in range(0, 300, 2) if 1 > 0.5 * 2}
