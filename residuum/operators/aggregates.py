@@ -20,6 +20,17 @@ def weight_of(quality: Column | str, coverage: Column | str | None = None, power
     return col(quality) if not power or coverage is None else col(quality) * col(coverage) ** power
 
 
+def exact_sum(value: Column | str) -> Column:
+    """Sum as a double that is the same in any order of the rows, so that equal sums are ties.
+
+    It is taken over decimals of 18 places. Where a value or the sum is too large for them, or
+    no number, it is the plain sum.
+    """
+    value = col(value)
+    exact = value.try_cast("decimal(38,18)")
+    return F.coalesce(F.when(F.count(exact) == F.count(value), F.try_sum(exact).cast("double")), F.sum(value).cast("double"))
+
+
 def weighted_mean(value: Column | str, weight: Column | str, *, most: float | None = None) -> Column:
     """Mean by weight of the values that are not null (nor above ``most``); null without weight."""
     value, weight = col(value), col(weight)

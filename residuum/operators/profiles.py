@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from residuum.operators.aggregates import exact_sum
+
 # Partner types in the order of precedence, bonds that make a class, sequence gaps.
 CLASS_PARTNERS = ("ligand", "ion", "metal", "Protein", "DNA", "RNA", "Peptide")
 CLASS_BONDS = ("cnt", "hbond")
@@ -24,7 +26,7 @@ def partner_type(*, ligand: Column, metal: Column, ion: Column, same_chain: Colu
 
 def edge_profile(edges: DataFrame, keys: list[str], side: str = "side", bond: str = "bond", partner: str = "partner", score: str = "score") -> DataFrame:
     """Degree and score of every cell (side, bond, partner) of a residue; summary edges left out."""
-    return edges.where((F.col(bond) != "combi") & F.col(partner).isNotNull()).groupBy(*keys, side, bond, partner).agg(F.count("*").alias("degree"), F.sum(score).alias("score"))
+    return edges.where((F.col(bond) != "combi") & F.col(partner).isNotNull()).groupBy(*keys, side, bond, partner).agg(F.count("*").alias("degree"), exact_sum(score).alias("score"))
 
 
 def summary_profile(edges: DataFrame, keys: list[str], partner: str = "partner", score: str = "score") -> DataFrame:

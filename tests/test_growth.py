@@ -4,7 +4,7 @@ from itertools import permutations
 
 from pyspark.sql import functions as F
 
-from residuum.operators import alignment, conservation, distances, fusion, identifiers, joins, profiles
+from residuum.operators import aggregates, alignment, conservation, distances, fusion, identifiers, joins, profiles
 
 
 def test_equal_sequences_of_one_large_group(spark):
@@ -134,3 +134,15 @@ def test_a_common_position_is_dealt_out(spark):
     assert "_part" in found._jdf.queryExecution().executedPlan().toString()
     rows = found.collect()
     assert {(r["structure"], r["number"], r["overlap"]) for r in rows} == {(s, 7, 2 - s % 2) for s in range(300) if s % 2 == 0} | {(s, 7, 1) for s in range(1, 300, 2)} | {(s, 8, 1) for s in range(0, 300, 2) if 1 > 0.5 * 2}
+
+
+def test_equal_scores_of_cells_are_ties(spark):
+    """Two bonds of equal scores in another order of rows: the contact comes first."""
+    values = {"hbond": (0.3, 0.2, 0.1), "cnt": (0.1, 0.2, 0.3)}
+    for flip in (1, -1):
+        rows = [(1, "mc", bond, "ligand", v) for bond, vs in values.items() for v in vs[::flip]]
+        edges = spark.createDataFrame(rows, "k int, side string, bond string, partner string, score double").coalesce(1)
+        found = profiles.interaction_class(profiles.edge_profile(edges, ["k"]), ["k"]).first()
+        assert found["interaction_class"] == "mc cnt ligand"
+    large = spark.createDataFrame([(1e30,), (2e30,)], "v double")
+    assert large.agg(aggregates.exact_sum("v")).first()[0] == 1e30 + 2e30
