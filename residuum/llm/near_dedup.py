@@ -267,6 +267,20 @@ def _across(members: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     return met(small, small, once & untried).unionByName(met(few, few, once)).unionByName(met(many, leaders, either)).distinct()
 
 
+def _rest(members: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different labels, and of sizes that can be alike, in the buckets of ``members`` (key, id, n, label).
+
+    What leaders and second keys have joined has one label by now, so that a bucket of copies
+    and their variations brings none; one of many different texts brings all of their pairs.
+    """
+    still = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("key")
+    open_members = cut(members.join(still, "key").select("key", "id", "n", "label"))
+    other = open_members.select(F.col("key").alias("o_key"), F.col("id").alias("o_id"), F.col("n").alias("o_n"), F.col("label").alias("o_label"))
+    near = F.abs(F.col("n") - F.col("o_n")) <= F.greatest("n", "o_n") * (1 - similarity) + 1e-6
+    met = open_members.join(other, (F.col("key") == F.col("o_key")) & (F.col("label") < F.col("o_label")) & near)
+    return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
+
+
 def _joined(label: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """(id, label): the labels after those of alike pairs have become one, the least."""
     of = lambda c: label.select(F.col("id").alias(c), F.col("label").alias(f"l_{c}"))
@@ -302,7 +316,11 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     stars = cut(_candidates(stars, reps, similarity))
     label = cut(_joined(involved.select("id", F.col("id").alias("label")), stars, texts, similarity))
     pairs = _across(members.select("key", "id", "n").join(label, "id"), reps, similarity).join(stars, ["a", "b"], "left_anti")
-    label = _joined(label, cut(_candidates(pairs, reps, similarity)), texts, similarity)
+    tried = cut(_candidates(pairs, reps, similarity))
+    label = cut(_joined(label, tried, texts, similarity))
+    # the above spares most pairs; what it has left out is looked at whole
+    rest = _rest(members.select("key", "id", "n").join(label, "id"), similarity).join(stars.unionByName(tried), ["a", "b"], "left_anti")
+    label = _joined(label, cut(_candidates(rest, reps, similarity)), texts, similarity)
 
     of_rep = copies.join(label, F.col("rep") == F.col("id"), "left").select("sha", F.coalesce("label", "rep").alias("label"))
     return one.join(of_rep, "sha", "left").select("id", F.coalesce("label", "id").alias("class_id"))
