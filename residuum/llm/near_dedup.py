@@ -10,14 +10,13 @@ have a word in common, and each such word is a bucket.
 
 Copies (equal words) are one representative from the start. Each member of a bucket is then
 aligned with its leader, the one of least id, so a group of thousands of near copies costs no
-pair for each two of them; linked texts become classes. Buckets that hold more than one class
-even so are gone through once more. A class is already one there, so up to ``LEADERS`` of its
-members, others in each bucket, stand for it: in a bucket of up to ``SMALL`` of these every two
-of different classes meet; a larger one is split by a second key that its members must share as well, the
-next ``NEXT`` sketches or, exactly, the following words of the prefix. A part that is still
-larger has its members meet ``LEADERS`` leaders of its own. Counts of words are compared
-before any text is fetched. The number of jobs does not depend on the table but for the
-rounds in which classes are joined, the logarithm of their longest path.
+pair for each two of them; linked texts become classes. In buckets that hold more than one class
+even so, up to ``LEADERS`` members of each, others in each bucket, meet those of the other
+classes, and up to ``SMALL`` pairs of each two classes are aligned. At last all pairs of
+different classes that are left in a bucket are looked at, without a cap. Counts of words and
+their parities are compared within the join, so that a pair becomes a row only if they allow
+that it is alike; texts are fetched for these alone. The number of jobs does not depend on the
+table but for the rounds in which classes are joined, the logarithm of their longest path.
 """
 
 from __future__ import annotations
@@ -40,10 +39,14 @@ WORDS, SKETCHES, SEVERAL, SIMILARITY = 3, 40, 2, 0.8
 SHORT = 50
 #: Least number of words with which different texts can be alike, given the similarity.
 LEAST = 5
-#: Members of a bucket in which all classes meet, further sketches that split a larger one, leaders of its parts.
-SMALL, NEXT, LEADERS = 64, 8, 4
-#: Buckets of the word counts that bound an edit distance.
-BAG = 128
+#: Members of a class that stand for it in a bucket before the rest are looked at.
+LEADERS = 4
+#: Pairs of two classes that are aligned before the rest are.
+SMALL = 4
+#: Buckets of the word counts that bound an edit distance, and of those whose parities do.
+BAG, ODD = 128, 256
+#: Bits of the words that a text has, for the pairs that these leave.
+SEEN = 4096
 
 
 def seeds(sketches: int) -> np.ndarray:
@@ -178,26 +181,28 @@ def alike(a: list[bytes], b: list[bytes], similarity: float = SIMILARITY) -> boo
 
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, sketches: int, several: int, words: int, most: int) -> DataFrame:
-    """(id, mark, sha, n, keys, bag, own): hash of the text, digest of its words, their number, keys
-    of the sketches, counts of hashed words, and, of a text of at most ``most`` words, the labelled words."""
+    """(id, mark, sha, n, keys, bag, odd, own): hash of the text, digest of its words, their number, keys
+    of the sketches, counts of hashed words and bits of which are odd, and, of a text of at most ``most`` words, the labelled words."""
     text = F.col(quoted(text_col)).cast("binary")
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
     def run(batches):
         hashes, rolling, multipliers = WordHashes(), Rolling(), seeds(sketches)
         for batch in batches:
-            shas, sizes, keys, bags, owns = [], [], [], [], []
+            shas, sizes, keys, bags, odds, owns = [], [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 own = words_of(text)
                 shas.append(hashlib.sha256(b" ".join(own)).digest() if own else None)
                 sizes.append(len(own))
                 values = hashes.of(own)
                 keys.append(sketch(values, rolling, multipliers, words, several).view(np.int64))
-                bags.append(np.minimum(np.bincount((values % np.uint64(BAG)).astype(np.int64), minlength=BAG), 127).astype(np.int8))
+                counts = np.bincount((values % np.uint64(ODD)).astype(np.int64), minlength=ODD)
+                odds.append(np.packbits(counts & 1).view(np.int64))
+                bags.append(np.minimum(counts.reshape(-1, BAG).sum(axis=0), 127).astype(np.int8))
                 owns.append(labelled(values).view(np.int64) if 0 < len(own) <= most else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shas, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bags, pa.list_(pa.int8())), pa.array(owns, pa.list_(pa.int64()))], ["id", "mark", "sha", "n", "keys", "bag", "own"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shas, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bags, pa.list_(pa.int8())), pa.array(odds, pa.list_(pa.int64())), pa.array(owns, pa.list_(pa.int64()))], ["id", "mark", "sha", "n", "keys", "bag", "odd", "own"])
 
-    return rows.mapInArrow(run, "id long, mark long, sha binary, n long, keys array<long>, bag array<tinyint>, own array<long>")
+    return rows.mapInArrow(run, "id long, mark long, sha binary, n long, keys array<long>, bag array<tinyint>, odd array<long>, own array<long>")
 
 
 def _own_prefixes(reps: DataFrame, similarity: float) -> DataFrame:
@@ -241,44 +246,63 @@ def _candidates(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFra
     return pairs.join(left, "a").join(right, "b").where(_possible("a_", "b_", similarity)).select("a", "b")
 
 
-def _across(members: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different labels, and of sizes that can be alike, in the buckets of ``members`` (key, id, n, label)."""
-    salt = F.pmod(F.xxhash64("id", "key"), F.lit(LEADERS)).alias("salt")
-    members = members.groupBy("key", "label", salt).agg(F.min(F.struct("id", "n")).alias("x")).select("key", "label", "x.*")
-    sizes = members.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lead"), F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("key", "m", "lead")
-    open_members = cut(members.join(sizes, "key"))
-    pair = (F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"))
-    other = lambda df: df.select(F.col("key").alias("o_key"), F.col("id").alias("o_id"), F.col("n").alias("o_n"), F.col("label").alias("o_label"))
-    near = F.abs(F.col("n") - F.col("o_n")) <= F.greatest("n", "o_n") * (1 - similarity) + 1e-6
-    met = lambda x, y, apart: x.join(other(y), (F.col("key") == F.col("o_key")) & apart & near).select(*pair)
-    once, either = F.col("label") < F.col("o_label"), F.col("label") != F.col("o_label")
-    small, large = open_members.where(F.col("m") <= SMALL), open_members.where(F.col("m") > SMALL)
-    arrays = reps.select(F.col("id").alias("_id"), "keys", "prefix")
-    place, later = F.array_position("keys", F.col("key")).cast("int"), F.array_position("prefix", F.col("key")).cast("int")
-    next_keys = F.when(place > 0, F.slice(F.concat("keys", "keys"), place + 1, F.lit(NEXT))).otherwise(F.slice("prefix", later + 1, F.size("prefix")))
-    parts = large.join(arrays, F.col("id") == F.col("_id")).select("key", "id", "n", "label", F.explode(next_keys).alias("next"))
-    parts = parts.select(F.xxhash64("key", "next").alias("key"), "id", "n", "label")
-    sizes = parts.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("key", "m")
-    parts = cut(parts.join(sizes, "key"))
-    few, many = parts.where(F.col("m") <= SMALL), parts.where(F.col("m") > SMALL)
-    salted = many.groupBy("key", F.pmod(F.xxhash64("id", "key"), F.lit(LEADERS)).alias("salt")).agg(F.min("id").alias("id"))
-    leaders = salted.join(many, ["key", "id"]).select("key", "id", "n", "label")
-    untried = (F.col("id") != F.col("lead")) & (F.col("o_id") != F.col("lead"))  # all have met their leader
-    return met(small, small, once & untried).unionByName(met(few, few, once)).unionByName(met(many, leaders, either)).distinct()
-
-
-def _rest(members: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of different labels, and of sizes that can be alike, in the buckets of ``members`` (key, id, n, label).
-
-    What leaders and second keys have joined has one label by now, so that a bucket of copies
-    and their variations brings none; one of many different texts brings all of their pairs.
+def _near(similarity: float) -> Column:
+    """Can texts of these sizes and parities of word counts (n, odd; o_n, o_odd) be alike? A changed
+    word turns two parities at most, one put in or left out a single one."""
+    apart = F.abs(F.col("n") - F.col("o_n"))
+    most = F.floor(F.greatest("n", "o_n") * (1 - similarity) + 1e-6)
+    turned = sum((F.bit_count(F.get("odd", F.lit(i)).bitwiseXOR(F.get("o_odd", F.lit(i)))) for i in range(ODD // 64)), F.lit(0))
+    return (apart <= most) & (turned <= 2 * most - apart)
+
+
+def _met(members: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b, l_a, l_b) of different labels in the buckets of ``members`` (key, id, label) whose sizes and word counts allow that they are alike.
+
+    What the counts rule out is no row of the join, so a bucket of many different texts costs comparisons, not pairs.
     """
     still = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("key")
-    open_members = cut(members.join(still, "key").select("key", "id", "n", "label"))
-    other = open_members.select(F.col("key").alias("o_key"), F.col("id").alias("o_id"), F.col("n").alias("o_n"), F.col("label").alias("o_label"))
-    near = F.abs(F.col("n") - F.col("o_n")) <= F.greatest("n", "o_n") * (1 - similarity) + 1e-6
-    met = open_members.join(other, (F.col("key") == F.col("o_key")) & (F.col("label") < F.col("o_label")) & near)
-    return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
+    open_members = cut(members.join(still, "key").join(reps.select("id", "n", "odd", "bag"), "id").select("key", "id", "label", "n", "odd", "bag"))
+    other = open_members.select(*(F.col(c).alias(f"o_{c}") for c in open_members.columns))
+    met = open_members.join(other, (F.col("key") == F.col("o_key")) & (F.col("label") < F.col("o_label")) & _near(similarity) & _possible("", "o_", similarity))
+    return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"), F.col("label").alias("l_a"), F.col("o_label").alias("l_b")).distinct()
+
+
+def _some(members: DataFrame) -> DataFrame:
+    """Up to ``LEADERS`` members of each label in each bucket (key, id, label), others in each bucket."""
+    salt = F.pmod(F.xxhash64("id", "key"), F.lit(LEADERS)).alias("salt")
+    return members.groupBy("key", "label", salt).agg(F.min("id").alias("id")).select("key", "id", "label")
+
+
+def _few(pairs: DataFrame) -> DataFrame:
+    """Up to ``SMALL`` pairs of each two labels: one alike pair joins them."""
+    rank = F.row_number().over(Window.partitionBy("l_a", "l_b").orderBy(F.xxhash64("a", "b"), "a", "b"))
+    return pairs.withColumn("_i", rank).where(F.col("_i") <= SMALL)
+
+
+def _closer(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) that ``SEEN`` bits of the words seen in each text allow to be alike, so that fewer texts are sent along.
+
+    An edit brings in one word at most and takes one away.
+    """
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            sizes, seen = [], []
+            for text in batch.column(1).to_pylist():
+                own = words_of(text)
+                bits = np.zeros(SEEN, np.uint8)
+                bits[(hashes.of(own) % np.uint64(SEEN)).astype(np.int64)] = 1
+                sizes.append(len(own))
+                seen.append(np.packbits(bits).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(seen, pa.list_(pa.int64()))], ["id", "n", "seen"])
+
+    bits = cut(texts.join(asked, "id").select("id", "text").mapInArrow(run, "id long, n long, seen array<long>"))
+    left, right = (bits.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.col("seen").alias(f"{c}_seen")) for c in "ab")
+    extra = lambda x, y: F.aggregate(F.zip_with(f"{x}_seen", f"{y}_seen", lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j)))), F.lit(0), lambda s, v: s + v)
+    most = F.greatest("a_n", "b_n") * (1 - similarity) + 1e-6
+    return pairs.join(left, "a").join(right, "b").where((extra("a", "b") <= most) & (extra("b", "a") <= most)).select("a", "b")
 
 
 def _joined(label: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -300,8 +324,8 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     known = cut(sketched(docs.where(F.col(quoted(id_col)).isNotNull()), id_col, text_col, sketches, several, words, int(short / similarity + 1e-6)))
     one = known.groupBy("id").agg(F.min(F.struct("mark", "sha")).alias("x")).select("id", F.col("x.sha").alias("sha"))
     copies = cut(one.where("sha is not null").groupBy("sha").agg(F.min("id").alias("rep")))
-    reps = known.join(copies, (known["sha"] == copies["sha"]) & (known["id"] == copies["rep"])).where(F.col("n") >= LEAST).dropDuplicates(["id"]).select("id", "n", "keys", "bag", "own")
-    reps = cut(reps.join(_own_prefixes(reps, similarity), F.col("id") == F.col("_id"), "left").select("id", "n", "keys", "bag", "prefix"))
+    reps = known.join(copies, (known["sha"] == copies["sha"]) & (known["id"] == copies["rep"])).where(F.col("n") >= LEAST).dropDuplicates(["id"]).select("id", "n", "keys", "bag", "odd", "own")
+    reps = cut(reps.join(_own_prefixes(reps, similarity), F.col("id") == F.col("_id"), "left").select("id", "n", "keys", "bag", "odd", "prefix"))
 
     first = F.slice("prefix", F.lit(1), (_differ(F.col("n"), similarity) + 1).cast("int"))
     rows = reps.select("id", "n", F.explode(F.concat("keys", F.coalesce(first, F.array().cast("array<long>")))).alias("key"))
@@ -315,12 +339,13 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     stars = members.where((F.col("id") != F.col("lead")) & near).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     stars = cut(_candidates(stars, reps, similarity))
     label = cut(_joined(involved.select("id", F.col("id").alias("label")), stars, texts, similarity))
-    pairs = _across(members.select("key", "id", "n").join(label, "id"), reps, similarity).join(stars, ["a", "b"], "left_anti")
-    tried = cut(_candidates(pairs, reps, similarity))
-    label = cut(_joined(label, tried, texts, similarity))
+    of = lambda label: members.select("key", "id").join(label, "id")
+    untried = lambda pairs, tried: pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
+    tried = cut(untried(_few(_met(_some(of(label)), reps, similarity)), stars))
+    label = cut(_joined(label, _closer(tried, texts, similarity), texts, similarity))
     # the above spares most pairs; what it has left out is looked at whole
-    rest = _rest(members.select("key", "id", "n").join(label, "id"), similarity).join(stars.unionByName(tried), ["a", "b"], "left_anti")
-    label = _joined(label, cut(_candidates(rest, reps, similarity)), texts, similarity)
+    rest = cut(untried(_met(of(label), reps, similarity), stars.unionByName(tried)))
+    label = _joined(label, _closer(rest, texts, similarity), texts, similarity)
 
     of_rep = copies.join(label, F.col("rep") == F.col("id"), "left").select("sha", F.coalesce("label", "rep").alias("label"))
     return one.join(of_rep, "sha", "left").select("id", F.coalesce("label", "id").alias("class_id"))

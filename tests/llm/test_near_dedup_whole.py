@@ -26,3 +26,32 @@ def test_links_in_large_buckets(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["id"]: r["class_id"] for r in near_dedup.classes(docs).collect()}
     assert found == expected
+
+
+def test_pairs_that_counts_rule_out_are_no_rows(spark):
+    """1,200 texts, all in one bucket, that have a passage in common and else nothing: 720,000 pairs, none of them a row."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(10**9)}" for _ in range(60)])) for i in range(1200)]
+    rows.append((1200, rows[7][1].replace("p3 ", "q ")))
+    docs = spark.createDataFrame(rows, "id long, text string")
+    known = near_dedup.sketched(docs, "id", "text", 4, 2, 3, 0).select("id", "n", "bag", "odd")
+    members = known.select("id", "id").toDF("id", "label").selectExpr("1L AS key", "id", "label")
+    found = near_dedup._met(members, known, 0.8)
+    assert [tuple(r) for r in found.select("a", "b").collect()] == [(7, 1200)]
+
+
+def test_bits_of_words_keep_alike_pairs(spark):
+    rng = random.Random(4)
+    rows, pairs = [], []
+    for i in range(0, 80, 2):
+        text = [f"w{rng.randrange(400)}" for _ in range(200)]
+        copy = list(text)
+        for j in rng.sample(range(200), 40 if i % 4 else 90):
+            copy[j] = f"v{rng.randrange(10**6)}"
+        rows += [(i, " ".join(text).encode()), (i + 1, " ".join(copy).encode())]
+        pairs.append((i, i + 1))
+    texts, pairs_ = spark.createDataFrame(rows, "id long, text binary"), spark.createDataFrame(pairs, "a long, b long")
+    kept = {r["a"] for r in near_dedup._closer(pairs_, texts, 0.8).collect()}
+    alike = {a for a, b in pairs if near_dedup.alike(rows[a][1].split(), rows[b][1].split())}
+    assert alike == kept == {i for i in range(0, 80, 2) if i % 4}
