@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from residuum.operators.durable import dealt
 
-def contact_rollup(contacts: DataFrame, a: str, b: str, types: list[str], score: str) -> DataFrame:
+
+def contact_rollup(contacts: DataFrame, a: str, b: str, types: list[str], score: str, *, parts: int | None = None) -> DataFrame:
     """Atom contacts as residue contacts: number and score for each pair and type, and, as type
-    ``combi``, for each pair; loops left out."""
-    own = contacts.where(F.col(a) != F.col(b)).groupBy(F.least(a, b).alias(a), F.greatest(a, b).alias(b), *types).agg(F.count("*").alias("n"), F.sum(score).alias("score"))
+    ``combi``, for each pair; loops left out. ``parts``: tasks to deal the contacts out to."""
+    pairs = contacts.where(F.col(a) != F.col(b)).select(F.least(a, b).alias(a), F.greatest(a, b).alias(b), *types, score)
+    own = (dealt(pairs, parts, a, b) if parts else pairs).groupBy(a, b, *types).agg(F.count("*").alias("n"), F.sum(score).alias("score"))
     every = own.groupBy(a, b).agg(F.sum("n").alias("n"), F.sum("score").alias("score")).select(a, b, *(F.lit("combi" if i == 0 else "all").alias(t) for i, t in enumerate(types)), "n", "score")
     return own.unionByName(every)
 

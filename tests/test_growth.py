@@ -146,3 +146,33 @@ def test_equal_scores_of_cells_are_ties(spark):
         assert found["interaction_class"] == "mc cnt ligand"
     large = spark.createDataFrame([(1e30,), (2e30,)], "v double")
     assert large.agg(aggregates.exact_sum("v")).first()[0] == 1e30 + 2e30
+
+
+def exchanged(df):
+    """Numbers of tasks that are given, not left to Spark."""
+    return df._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM")
+
+
+def test_tasks_grow_with_the_rows(spark, sf_dir):
+    from residuum.operators import durable
+    from residuum.plans import load
+
+    rows = spark.range(1001)
+    assert durable.parts_of(rows, 100) == 11 and durable.parts_of(rows.where("id < 0")) == 1
+    assert durable.dealt(rows, 11, "id").rdd.getNumPartitions() == 11
+    queries = load().QUERIES
+    for name in ("fused_ranges", "contact_rollup", "full_annotation", "atom_lines", "partner_report"):
+        assert exchanged(queries[name](spark, sf_dir)), name
+
+
+def test_few_partners_of_very_many_interactions_are_broadcast(spark, tmp_path, monkeypatch):
+    from residuum.plans import reports
+
+    ppi = spark.range(600).select((F.col("id") % 5).alias("protein_a"), (F.col("id") % 2).alias("protein_b"), F.col("id").alias("complex_id"), F.lit("A").alias("chain_a"), F.lit("B").alias("chain_b"), F.lit(0.5).alias("score"))
+    proteins = spark.range(5).select(F.col("id").alias("protein_id"), F.concat(F.lit("P"), "id").alias("primary_id"))
+    session = spark.createDataFrame([(0,), (0,), (3,)], "protein_id long")
+    expected = {(f"P{i % 5}", f"P{i % 2}", i, i % 2 == 1) for i in range(600) if i % 5 in (0, 3)}
+    for few in (10, 0):
+        monkeypatch.setattr(reports, "FEW", few)
+        found = reports.partner_report(ppi, session, proteins)
+        assert {tuple(r) for r in found.select("name_a", "name_b", "complex_id", "expanded").collect()} == expected and found.count() == len(expected)
