@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from residuum.functions import scores, sequences
 from residuum.operators import aggregates, alignment, graphs, joins, profiles, store, windows
+from residuum.operators.durable import dealt, parts_of
 from residuum.plans import reports
 from residuum.plans.catalog import query, table
 from residuum.sources import inputs, structures
@@ -352,7 +353,11 @@ def classification(spark, sf_dir):
     SELECT o_custkey AS structure_id, l_partkey AS position_id, l_linenumber AS residue, count(*) AS n, round(sum(l_tax * c_acctbal), 4) AS weight
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL""")
 def full_annotation(spark, sf_dir):
-    bridge = items(spark, sf_dir).join(table(spark, sf_dir, "orders"), c("l_orderkey") == c("o_orderkey")).select(c("o_custkey").alias("structure_id"), c("l_linenumber").alias("residue"), c("l_partkey").alias("position_id"), "l_tax")
+    parts = parts_of(items(spark, sf_dir))
+    lines = dealt(items(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_tax"), parts, "l_orderkey")
+    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), parts, "o_orderkey")
+    bridge = lines.join(orders, c("l_orderkey") == c("o_orderkey")).select(c("o_custkey").alias("structure_id"), c("l_linenumber").alias("residue"), c("l_partkey").alias("position_id"), "l_tax")
+    bridge = dealt(bridge, parts, "structure_id")
     residues = bridge.select("structure_id", "residue").distinct()
     found = reports.full_annotation(bridge, residues, table(spark, sf_dir, "customer").select(c("c_custkey").alias("structure_id"), "c_acctbal"))
     return found.groupBy("structure_id", "position_id", "residue").agg(F.count("*").alias("n"), F.round(F.sum(c("l_tax") * c("c_acctbal")), 4).alias("weight"))
@@ -421,8 +426,10 @@ def contact_lines(spark, sf_dir):
 @query("atom_lines", """
     SELECT l_suppkey AS file, CAST(l_partkey % 9999 AS INTEGER) AS res_num, 'CA' AS atom, round(l_tax * 100, 3) AS x, count(*) AS n FROM lineitem GROUP BY ALL""")
 def atom_lines(spark, sf_dir):
+    rows = items(spark, sf_dir).select("l_suppkey", "l_orderkey", "l_partkey", "l_tax", F.monotonically_increasing_id().alias("line"))
+    rows = dealt(rows, parts_of(items(spark, sf_dir)), "l_suppkey")
     line = F.format_string("ATOM  %5d  CA  ALA A%4d    %8.3f%8.3f%8.3f  1.00 10.00           C", (c("l_orderkey") % 99999).cast("int"), (c("l_partkey") % 9999).cast("int"), c("l_tax") * 100, c("l_tax"), c("l_tax"))
-    found = structures.parse_atoms(items(spark, sf_dir).select(c("l_suppkey").alias("file"), F.monotonically_increasing_id().alias("line"), line.alias("value")), ["file"])
+    found = structures.parse_atoms(rows.select(c("l_suppkey").alias("file"), "line", line.alias("value")), ["file"])
     return found.groupBy("file", "res_num", "atom", "x").agg(F.count("*").alias("n"))
 
 
