@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from residuum.functions import scores, sequences
 from residuum.operators import identifiers, indels
+from residuum.operators.durable import dealt, parts_of
 from residuum.plans import regions, reports
 from residuum.plans.catalog import query, table
 from residuum.sources import writers
@@ -99,9 +100,12 @@ def feature_report(spark, sf_dir):
     s AS (SELECT c_custkey AS p FROM customer WHERE c_nationkey < 15)
     SELECT m.primary_id AS name_a, n.primary_id AS name_b, complex_id, ca AS chain_a, cb AS chain_b, score, b NOT IN (SELECT p FROM s) AS expanded FROM x JOIN pr m ON m.protein_id = a JOIN pr n ON n.protein_id = b WHERE a IN (SELECT p FROM s)""")
 def partner_report(spark, sf_dir):
-    ppi = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), c("o_orderkey") == c("l_orderkey")).select(c("o_custkey").alias("protein_a"), (c("l_partkey") % 150 + 1).alias("protein_b"), c("l_suppkey").alias("complex_id"), c("l_returnflag").alias("chain_a"), c("l_linestatus").alias("chain_b"), c("l_tax").alias("score"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_tax")
+    parts = parts_of(lines)
+    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), parts, "o_orderkey")
+    ppi = dealt(lines, parts, "l_orderkey").join(orders, c("o_orderkey") == c("l_orderkey")).select(c("o_custkey").alias("protein_a"), (c("l_partkey") % 150 + 1).alias("protein_b"), c("l_suppkey").alias("complex_id"), c("l_returnflag").alias("chain_a"), c("l_linestatus").alias("chain_b"), c("l_tax").alias("score"))
     session = table(spark, sf_dir, "customer").where("c_nationkey < 15").select(c("c_custkey").alias("protein_id"))
-    return reports.partner_report(ppi, session, proteins(spark, sf_dir))
+    return reports.partner_report(dealt(ppi, parts, "protein_a"), session, proteins(spark, sf_dir), lines.select((c("l_partkey") % 150 + 1).alias("protein_b")))
 
 
 @query("annotation_rates", """

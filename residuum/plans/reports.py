@@ -9,6 +9,9 @@ from pyspark.sql.window import Window
 from residuum.functions import scores, sequences
 from residuum.operators import aggregates, joins, windows
 
+#: Rows up to which a table is small enough to broadcast; they are counted.
+FEW = 200_000
+
 
 def statistics(rows: DataFrame) -> DataFrame:
     """Counts for each tag and for all rows, from (tags, protein, level).
@@ -178,12 +181,20 @@ def feature_report(classified: DataFrame, changes: DataFrame, features: list[str
     return rows.select("input_id", "primary_id", "uniprot_ac", "amino_acid", "position_number", "new_aa", F.concat("amino_acid", "new_aa").alias("change"), "tags", *features, "hydropathy_change", "volume_change", *number)
 
 
-def partner_report(ppi: DataFrame, session: DataFrame, proteins: DataFrame) -> DataFrame:
-    """Interactions (protein_a, protein_b, complex_id, chain_a, chain_b, score) of the proteins of a session, with the names of both; ``expanded`` if the partner is not in the session."""
+def partner_report(ppi: DataFrame, session: DataFrame, proteins: DataFrame, partners: DataFrame | None = None) -> DataFrame:
+    """Interactions (protein_a, protein_b, complex_id, chain_a, chain_b, score) of the proteins of a session, with the names of both; ``expanded`` if the partner is not in the session.
+
+    Few partners that have very many interactions each would be sorted in few tasks: only the
+    proteins among ``partners`` (protein_b, any that can occur, those of ``ppi`` by default) are
+    joined, and if these are few, which is counted, they are broadcast.
+    """
     names = lambda side: proteins.select(F.col("protein_id").alias(f"protein_{side}"), F.col("primary_id").alias(f"name_{side}"))
     own = session.select(F.col("protein_id").alias("protein_a")).distinct()
     other = session.select(F.col("protein_id").alias("protein_b"), F.lit(False).alias("_outside")).distinct()
-    rows = ppi.join(own, "protein_a").join(other, "protein_b", "left").join(names("a"), "protein_a").join(names("b"), "protein_b")
+    asked = (ppi if partners is None else partners).select("protein_b").distinct()
+    partner = names("b").join(asked, "protein_b", "left_semi").join(other, "protein_b", "left")
+    partner = F.broadcast(partner) if asked.count() <= FEW else partner
+    rows = ppi.join(own, "protein_a").join(names("a"), "protein_a").join(partner, "protein_b")
     return rows.select("name_a", "name_b", "complex_id", "chain_a", "chain_b", "score", F.coalesce("_outside", F.lit(True)).alias("expanded"))
 
 
