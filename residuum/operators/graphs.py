@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from pyspark.sql.window import Window
 from residuum.operators.durable import dealt
 
 
+#: Nodes up to which a network is gone through from all of its nodes at once, in tables of all pairs.
+DENSE = 256
+
+
 def contact_rollup(contacts: DataFrame, a: str, b: str, types: list[str], score: str, *, parts: int | None = None) -> DataFrame:
     """Atom contacts as residue contacts: number and score for each pair and type, and, as type
     ``combi``, for each pair; loops left out. ``parts``: tasks to deal the contacts out to."""
@@ -103,10 +108,13 @@ def betweenness(edges: DataFrame, group: str, *, a: str = "a", b: str = "b", sco
             one, other = near.setdefault(u, {}), near.setdefault(v, {})
             if s and s > 0:
                 one[v] = other[u] = 1.0 / s
-        found = dict.fromkeys(near, 0.0)
-        for source in near:
-            for node, share in _dependency(near, source).items():
-                found[node] += share / 2
+        if len(near) <= DENSE:
+            found = _all_dependencies(near)
+        else:
+            found = dict.fromkeys(near, 0.0)
+            for source in near:
+                for node, share in _dependency(near, source).items():
+                    found[node] += share / 2
         return pd.DataFrame({group: [key[0]] * len(found), "node": list(found), "betweenness": list(found.values())})
 
     return edges.groupBy(group).applyInPandas(run, schema)
@@ -140,6 +148,37 @@ def _dependency(near: dict, source) -> dict:
     return share
 
 
+def _all_dependencies(near: dict) -> dict:
+    """Half of the sum of ``_dependency`` over all sources, a step for the next node of every source at once."""
+    n, number = len(near), {u: i for i, u in enumerate(near)}
+    length = np.full((n, n), np.inf)
+    for u, row in near.items():
+        for v, x in row.items():
+            length[number[u], number[v]] = x
+    far = length.copy()
+    np.fill_diagonal(far, 0.0)
+    for k in range(n):
+        np.minimum(far, far[:, k, None] + far[k], out=far)
+    order, each = np.argsort(far, axis=1, kind="stable"), np.arange(n)
+    rank = np.empty_like(order)
+    rank[each[:, None], order] = each
+    paths, share = np.eye(n), np.zeros((n, n))
+    parents = []
+    for i in range(1, n):
+        v = order[:, i]
+        end = far[each, v, None]
+        with np.errstate(invalid="ignore"):  # what is not reached is no end of a path
+            before = (np.abs(far + length[v] - end) <= 1e-12) & (rank < i)
+        paths[each, v] = (paths * before).sum(axis=1)
+        parents.append(before)
+    for i in range(n - 1, 0, -1):
+        v = order[:, i]
+        own = paths[each, v]
+        share += paths * parents[i - 1] * np.divide(1 + share[each, v], own, out=np.zeros(n), where=own > 0)[:, None]
+    np.fill_diagonal(share, 0.0)
+    return dict(zip(near, (share.sum(axis=0) / 2).tolist()))
+
+
 def normalized(rows: DataFrame, group: str, value: str) -> DataFrame:
     """Centralities by the number of pairs of other nodes and by the range of the group, one where
     it has none; all null where the greatest is zero."""

@@ -176,3 +176,23 @@ def test_few_partners_of_very_many_interactions_are_broadcast(spark, tmp_path, m
         monkeypatch.setattr(reports, "FEW", few)
         found = reports.partner_report(ppi, session, proteins)
         assert {tuple(r) for r in found.select("name_a", "name_b", "complex_id", "expanded").collect()} == expected and found.count() == len(expected)
+
+
+def test_betweenness_from_all_nodes_at_once():
+    import random
+
+    import pytest
+
+    from residuum.operators import graphs
+
+    rng = random.Random(8)
+    for n in (2, 9, 40):
+        near = {u: {} for u in range(n)}
+        for _ in range(3 * n):
+            u, v = rng.sample(range(n - n // 9), 2)
+            near[u][v] = near[v][u] = rng.choice([1.0, 2.0, 0.5, 1 / 3])
+        expected = dict.fromkeys(near, 0.0)
+        for source in near:
+            for node, share in graphs._dependency(near, source).items():
+                expected[node] += share / 2
+        assert graphs._all_dependencies(near) == pytest.approx(expected, abs=1e-9)
