@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from residuum.operators.durable import cut
+from residuum.operators.durable import EACH, cut, dealt
 
 #: An interface joins a known one if more than this share of either is common.
 OVERLAP = 0.5
@@ -167,17 +167,99 @@ def interface_contacts(sources: DataFrame, contacts: DataFrame) -> DataFrame:
     return own.groupBy(*key).agg(best.alias("_x")).select(*key, "_x.structure", "_x.chain", "_x.chain_b", (-F.col("_x.s")).alias("score"))
 
 
-def interface_components(covered: DataFrame) -> DataFrame:
+def interface_components(covered: DataFrame, *, most: int = 100_000) -> DataFrame:
     """(protein, structure, chain, chain_b, label): interfaces that a chain of overlaps over half of either joins.
 
     Unlike the fold it does not depend on an order. Interfaces of equal positions are one
-    from the start. If more than half of an interface is common with another, the other has
-    one of any half of its positions: the rarest half of each meets all positions of the
-    others, so that positions that most have bring few pairs.
+    from the start. No overlap leaves a protein, so rows are shuffled once, by it, and its
+    interfaces are joined in the task that holds it. Proteins of more than ``most`` rows,
+    which would be too much for a task, are joined by tables.
     """
     own = ["protein", "structure", "chain", "chain_b"]
-    sets = covered.select(*own, "position").where("protein IS NOT NULL AND position IS NOT NULL").groupBy(*own).agg(F.array_sort(F.collect_set("position")).alias("set"))
-    sets = cut(sets.withColumn("id", F.md5(F.concat_ws(",", F.col("protein").cast("string"), F.lit(":"), F.col("set").cast("array<string>")))))
+    rows = covered.select(*own, "position").where("protein IS NOT NULL AND position IS NOT NULL")
+    sizes = cut(rows.groupBy("protein").agg(F.count("*").alias("c")))
+    large = sizes.where(F.col("c") > most).select("protein")
+    n = sizes.agg(F.sum("c")).first()[0] or 0
+    if not large.limit(1).count():
+        return _components_in_tasks(rows, n)
+    large = F.broadcast(large)  # one for each ``most`` rows at most
+    return _components_in_tasks(rows.join(large, "protein", "left_anti"), n).unionByName(_components_by_tables(rows.join(large, "protein", "left_semi")))
+
+
+def _interfaces(rows: DataFrame) -> DataFrame:
+    """(protein, structure, chain, chain_b, set, id): the positions of each interface, and what those of equal positions have in common."""
+    sets = rows.groupBy("protein", "structure", "chain", "chain_b").agg(F.array_sort(F.collect_set("position")).alias("set"))
+    return sets.withColumn("id", F.md5(F.concat_ws(",", F.col("protein").cast("string"), F.lit(":"), F.col("set").cast("array<string>"))))
+
+
+def _joined(sets: dict[str, list]) -> dict[str, str]:
+    """The least id that overlaps lead to, for each set of one protein.
+
+    If more than half of a set is common with another, the other has one of any half of its
+    positions: the rarest half of each is looked up, in sets that are not yet joined with it.
+    """
+    into = {k: k for k in sets}
+
+    def end(k: str) -> str:
+        while into[k] != k:
+            into[k] = k = into[into[k]]
+        return k
+
+    whole, at = {k: set(v) for k, v in sets.items()}, {}
+    for k, v in sets.items():
+        for position in v:
+            at.setdefault(position, []).append(k)
+    for k, v in sets.items():
+        seen = {k}
+        for position in sorted(v, key=lambda p: len(at[p]))[: len(v) - int(len(v) * OVERLAP)]:
+            for other in at[position]:
+                if other in seen:
+                    continue
+                seen.add(other)
+                x, y = end(k), end(other)
+                if x != y and len(whole[k] & whole[other]) > OVERLAP * min(len(v), len(whole[other])):
+                    into[max(x, y)] = min(x, y)
+    return {k: end(k) for k in sets}
+
+
+def _components_in_tasks(rows: DataFrame, n: int) -> DataFrame:
+    """Labels of the interfaces of whole proteins, ``n`` rows in all, streamed protein after protein."""
+    found = _interfaces(dealt(rows, max(1, -(-n // EACH)), "protein")).sortWithinPartitions("protein")
+    out = found.select("protein", "structure", "chain", "chain_b", F.col("id").alias("label"))
+
+    def run(batches):
+        held, sets, now = [], {}, None
+
+        def given():
+            label = _joined(sets)
+            table = pa.Table.from_batches(held)
+            return table.set_column(4, "label", pa.array([label[k] for k in table.column(4).to_pylist()], pa.string())).combine_chunks().to_batches()
+
+        for batch in batches:
+            proteins, start = batch.column(0).to_pylist(), 0
+            ids, positions = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            kept = batch.select([0, 1, 2, 3, 4])
+            for i, (protein, k, v) in enumerate(zip(proteins, ids, positions)):
+                # several proteins are given at once: their ids differ, and so do the sets that meet
+                if protein != now:
+                    if len(sets) >= 2_000:
+                        held.append(kept.slice(start, i - start))
+                        yield from given()
+                        held, sets, start = [], {}, i
+                    now = protein
+                sets[k] = [(protein, p) for p in v]
+            held.append(kept.slice(start))
+        if held:
+            yield from given()
+
+    return found.select("protein", "structure", "chain", "chain_b", "id", "set").mapInArrow(run, out.schema)
+
+
+def _components_by_tables(rows: DataFrame) -> DataFrame:
+    """The same for proteins of any size: the rarest half of each interface meets all positions of
+    the others, so that positions that most have bring few pairs."""
+    own = ["protein", "structure", "chain", "chain_b"]
+    sets = cut(_interfaces(rows))
     each = sets.groupBy("id").agg(F.first("protein").alias("protein"), F.first("set").alias("set"))
     members = cut(each.select("id", "protein", F.size("set").alias("n"), F.explode("set").alias("position")))
     common = members.groupBy("protein", "position").agg(F.count("*").alias("c"))

@@ -196,3 +196,23 @@ def test_betweenness_from_all_nodes_at_once():
             for node, share in graphs._dependency(near, source).items():
                 expected[node] += share / 2
         assert graphs._all_dependencies(near) == pytest.approx(expected, abs=1e-9)
+
+
+def shuffles(df):
+    """Exchanges of rows in the plan that Spark would run."""
+    import re
+
+    return len(re.findall(r"\bExchange (?:hashpartitioning|SinglePartition)", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_components_within_proteins(spark):
+    """Rows are shuffled once, and proteins too large for a task give the same by tables."""
+    import random
+
+    rng = random.Random(8)
+    rows = [(p, s, c, "Z", rng.randrange(12 + p)) for p in range(6) for s in range(12) for c in "AB" for _ in range(rng.randrange(1, 5))] + [(None, 1, "A", "Z", 1), (2, None, "A", "Z", None)]
+    covered = spark.createDataFrame(rows, "protein long, structure int, chain string, chain_b string, position int")
+    whole, tables, some = (fusion.interface_components(covered, most=m) for m in (10**6, 0, 50))
+    assert shuffles(whole) == 1
+    found = [sorted(map(tuple, df.collect())) for df in (whole, tables, some)]
+    assert found[0] == found[1] == found[2] and len({r[4] for r in found[0]}) < len(found[0])
