@@ -216,3 +216,16 @@ def test_components_within_proteins(spark):
     assert shuffles(whole) == 1
     found = [sorted(map(tuple, df.collect())) for df in (whole, tables, some)]
     assert found[0] == found[1] == found[2] and len({r[4] for r in found[0]}) < len(found[0])
+
+
+def test_substituents_within_structures(spark):
+    """Atoms are shuffled once, and structures too large for a task give the same by tables; some atoms tie, some are at one place."""
+    import random
+
+    rng = random.Random(9)
+    rows = [(s, "AB"[r % 2], r, 100 * r + i, "NCOH"[i], *(float(rng.randrange(14)) for _ in range(3))) for s in range(3) for r in range(30 + s) for i in range(4)] + [(0, "A", 99, 1, "C", None, 1.0, 1.0)]
+    atoms = spark.createDataFrame(rows, "structure int, chain string, residue int, serial int, atom string, x double, y double, z double")
+    whole, tables, some = (distances.nearest_substituents(atoms, ["structure"], top=5, reach=7.0, sphere=5.0, most=m) for m in (10**6, 0, 124))
+    assert shuffles(whole) == 1
+    found = [sorted((tuple(r)[:8], [tuple(x) for x in r["sphere"]]) for r in df.collect()) for df in (whole, tables, some)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
