@@ -33,6 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
         target = labels.select(F.col("id").alias("_id"), F.col("label").alias("_label"))
         after = step.join(sent(target), step["label"] == target["_id"], "left").select("id", "old", F.least("label", "_label").alias("label"))
         after = kept(after)
-        if not after.where("label <> old").limit(1).count():
+        if after.where("label <> old").isEmpty():
             return after.select("id", "label")
         labels = after.select("id", "label")

@@ -13,9 +13,9 @@ aligned with its leader, the one of least id, so a group of thousands of near co
 pair for each two of them; linked texts become classes. In buckets that hold more than one class
 even so, up to ``LEADERS`` members of each, others in each bucket, meet those of the other
 classes, and up to ``SMALL`` pairs of each two classes are aligned. At last all pairs of
-different classes that are left in a bucket are looked at, without a cap. Counts of words and
-their parities are compared within the join, so that a pair becomes a row only if they allow
-that it is alike; texts are fetched for these alone. The number of jobs does not depend on the
+different classes that are left in a bucket are looked at, without a cap. Counts of words,
+their parities and, of long texts, bits of the labelled words are compared within the join, so
+that a pair becomes a row only if they allow that it is alike; texts are fetched for these alone. The number of jobs does not depend on the
 table but for the rounds in which classes are joined, the logarithm of their longest path.
 """
 
@@ -45,6 +45,9 @@ LEADERS = 4
 SMALL = 4
 #: Buckets of the word counts that bound an edit distance, and of those whose parities do.
 BAG, ODD = 128, 256
+#: Bits of the labelled words of a text, least words of a text that has them, and how many such texts
+#: a bucket has at most that goes without: what the counts leave of others goes by these.
+MARKS, LONG, CROWD = 8192, 100, 64
 #: Bits of the words that a text has, for the pairs that these leave.
 SEEN = 4096
 
@@ -255,15 +258,49 @@ def _near(similarity: float) -> Column:
     return (apart <= most) & (turned <= 2 * most - apart)
 
 
-def _met(members: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b, l_a, l_b) of different labels in the buckets of ``members`` (key, id, label) whose sizes and word counts allow that they are alike.
+def _marked(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, marks) of the texts that are asked for: the bits of their labelled words, null for short ones."""
 
-    What the counts rule out is no row of the join, so a bucket of many different texts costs comparisons, not pairs.
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            marks = []
+            for text in batch.column(1).to_pylist():
+                own = words_of(text)
+                if len(own) < LONG:
+                    marks.append(None)
+                    continue
+                bits = np.zeros(MARKS, np.uint8)
+                bits[(labelled(hashes.of(own)) % np.uint64(MARKS)).astype(np.int64)] = 1
+                marks.append(np.packbits(bits).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.list_(pa.int64()))], ["id", "marks"])
+
+    return texts.join(asked, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, marks array<long>")
+
+
+def _close(similarity: float) -> Column:
+    """Can texts of these labelled words be alike? A word that one has more often than the other
+    leaves a mark there alone, or hides behind another's, and each costs an edit."""
+    most = F.greatest("n", "o_n") * (1 - similarity) + 1e-6
+    more = lambda p, q: F.aggregate(F.zip_with(p, q, lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j)))), F.lit(0), lambda s, v: s + v)
+    return F.coalesce((more("marks", "o_marks") <= most) & (more("o_marks", "marks") <= most), F.lit(True))
+
+
+def _met(members: DataFrame, reps: DataFrame, similarity: float, texts: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b, l_a, l_b) of different labels in the buckets of ``members`` (key, id, label) whose sizes and words allow that they are alike.
+
+    What sizes, counts and, given the ``texts``, marks in crowded buckets rule out is no row of the join, so a bucket of many different texts costs comparisons, not pairs.
     """
     still = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("key")
     open_members = cut(members.join(still, "key").join(reps.select("id", "n", "odd", "bag"), "id").select("key", "id", "label", "n", "odd", "bag"))
+    possible = _near(similarity) & _possible("", "o_", similarity)
+    crowded = open_members.where(F.col("n") >= LONG).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("key")
+    if texts is not None and not crowded.isEmpty():
+        asked = open_members.join(crowded, "key", "left_semi").select("id").distinct()
+        open_members = cut(open_members.join(_marked(texts, asked), "id", "left"))
+        possible = possible & _close(similarity)
     other = open_members.select(*(F.col(c).alias(f"o_{c}") for c in open_members.columns))
-    met = open_members.join(other, (F.col("key") == F.col("o_key")) & (F.col("label") < F.col("o_label")) & _near(similarity) & _possible("", "o_", similarity))
+    met = open_members.join(other, (F.col("key") == F.col("o_key")) & (F.col("label") < F.col("o_label")) & possible)
     return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"), F.col("label").alias("l_a"), F.col("o_label").alias("l_b")).distinct()
 
 
@@ -282,7 +319,8 @@ def _few(pairs: DataFrame) -> DataFrame:
 def _closer(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Those pairs (a, b) that ``SEEN`` bits of the words seen in each text allow to be alike, so that fewer texts are sent along.
 
-    An edit brings in one word at most and takes one away.
+    An edit brings in one word at most and takes one away. Of texts of many thousand words the
+    labelled ones leave few marks free; those seen are fewer.
     """
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
@@ -341,10 +379,10 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     label = cut(_joined(involved.select("id", F.col("id").alias("label")), stars, texts, similarity))
     of = lambda label: members.select("key", "id").join(label, "id")
     untried = lambda pairs, tried: pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
-    tried = cut(untried(_few(_met(_some(of(label)), reps, similarity)), stars))
-    label = cut(_joined(label, _closer(tried, texts, similarity), texts, similarity))
+    tried = cut(untried(_few(_met(_some(of(label)), reps, similarity, texts)), stars))
+    label = cut(_joined(label, tried, texts, similarity))
     # the above spares most pairs; what it has left out is looked at whole
-    rest = cut(untried(_met(of(label), reps, similarity), stars.unionByName(tried)))
+    rest = cut(untried(_met(of(label), reps, similarity, texts), stars.unionByName(tried)))
     label = _joined(label, _closer(rest, texts, similarity), texts, similarity)
 
     of_rep = copies.join(label, F.col("rep") == F.col("id"), "left").select("sha", F.coalesce("label", "rep").alias("label"))

@@ -55,3 +55,18 @@ def test_bits_of_words_keep_alike_pairs(spark):
     kept = {r["a"] for r in near_dedup._closer(pairs_, texts, 0.8).collect()}
     alike = {a for a, b in pairs if near_dedup.alike(rows[a][1].split(), rows[b][1].split())}
     assert alike == kept == {i for i in range(0, 80, 2) if i % 4}
+
+
+def test_pairs_that_marks_rule_out_are_no_rows(spark):
+    """600 texts, all in one bucket: a word pair over and over, and a quarter of common words in other numbers. Counts in 128 buckets allow most pairs, the labelled words few."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(["is", "one"] * 300 + [rng.choice(words) for _ in range(240)])) for i in range(600)]
+    rows.append((600, rows[7][1].replace("is one is one is one", "is one", 20)))
+    docs = spark.createDataFrame(rows, "id long, text string")
+    known = near_dedup.sketched(docs, "id", "text", 4, 2, 3, 0).select("id", "n", "bag", "odd")
+    members = known.selectExpr("1L AS key", "id", "id AS label")
+    loose = near_dedup._met(members, known, 0.8).count()
+    found = near_dedup._met(members, known, 0.8, docs.selectExpr("id", "cast(text AS binary) AS text"))
+    assert [tuple(r) for r in found.select("a", "b").collect()] == [(7, 600)]
+    assert loose > 1000
