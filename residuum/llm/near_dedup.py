@@ -14,8 +14,8 @@ pair for each two of them; linked texts become classes. In buckets that hold mor
 even so, up to ``LEADERS`` members of each, others in each bucket, meet those of the other
 classes, and up to ``SMALL`` pairs of each two classes are aligned. At last all pairs of
 different classes that are left in a bucket are looked at, without a cap. Counts of words,
-their parities and, of long texts, bits of the labelled words are compared within the join, so
-that a pair becomes a row only if they allow that it is alike; texts are fetched for these alone. The number of jobs does not depend on the
+their parities and, in crowded buckets, bits of the words seen are compared within the join, so
+that a pair becomes a row, and a single one, only if they allow that it is alike; texts are fetched for these alone. The number of jobs does not depend on the
 table but for the rounds in which classes are joined, the logarithm of their longest path.
 """
 
@@ -45,11 +45,9 @@ LEADERS = 4
 SMALL = 4
 #: Buckets of the word counts that bound an edit distance, and of those whose parities do.
 BAG, ODD = 128, 256
-#: Bits of the labelled words of a text, least words of a text that has them, and how many such texts
-#: a bucket has at most that goes without: what the counts leave of others goes by these.
-MARKS, LONG, CROWD = 8192, 100, 64
-#: Bits of the words that a text has, for the pairs that these leave.
-SEEN = 4096
+#: Bits of the labelled words of a text, for the pairs that these leave, occurrences of a word that have
+#: one, and how many texts a bucket has at most that is joined without them.
+SEEN, OFTEN, CROWD = 4096, 8, 64
 
 
 def seeds(sketches: int) -> np.ndarray:
@@ -57,16 +55,26 @@ def seeds(sketches: int) -> np.ndarray:
     return mix(np.arange(1, sketches + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def labelled(runs: np.ndarray) -> np.ndarray:
-    """The hashes, each occurrence of an equal one after the first made another."""
+def occurrences(runs: np.ndarray) -> np.ndarray | None:
+    """How many equal values stand before each; None if all are different."""
     order = np.argsort(runs, kind="stable")
     sorted_runs = runs[order]
     first = np.append(True, sorted_runs[1:] != sorted_runs[:-1])
     if first.all():
-        return mix(runs)
+        return None
     start = np.maximum.accumulate(np.where(first, np.arange(len(runs)), 0))
     label = np.empty(len(runs), np.uint64)
     label[order] = (np.arange(len(runs)) - start).astype(np.uint64)
+    return label
+
+
+def labelled(runs: np.ndarray, most: int | None = None) -> np.ndarray:
+    """The hashes, each occurrence of an equal one after the first made another; of each hash the first ``most``, if that is given."""
+    label = occurrences(runs) if len(runs) else None
+    if label is None:
+        return mix(runs)
+    if most is not None:
+        runs, label = runs[label < most], label[label < most]
     return mix(runs + label * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -250,58 +258,62 @@ def _candidates(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFra
 
 
 def _near(similarity: float) -> Column:
-    """Can texts of these sizes and parities of word counts (n, odd; o_n, o_odd) be alike? A changed
+    """Can texts of these sizes and parities of word counts (n, odd) be alike? A changed
     word turns two parities at most, one put in or left out a single one."""
-    apart = F.abs(F.col("n") - F.col("o_n"))
-    most = F.floor(F.greatest("n", "o_n") * (1 - similarity) + 1e-6)
-    turned = sum((F.bit_count(F.get("odd", F.lit(i)).bitwiseXOR(F.get("o_odd", F.lit(i)))) for i in range(ODD // 64)), F.lit(0))
+    apart = F.abs(F.col("a.n") - F.col("b.n"))
+    most = F.floor(F.greatest("a.n", "b.n") * (1 - similarity) + 1e-6)
+    turned = sum((F.bit_count(F.get("a.odd", F.lit(i)).bitwiseXOR(F.get("b.odd", F.lit(i)))) for i in range(ODD // 64)), F.lit(0))
     return (apart <= most) & (turned <= 2 * most - apart)
 
 
-def _marked(texts: DataFrame, asked: DataFrame) -> DataFrame:
-    """(id, marks) of the texts that are asked for: the bits of their labelled words, null for short ones."""
+def _seen(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, n, seen) of the texts that are asked for: their number of words, and ``SEEN`` bits of the first ``OFTEN`` occurrences of each."""
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            marks = []
+            sizes, seen = [], []
             for text in batch.column(1).to_pylist():
                 own = words_of(text)
-                if len(own) < LONG:
-                    marks.append(None)
-                    continue
-                bits = np.zeros(MARKS, np.uint8)
-                bits[(labelled(hashes.of(own)) % np.uint64(MARKS)).astype(np.int64)] = 1
-                marks.append(np.packbits(bits).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.list_(pa.int64()))], ["id", "marks"])
+                bits = np.zeros(SEEN, np.uint8)
+                bits[(labelled(hashes.of(own), OFTEN) % np.uint64(SEEN)).astype(np.int64)] = 1
+                sizes.append(len(own))
+                seen.append(np.packbits(bits).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(seen, pa.list_(pa.int64()))], ["id", "n", "seen"])
 
-    return texts.join(asked, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, marks array<long>")
+    return texts.join(asked, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, n long, seen array<long>")
 
 
-def _close(similarity: float) -> Column:
-    """Can texts of these labelled words be alike? A word that one has more often than the other
-    leaves a mark there alone, or hides behind another's, and each costs an edit."""
-    most = F.greatest("n", "o_n") * (1 - similarity) + 1e-6
+def _close(x: str, y: str, similarity: float) -> Column:
+    """Can texts with these words be alike? A word that one has more often than the other leaves a bit
+    there alone, or hides behind another's, and each costs an edit. Few bits would be left free by a
+    text of a word over and over, so only its first occurrences count."""
+    most = F.greatest(f"{x}n", f"{y}n") * (1 - similarity) + 1e-6
     more = lambda p, q: F.aggregate(F.zip_with(p, q, lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j)))), F.lit(0), lambda s, v: s + v)
-    return F.coalesce((more("marks", "o_marks") <= most) & (more("o_marks", "marks") <= most), F.lit(True))
+    return F.coalesce((more(f"{x}seen", f"{y}seen") <= most) & (more(f"{y}seen", f"{x}seen") <= most), F.lit(True))
 
 
 def _met(members: DataFrame, reps: DataFrame, similarity: float, texts: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b, l_a, l_b) of different labels in the buckets of ``members`` (key, id, label) whose sizes and words allow that they are alike.
 
-    What sizes, counts and, given the ``texts``, marks in crowded buckets rule out is no row of the join, so a bucket of many different texts costs comparisons, not pairs.
+    What sizes, counts and, given the ``texts``, words seen in crowded buckets rule out is no row of the join, and
+    two texts meet in the first of their buckets alone, so a bucket of many different texts costs comparisons, not pairs.
+    What a text is compared by is kept once for each text, not for each of its buckets.
     """
     still = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("key")
-    open_members = cut(members.join(still, "key").join(reps.select("id", "n", "odd", "bag"), "id").select("key", "id", "label", "n", "odd", "bag"))
-    possible = _near(similarity) & _possible("", "o_", similarity)
-    crowded = open_members.where(F.col("n") >= LONG).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("key")
-    if texts is not None and not crowded.isEmpty():
-        asked = open_members.join(crowded, "key", "left_semi").select("id").distinct()
-        open_members = cut(open_members.join(_marked(texts, asked), "id", "left"))
-        possible = possible & _close(similarity)
-    other = open_members.select(*(F.col(c).alias(f"o_{c}") for c in open_members.columns))
-    met = open_members.join(other, (F.col("key") == F.col("o_key")) & (F.col("label") < F.col("o_label")) & possible)
-    return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"), F.col("label").alias("l_a"), F.col("o_label").alias("l_b")).distinct()
+    open_members = cut(members.join(still, "key").select("key", "id", "label"))
+    own = open_members.groupBy("id").agg(F.collect_set("key").alias("keys")).join(reps.select("id", "n", "odd", "bag"), "id")
+    possible = _near(similarity) & _possible("a.", "b.", similarity)
+    if texts is not None:
+        crowded = open_members.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("key")
+        if not crowded.isEmpty():
+            asked = open_members.join(crowded, "key", "left_semi").select("id").distinct()
+            own = own.join(_seen(texts, asked).drop("n"), "id", "left")
+            possible = possible & _close("a.", "b.", similarity)
+    first = F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")
+    rows = open_members.join(cut(own), "id")
+    met = rows.alias("a").join(rows.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.label") < F.col("b.label")) & possible & first)
+    return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"), F.col("a.label").alias("l_a"), F.col("b.label").alias("l_b"))
 
 
 def _some(members: DataFrame) -> DataFrame:
@@ -317,30 +329,11 @@ def _few(pairs: DataFrame) -> DataFrame:
 
 
 def _closer(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs (a, b) that ``SEEN`` bits of the words seen in each text allow to be alike, so that fewer texts are sent along.
-
-    An edit brings in one word at most and takes one away. Of texts of many thousand words the
-    labelled ones leave few marks free; those seen are fewer.
-    """
+    """Those pairs (a, b) that the words seen in each text allow to be alike, so that fewer texts are sent along."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-
-    def run(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            sizes, seen = [], []
-            for text in batch.column(1).to_pylist():
-                own = words_of(text)
-                bits = np.zeros(SEEN, np.uint8)
-                bits[(hashes.of(own) % np.uint64(SEEN)).astype(np.int64)] = 1
-                sizes.append(len(own))
-                seen.append(np.packbits(bits).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(seen, pa.list_(pa.int64()))], ["id", "n", "seen"])
-
-    bits = cut(texts.join(asked, "id").select("id", "text").mapInArrow(run, "id long, n long, seen array<long>"))
+    bits = cut(_seen(texts, asked))
     left, right = (bits.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.col("seen").alias(f"{c}_seen")) for c in "ab")
-    extra = lambda x, y: F.aggregate(F.zip_with(f"{x}_seen", f"{y}_seen", lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j)))), F.lit(0), lambda s, v: s + v)
-    most = F.greatest("a_n", "b_n") * (1 - similarity) + 1e-6
-    return pairs.join(left, "a").join(right, "b").where((extra("a", "b") <= most) & (extra("b", "a") <= most)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(_close("a_", "b_", similarity)).select("a", "b")
 
 
 def _joined(label: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:

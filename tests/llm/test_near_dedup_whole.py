@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from residuum.llm import near_dedup
 
 
@@ -70,3 +72,26 @@ def test_pairs_that_marks_rule_out_are_no_rows(spark):
     found = near_dedup._met(members, known, 0.8, docs.selectExpr("id", "cast(text AS binary) AS text"))
     assert [tuple(r) for r in found.select("a", "b").collect()] == [(7, 600)]
     assert loose > 1000
+
+
+def test_a_pair_of_many_buckets_is_one_row(spark, monkeypatch):
+    """Two alike texts that share ten buckets, all of them crowded, are joined once, without a distinct() afterwards; what texts are compared by is not kept for each bucket."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(120))) for i in range(80)]
+    rows.append((80, rows[7][1].replace(" w", " v", 5)))
+    docs = spark.createDataFrame(rows, "id long, text string")
+    known = near_dedup.sketched(docs, "id", "text", 4, 2, 3, 0).select("id", "n", "bag", "odd").cache()
+    members = known.selectExpr("explode(sequence(1L, 10L)) AS key", "id", "id AS label")
+    kept, cut = [], near_dedup.cut
+    monkeypatch.setattr(near_dedup, "cut", lambda df: kept.append(df.columns) or cut(df))
+    monkeypatch.setattr(type(docs), "distinct", lambda df: df)
+    found = near_dedup._met(members, known, 0.8, docs.selectExpr("id", "cast(text AS binary) AS text"))
+    assert [tuple(r) for r in found.select("a", "b").collect()] == [(7, 80)]
+    assert {tuple(columns) for columns in kept if "key" in columns} == {("key", "id", "label")}
+
+
+def test_first_occurrences_alone_have_bits():
+    values = np.array([5, 7, 5, 5, 9, 7], np.uint64)
+    all_, two = near_dedup.labelled(values), near_dedup.labelled(values, 2)
+    assert two.tolist() == all_[[0, 1, 2, 4, 5]].tolist()
+    assert not len(near_dedup.labelled(values[:0], 2))
