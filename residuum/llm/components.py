@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from residuum.llm.common import cut
 
 
-#: Rows up to which a table is small enough to broadcast, and the tasks that it is kept in; they are counted.
-FEW, TASKS = 200_000, 8
+#: Rows up to which a table is kept in few files, how many, and rows up to which it is broadcast; they are counted.
+FEW, TASKS, SENT = 200_000, 8, 20_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,19 +17,21 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round takes the least label among neighbours, summed up before the shuffle, then
     that label's own label; rounds grow with the logarithm of the longest path. Nothing but
-    numbers of rows reaches the driver. Where there are few edges, labels are broadcast and
-    kept in few files, for a round would else be mostly empty tasks.
+    numbers of rows reaches the driver, but labels of few edges: these are broadcast. More are
+    not, as the driver would hold those of each round until it collects its garbage. Where
+    there are not many edges, tables are kept in few files, for a round would else be mostly empty tasks.
     """
     both = edges.select(F.col("a").alias("s"), F.col("b").alias("t")).where("s <> t")
-    both = cut(both.unionByName(both.select(F.col("t").alias("s"), F.col("s").alias("t"))).distinct())
-    small = both.count() <= FEW
-    sent = F.broadcast if small else lambda df: df
+    own = both.select(F.explode(F.array("s", "t")).alias("s")).select("s", F.col("s").alias("t"))  # so that its own label reaches each end as well
+    both = cut(both.unionByName(both.select(F.col("t").alias("s"), F.col("s").alias("t"))).unionByName(own).distinct())
+    rows = both.count()
+    small = rows <= FEW
+    sent = F.broadcast if rows <= SENT else lambda df: df.hint("merge")
     kept = (lambda df: cut(df.coalesce(TASKS))) if small else cut
     both = kept(both) if small else both
-    labels = kept(both.groupBy(F.col("s").alias("id")).agg(F.least(F.min("t"), F.first("s")).alias("label")))
+    labels = kept(both.groupBy(F.col("s").alias("id")).agg(F.min("t").alias("label")))
     while True:
-        near = both.join(sent(labels), both["t"] == labels["id"]).groupBy("s").agg(F.min("label").alias("near"))
-        step = near.join(sent(labels), labels["id"] == near["s"]).select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        step = both.join(sent(labels), both["t"] == labels["id"]).groupBy(F.col("s").alias("id")).agg(F.min(F.when(F.col("s") == F.col("t"), F.col("label"))).alias("old"), F.min("label").alias("label"))
         target = labels.select(F.col("id").alias("_id"), F.col("label").alias("_label"))
         after = step.join(sent(target), step["label"] == target["_id"], "left").select("id", "old", F.least("label", "_label").alias("label"))
         after = kept(after)

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from residuum.llm import near_dedup
+from residuum.llm import components, near_dedup
 
 
 def test_links_in_large_buckets(spark):
@@ -95,3 +95,14 @@ def test_first_occurrences_alone_have_bits():
     all_, two = near_dedup.labelled(values), near_dedup.labelled(values, 2)
     assert two.tolist() == all_[[0, 1, 2, 4, 5]].tolist()
     assert not len(near_dedup.labelled(values[:0], 2))
+
+
+def test_labels_of_many_edges_are_not_broadcast(spark, monkeypatch):
+    """A path, a star and a ring: their labels come from shuffles alone where edges are many, and are those of broadcasts."""
+    edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 130)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)] + [(7, 7), (300, 300)]
+    expected = {i: 0 for i in range(21)} | {i: 100 for i in range(100, 130)} | {i: 200 for i in range(200, 209)}
+    frame = spark.createDataFrame(edges, "a long, b long")
+    assert {r["id"]: r["label"] for r in components.components(frame).collect()} == expected
+    monkeypatch.setattr(components, "SENT", 0)
+    monkeypatch.setattr(components.F, "broadcast", lambda df: 1 / 0)
+    assert {r["id"]: r["label"] for r in components.components(frame).collect()} == expected
