@@ -33,6 +33,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def freed(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, so that Spark drops the shuffles, broadcasts and checkpoints that nothing refers to.
+
+    A long row of small jobs leaves plans and such in the driver faster than it collects them by itself, and its heap grows
+    to its limit with hardly anything in it. A collection that is asked for gives free memory back as well.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def kept_in_worker(key: Hashable, make: Callable):
     """What ``make`` gives, made once for each Python worker and kept from task to task.
 

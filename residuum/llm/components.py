@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from residuum.llm.common import cut
+from residuum.llm.common import cut, freed
 
 
 #: Rows up to which a table is kept in few files, how many, and rows up to which it is broadcast; they are counted.
@@ -20,6 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     numbers of rows reaches the driver, but labels of few edges: these are broadcast. More are
     not, as the driver would hold those of each round until it collects its garbage. Where
     there are not many edges, tables are kept in few files, for a round would else be mostly empty tasks.
+    What a round leaves in the driver goes before the next one.
     """
     both = edges.select(F.col("a").alias("s"), F.col("b").alias("t")).where("s <> t")
     own = both.select(F.explode(F.array("s", "t")).alias("s")).select("s", F.col("s").alias("t"))  # so that its own label reaches each end as well
@@ -35,6 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
         target = labels.select(F.col("id").alias("_id"), F.col("label").alias("_label"))
         after = step.join(sent(target), step["label"] == target["_id"], "left").select("id", "old", F.least("label", "_label").alias("label"))
         after = kept(after)
+        freed(edges.sparkSession)
         if after.where("label <> old").isEmpty():
             return after.select("id", "label")
         labels = after.select("id", "label")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from residuum.llm.common import Rolling, WordHashes, cut, free_name, mix, quoted
+from residuum.llm.common import Rolling, WordHashes, cut, free_name, freed, mix, quoted
 from residuum.llm.components import components
 from residuum.llm.decontamination import words_of
 
@@ -50,6 +50,13 @@ BAG, ODD = 128, 256
 SEEN, OFTEN, CROWD = 4096, 8, 64
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` materialised; what that took goes from the driver."""
+    df = cut(df)
+    freed(df.sparkSession)
+    return df
+
+
 def seeds(sketches: int) -> np.ndarray:
     """An odd multiplier for each hash function."""
     return mix(np.arange(1, sketches + 1, dtype=np.uint64)) | np.uint64(1)
@@ -301,7 +308,7 @@ def _met(members: DataFrame, reps: DataFrame, similarity: float, texts: DataFram
     What a text is compared by is kept once for each text, not for each of its buckets.
     """
     still = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("key")
-    open_members = cut(members.join(still, "key").select("key", "id", "label"))
+    open_members = _settled(members.join(still, "key").select("key", "id", "label"))
     own = open_members.groupBy("id").agg(F.collect_set("key").alias("keys")).join(reps.select("id", "n", "odd", "bag"), "id")
     possible = _near(similarity) & _possible("a.", "b.", similarity)
     if texts is not None:
@@ -311,7 +318,7 @@ def _met(members: DataFrame, reps: DataFrame, similarity: float, texts: DataFram
             own = own.join(_seen(texts, asked).drop("n"), "id", "left")
             possible = possible & _close("a.", "b.", similarity)
     first = F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")
-    rows = open_members.join(cut(own), "id")
+    rows = open_members.join(_settled(own), "id")
     met = rows.alias("a").join(rows.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.label") < F.col("b.label")) & possible & first)
     return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"), F.col("a.label").alias("l_a"), F.col("b.label").alias("l_b"))
 
@@ -331,7 +338,7 @@ def _few(pairs: DataFrame) -> DataFrame:
 def _closer(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Those pairs (a, b) that the words seen in each text allow to be alike, so that fewer texts are sent along."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    bits = cut(_seen(texts, asked))
+    bits = _settled(_seen(texts, asked))
     left, right = (bits.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.col("seen").alias(f"{c}_seen")) for c in "ab")
     return pairs.join(left, "a").join(right, "b").where(_close("a_", "b_", similarity)).select("a", "b")
 
@@ -340,7 +347,7 @@ def _joined(label: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: fl
     """(id, label): the labels after those of alike pairs have become one, the least."""
     of = lambda c: label.select(F.col("id").alias(c), F.col("label").alias(f"l_{c}"))
     links = _verified(pairs, texts, similarity).join(of("a"), "a").join(of("b"), "b").where("l_a <> l_b").select(F.col("l_a").alias("a"), F.col("l_b").alias("b"))
-    least = components(cut(links.distinct())).select(F.col("id").alias("_id"), F.col("label").alias("_least"))
+    least = components(_settled(links.distinct())).select(F.col("id").alias("_id"), F.col("label").alias("_least"))
     return label.join(least, F.col("label") == F.col("_id"), "left").select("id", F.coalesce("_least", "label").alias("label"))
 
 
@@ -352,30 +359,30 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     rows. Rows that share an id count as one document with one of their texts, that of the
     least hash. Other columns, whatever their names, are not looked at.
     """
-    known = cut(sketched(docs.where(F.col(quoted(id_col)).isNotNull()), id_col, text_col, sketches, several, words, int(short / similarity + 1e-6)))
+    known = _settled(sketched(docs.where(F.col(quoted(id_col)).isNotNull()), id_col, text_col, sketches, several, words, int(short / similarity + 1e-6)))
     one = known.groupBy("id").agg(F.min(F.struct("mark", "sha")).alias("x")).select("id", F.col("x.sha").alias("sha"))
-    copies = cut(one.where("sha is not null").groupBy("sha").agg(F.min("id").alias("rep")))
+    copies = _settled(one.where("sha is not null").groupBy("sha").agg(F.min("id").alias("rep")))
     reps = known.join(copies, (known["sha"] == copies["sha"]) & (known["id"] == copies["rep"])).where(F.col("n") >= LEAST).dropDuplicates(["id"]).select("id", "n", "keys", "bag", "odd", "own")
-    reps = cut(reps.join(_own_prefixes(reps, similarity), F.col("id") == F.col("_id"), "left").select("id", "n", "keys", "bag", "odd", "prefix"))
+    reps = _settled(reps.join(_own_prefixes(reps, similarity), F.col("id") == F.col("_id"), "left").select("id", "n", "keys", "bag", "odd", "prefix"))
 
     first = F.slice("prefix", F.lit(1), (_differ(F.col("n"), similarity) + 1).cast("int"))
     rows = reps.select("id", "n", F.explode(F.concat("keys", F.coalesce(first, F.array().cast("array<long>")))).alias("key"))
     buckets = rows.groupBy("key").agg(F.min(F.struct("id", "n")).alias("x"), F.max("id").alias("last")).where("x.id <> last").select("key", F.col("x.id").alias("lead"), F.col("x.n").alias("lead_n"))
-    members = cut(rows.join(buckets, "key"))
-    involved = cut(members.select("id").distinct())
+    members = _settled(rows.join(buckets, "key"))
+    involved = _settled(members.select("id").distinct())
     texts = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).cast("binary").alias("text")).join(involved, "id")
-    texts = cut(texts.withColumn("_row", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text")))).where("_row = 1").drop("_row"))
+    texts = _settled(texts.withColumn("_row", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text")))).where("_row = 1").drop("_row"))
 
     near = F.abs(F.col("n") - F.col("lead_n")) <= F.greatest("n", "lead_n") * (1 - similarity) + 1e-6
     stars = members.where((F.col("id") != F.col("lead")) & near).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    stars = cut(_candidates(stars, reps, similarity))
-    label = cut(_joined(involved.select("id", F.col("id").alias("label")), stars, texts, similarity))
+    stars = _settled(_candidates(stars, reps, similarity))
+    label = _settled(_joined(involved.select("id", F.col("id").alias("label")), stars, texts, similarity))
     of = lambda label: members.select("key", "id").join(label, "id")
     untried = lambda pairs, tried: pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
-    tried = cut(untried(_few(_met(_some(of(label)), reps, similarity, texts)), stars))
-    label = cut(_joined(label, tried, texts, similarity))
+    tried = _settled(untried(_few(_met(_some(of(label)), reps, similarity, texts)), stars))
+    label = _settled(_joined(label, tried, texts, similarity))
     # the above spares most pairs; what it has left out is looked at whole
-    rest = cut(untried(_met(of(label), reps, similarity, texts), stars.unionByName(tried)))
+    rest = _settled(untried(_met(of(label), reps, similarity, texts), stars.unionByName(tried)))
     label = _joined(label, _closer(rest, texts, similarity), texts, similarity)
 
     of_rep = copies.join(label, F.col("rep") == F.col("id"), "left").select("sha", F.coalesce("label", "rep").alias("label"))

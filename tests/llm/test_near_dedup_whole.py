@@ -106,3 +106,13 @@ def test_labels_of_many_edges_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(components, "SENT", 0)
     monkeypatch.setattr(components.F, "broadcast", lambda df: 1 / 0)
     assert {r["id"]: r["label"] for r in components.components(frame).collect()} == expected
+
+
+def test_the_driver_is_freed_in_every_round(spark):
+    """A path of 40 takes several rounds; what each leaves in the driver is collected before the next one."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    whole = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    before = whole()
+    assert {r["label"] for r in components.components(edges).collect()} == {0}
+    assert whole() - before >= 3
