@@ -130,3 +130,24 @@ def test_store_keys_may_be_null(spark):
     rows = spark.createDataFrame([("p", None), ("q", "A1B"), ("q", None), ("q", None)], "protein string, change string")
     assert [tuple(r) for r in store.new_rows(kept, rows, ["protein", "change"]).collect()] == [("q", None)]
     assert store.upserted(kept, rows, ["protein", "change"]).count() == 3
+
+
+def test_conservation_of_long_names(spark, sf_dir, tmp_path):
+    """Names of up to 30 letters in one brand: it has 30 columns, as by the SQL at that width; another brand has 24, as ever."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    names = ["abcdefgh ijklmnop abcdefgh wxyz", "abcdefgh ijklmnop abcdefgh wxy", "abcdefgh ijklmnop abcd", "red bolt"]
+    rows = [(i, n[:30], "long", "t") for i, n in enumerate(names)] + [(10 + i, n[:20], "short", "t") for i, n in enumerate(names)]
+    pq.write_table(pa.table({k: list(v) for k, v in zip(("p_partkey", "p_name", "p_brand", "p_type"), zip(*rows, strict=True), strict=True)}), tmp_path / "part.parquet")
+    sql = CATALOG.ORACLES["column_conservation"]
+    wide = sql
+    for old, new in (("'-')), 24, '-')", "'-')), 30, '-')"), ("range(1, 25)", "range(1, 31)"), ("0)) / 24 AS w", "0)) / 30 AS w")):
+        assert old in wide
+        wide = wide.replace(old, new)
+    con = connect(str(tmp_path))
+    by_brand = lambda rows, brand: [r for r in rows[1] if f"'{brand}'" in r]
+    found = spark_rows(CATALOG.QUERIES["column_conservation"](spark, str(tmp_path)))
+    for brand, columns, expected in (("long", 30, wide), ("short", 24, sql)):
+        own = by_brand(found, brand)
+        assert len(own) == columns and own == by_brand(sql_rows(con, expected), brand)
