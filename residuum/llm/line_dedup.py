@@ -29,7 +29,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from residuum.llm.common import cut, free_name, quoted
+from residuum.llm.common import cut, free_name, freed, quoted
 
 THRESHOLD = 0.9
 #: log2 of the counts of the rarity table.
@@ -42,10 +42,19 @@ FAMILY = 32
 SHOWN = 32
 #: Rows up to which a table is small enough to broadcast; they are counted.
 FEW = 200_000
+#: Low bits of a word's hash that are sent along for a pair at first.
+SENT_BITS = 15
 #: log2 of the bits of a filter of ids or lines, at least and at most.
 ID_BITS, MOST_BITS = 20, 25
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` materialised; what that took goes from the disks."""
+    df = cut(df)
+    freed(df.sparkSession)
+    return df
+
+
 def words(text: Column) -> Column:
     """Lower-cased runs of what is not a space, tab, line feed or carriage return."""
     text = F.lower(text)
@@ -156,11 +165,12 @@ def _filters(threshold: float) -> Column:
     """May ``a`` (the later line) and ``b`` be similar? Length, place of the shared token, bitmaps.
 
     Of the rarest tokens of two sets that differ in d, no more than 2 d differ; of whole sets, d.
+    A line that is gone already, and so has no need to look for another, has its ``room`` negated.
     """
     both = F.col("a.n") + F.col("b.n")
     need = at_least(threshold / (1 + threshold), both)
     shorter, longer = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    left = F.least("a.room", "b.room")
+    left = F.least(F.col("a.room"), F.abs("b.room"))  # asks both sides for the same columns, so that they are one shuffle
     apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
     differ = (both - 2 * need) * F.when(longer <= SHOWN, 1).otherwise(2)
     earlier = (F.col("b.doc") < F.col("a.doc")) | ((F.col("b.doc") == F.col("a.doc")) & (F.col("b.pos") < F.col("a.pos")))
@@ -171,26 +181,31 @@ def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.col("a.doc").alias("doc"), F.col("a.pos").alias("pos"), F.col("b.doc").alias("doc_b"), F.col("b.pos").alias("pos_b")).distinct()
 
 
+def _candidates(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of the lines that share a key, of those that are not gone and an earlier one each."""
+    return _pairs(rows.alias("a").join(rows.alias("b"), (F.col("a.key") == F.col("b.key")) & _filters(threshold)))
+
+
 def _rank_of(token: Column) -> Column:
     return F.shiftright(token, 56).cast("int")
 
 
 def keyed(lines: DataFrame, docs: DataFrame, table: Column, id_col: str, text_col: str, threshold: float) -> DataFrame:
     """(key, room) and what the filters need, for every key of each line; ``room`` is the number of
-    tokens that a line can share from that of the key on.
+    tokens that a line can share from that of the key on, negated if the line is gone.
 
     Two similar lines share a token of their prefixes. If it is of few lines it is a key of
     both; else both have a token of many lines and are keyed by their parts.
     """
-    own = ("doc", "pos", "n", "bits", "gone")
+    own, out = ("doc", "pos", "n", "bits", "gone"), ("key", "doc", "pos", "n", "bits", F.when(F.col("gone"), -F.col("room")).otherwise(F.col("room")).alias("room"))
     rows = lines.select(*own, "set", F.posexplode("prefix").alias("i", "key")).withColumn("room", F.col("n") - F.col("i"))
-    counts = cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+    counts = _settled(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
     hot = counts.where(F.col("c") > FREQUENT).select("key")
     sent = F.broadcast(hot) if hot.count() <= FEW else hot
     shared = counts.where(F.col("c") <= FREQUENT).select(F.xxhash64("key").alias("h"))
     bits = _filter_bits(shared)  # a token that only one line has goes before the shuffle
-    tokens = marked_rows(rows.select("key", *own, "room"), F.xxhash64("key"), hash_filter(shared, bits), bits, "shared").where("shared").drop("shared").join(sent, "key", "left_anti")
-    met = cut(rows.join(sent, "key", "left_semi").select(*own, "set").distinct())
+    tokens = marked_rows(rows.select("key", *own, "room"), F.xxhash64("key"), hash_filter(shared, bits), bits, "shared").where("shared").drop("shared").join(sent, "key", "left_anti").select(*out)
+    met = _settled(rows.join(sent, "key", "left_semi").select(*own, "set").distinct())
     if not met.limit(1).count():
         return tokens
     lines_with_hot = _with_tokens(met, docs, table, id_col, text_col)
@@ -198,7 +213,7 @@ def keyed(lines: DataFrame, docs: DataFrame, table: Column, id_col: str, text_co
     # a long line that can be similar to one that is not has both kinds of parts, so either kind finds all its pairs
     own_parts = F.flatten(F.transform(F.transform(bases(n, threshold), lambda b: F.struct(b.alias("base"), part_count(b, threshold).alias("count"))), lambda t: parted(F.col("tokens"), n, t, threshold)))
     parts = lines_with_hot.where(n <= int(LONG / threshold)).select(F.explode(own_parts).alias("key"), *own, n.alias("room"))
-    return tokens.unionByName(parts).unionByName(_long_parts(lines_with_hot.where(n > LONG), threshold))
+    return tokens.unionByName(parts.unionByName(_long_parts(lines_with_hot.where(n > LONG), threshold)).select(*out))
 
 
 def _with_tokens(lines: DataFrame, docs: DataFrame, table: Column, id_col: str, text_col: str) -> DataFrame:
@@ -208,7 +223,7 @@ def _with_tokens(lines: DataFrame, docs: DataFrame, table: Column, id_col: str,
     asked = marked_rows(lines_of(docs, id_col, text_col), F.xxhash64("doc", "pos"), hash_filter(ends, bits), bits, "asked").where("asked")
     texts = asked.select(F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), keys(words(F.col("line")), table).alias("tokens"))
     same = (F.col("doc") == F.col("_doc")) & (F.col("pos") == F.col("_pos")) & (F.col("set") == F.xxhash64("tokens"))
-    return cut(lines.join(texts, same).drop("_doc", "_pos", "set"))
+    return _settled(lines.join(texts, same).drop("_doc", "_pos", "set"))
 
 
 def _filter_bits(hashes: DataFrame) -> int:
@@ -256,35 +271,53 @@ def marked_rows(rows: DataFrame, hashed: Column, table: DataFrame, bits: int, fl
     return joined.select(*(F.col(quoted(c)) for c in rows.columns), F.coalesce(marked, F.lit(False)).alias(flag))
 
 
+def short(words: Column) -> Column:
+    """Distinct low bits of the hashes of words."""
+    return F.array_distinct(F.transform(words, lambda h: h.bitwiseAND((1 << SENT_BITS) - 1).cast("smallint")))
+
+
+def alike_at_most(n: Column, x: Column, y: Column) -> Column:
+    """How many words two sets share at most, of which the first has ``n``, given their ``short`` ones:
+    as many as these share, and those words of the first that fell together with another."""
+    return F.size(F.array_intersect(x, y)) + n - F.size(x)
+
+
 def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
     """Later lines (doc, pos) of those pairs whose word sets are similar indeed.
 
     The texts are read again and only lines that may be of a pair are shuffled, once for both
     ends. The filter has eight bits a line, ``MOST_BITS`` at most; beyond, more lines pass it.
+    For every pair a few bits of each word are sent to the other end; all bits only for those
+    pairs that these leave, which are few.
     """
     ends = pairs.select(F.xxhash64("doc", "pos").alias("h")).unionByName(pairs.select(F.xxhash64("doc_b", "pos_b").alias("h")))
     bits = _filter_bits(ends)
     rows = marked_rows(lines_of(docs, id_col, text_col), F.xxhash64("doc", "pos"), hash_filter(ends, bits), bits, "asked").where("asked")
     rows = rows.select("doc", "pos", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("w"))
     each = lambda x: rows.select(F.col("doc").alias(f"{x}doc"), F.col("pos").alias(f"{x}pos"), F.col("w").alias(f"{x}w"))
-    met = pairs.join(each("x_"), (F.col("doc") == F.col("x_doc")) & (F.col("pos") == F.col("x_pos"))).select("doc", "pos", "doc_b", "pos_b", "x_w")
-    met = met.join(each("y_"), (F.col("doc_b") == F.col("y_doc")) & (F.col("pos_b") == F.col("y_pos")))
+    own = ("doc", "pos", "doc_b", "pos_b")
+    enough = lambda common, n, m: common >= F.lit(threshold) * (n + m - common) - 1e-9
+
+    def met(pairs: DataFrame, *sent: Column) -> DataFrame:
+        near = pairs.join(each("x_"), (F.col("doc") == F.col("x_doc")) & (F.col("pos") == F.col("x_pos"))).select(*own, *sent)
+        return near.join(each("y_"), (F.col("doc_b") == F.col("y_doc")) & (F.col("pos_b") == F.col("y_pos")))
+
+    most = alike_at_most(F.col("x_n"), F.col("x_s"), short(F.col("y_w")))
+    left = met(pairs, F.size("x_w").alias("x_n"), short(F.col("x_w")).alias("x_s")).where(enough(most, F.col("x_n"), F.size("y_w"))).select(*own)
     common = F.size(F.array_intersect("x_w", "y_w"))
-    return met.where(common >= F.lit(threshold) * (F.size("x_w") + F.size("y_w") - common) - 1e-9).select("doc", "pos").distinct()
+    return met(left, F.col("x_w")).where(enough(common, F.size("x_w"), F.size("y_w"))).select("doc", "pos").distinct()
 
 
 def kept_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc, pos) of every line with a word that no earlier line removes."""
     table = rarity(docs, text_col)
-    first = cut(first_lines(docs, table, id_col, text_col, threshold))
+    first = _settled(first_lines(docs, table, id_col, text_col, threshold))
     lines = first.where(F.size("prefix") > 0)
-    led = cut(_with_leaders(lines, threshold))
-    gone = cut(_similar(led, docs, id_col, text_col, threshold))
-    rows = keyed(_marked(lines, gone), docs, table, id_col, text_col, threshold)
-    # the flag is part of one condition with both sides, so that both are the same shuffle
-    wanted = F.when(F.col("a.gone") & F.col("b.doc").isNotNull(), F.lit(False)).otherwise(_filters(threshold))
-    pairs = _pairs(rows.alias("a").join(rows.alias("b"), (F.col("a.key") == F.col("b.key")) & wanted))
-    more = _similar(cut(pairs.join(led, ["doc", "pos", "doc_b", "pos_b"], "left_anti")), docs, id_col, text_col, threshold)
+    led = _settled(_with_leaders(lines, threshold))
+    gone = _settled(_similar(led, docs, id_col, text_col, threshold))
+    pairs = _candidates(keyed(_marked(lines, gone), docs, table, id_col, text_col, threshold), threshold)
+    pairs = _settled(pairs.join(led, ["doc", "pos", "doc_b", "pos_b"], "left_anti"))
+    more = _settled(_similar(pairs, docs, id_col, text_col, threshold))
     return first.select("doc", "pos").join(gone.unionByName(more), ["doc", "pos"], "left_anti")
 
 
