@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Hashable, Iterable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -37,9 +42,37 @@ def freed(spark: SparkSession) -> None:
     """Have the driver collect its garbage, so that Spark drops the shuffles, broadcasts and checkpoints that nothing refers to.
 
     A long row of small jobs leaves plans and such in the driver faster than it collects them by itself, and its heap grows
-    to its limit with hardly anything in it. A collection that is asked for gives free memory back as well.
+    to its limit with hardly anything in it. A collection that is asked for gives free memory back as well. Python's goes
+    first, as its objects hold on to those of the JVM. Spark starts a thread for nearly each exchange, and what these and the
+    compiler have freed outside of the heap stays with the allocator, so both processes are told to give that back, too.
     """
-    spark.sparkContext._jvm.System.gc()
+    gc.collect()
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # allocators other than glibc's
+        ctypes.CDLL(None).malloc_trim(0)
+    with contextlib.suppress(Py4JError):  # JVMs without that command
+        _trim_native_heap(spark.sparkContext._gateway)
+
+
+def _trim_native_heap(gateway) -> str:
+    """Have the driver's JVM give memory back that it has freed outside of its heap; what the command says."""
+    jvm = gateway.jvm
+    of = jvm.java.lang.Class.forName
+
+    def array(kind, *values):
+        out = gateway.new_array(kind, len(values))
+        for i, x in enumerate(values):
+            out[i] = x
+        return out
+
+    strings, objects = of("[Ljava.lang.String;"), of("[Ljava.lang.Object;")
+    # by the interface: the server's own class is not open to callers
+    invoke = of("javax.management.MBeanServer").getMethod("invoke", array(jvm.java.lang.Class, of("javax.management.ObjectName"), of("java.lang.String"), objects, strings))
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    commands = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    return invoke.invoke(server, array(jvm.java.lang.Object, commands, "systemTrimNativeHeap", array(jvm.java.lang.Object), array(jvm.java.lang.String)))
 
 
 def kept_in_worker(key: Hashable, make: Callable):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from residuum.llm.common import Rolling, cut, free_name, map_batches, quoted
+from residuum.llm.common import Rolling, cut, free_name, freed, map_batches, quoted
 from residuum.llm.quality_rules import SYMBOLS, numbered, repeated_ids
 
 BAD, NONE, GOOD = -1, 0, 1
@@ -317,6 +317,8 @@ def train(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "do
         slots, values = (np.asarray(pc.list_flatten(own[c])) for c in ("slots", "values"))
         slots, weights, intercept = fit(target, np.repeat(np.arange(len(sizes)), sizes), slots.astype(np.int64), values.astype(float))
         parts[aspect] = (slots, weights, intercept)
+    del own, sizes, target, values
+    freed(docs.sparkSession)  # the sample was in the driver
     return Model(parts, posterior, votes, chosen.select("id"))
 
 
